@@ -1,0 +1,52 @@
+"""Every query against DuckDB on whole tables: names, types and all rows."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
+    yield connection
+    connection.close()
+
+
+def normalized(table):
+    """Columns by name, rows in a fixed order, values untouched."""
+    columns = sorted(table.column_names)
+    rows = zip(*(table.column(c).to_pylist() for c in columns), strict=True) if columns else []
+    return columns, sorted(rows, key=repr)
+
+
+def types(table):
+    return {f.name: str(f.type).replace("large_string", "string") for f in table.schema}
+
+
+def test_each_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_matches_oracle(spark, duck, name):
+    ours = contract.queries()[name](spark, SF_DIR).toArrow()
+    theirs = duck.sql(contract.oracle_sql()[name]).to_arrow_table()
+    assert types(ours) == types(theirs)
+    assert ours.num_rows > 0
+    assert normalized(ours) == normalized(theirs)
+
+
+def test_entry_is_the_sorted_word_count(spark):
+    rows = contract.entry(spark).collect()
+    assert rows and [r.word for r in rows] == sorted(r.word for r in rows)
