@@ -1,0 +1,93 @@
+"""Bid questions: golden answers, DSL against SQL, strictness, skew."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from lexibid.fixed import BID_SCHEMA, BID_SEPARATOR
+from lexibid.operators import auctions, auctions_sql
+from lexibid.sources.delimited import read_delimited
+
+TWINS = [name for name in dir(auctions_sql) if hasattr(auctions, name) and callable(getattr(auctions, name))]
+TWINS = [name for name in TWINS if getattr(auctions_sql, name).__module__ == auctions_sql.__name__]
+
+
+@pytest.fixture(scope="module")
+def bids(spark, fixture_path):
+    return read_delimited(spark, fixture_path("bids.csv"), BID_SCHEMA, BID_SEPARATOR)
+
+
+GOLDEN = {
+    "auction_count": [(4,)],
+    "bids_per_item": [("phone", 3), ("watch", 4)],
+    "min_bid_per_item": [("phone", 10.0), ("watch", 60.0)],
+    "max_bid_per_item": [("phone", 100.0), ("watch", 117.5)],
+    "avg_bid_per_item": [("phone", 43.5), ("watch", 96.875)],
+    "min_bids_per_item": [("phone", 1), ("watch", 1)],
+    "max_bids_per_item": [("phone", 2), ("watch", 3)],
+    "avg_bids_per_item": [("phone", 1.5), ("watch", 2.0)],
+}
+
+
+def test_twins_are_complete():
+    assert sorted(TWINS) == sorted([*GOLDEN, "bids_over_price_floor"])
+
+
+@pytest.mark.parametrize("module", [auctions, auctions_sql], ids=["dsl", "sql"])
+@pytest.mark.parametrize("name", GOLDEN)
+def test_golden(bids, module, name):
+    rows = sorted(tuple(r) for r in getattr(module, name)(bids).collect())
+    assert rows == GOLDEN[name]
+
+
+@pytest.mark.parametrize("name", TWINS)
+def test_dsl_equals_sql(bids, name):
+    dsl, sql = getattr(auctions, name)(bids), getattr(auctions_sql, name)(bids)
+    assert [(f.name, f.dataType) for f in dsl.schema] == [(f.name, f.dataType) for f in sql.schema]
+    assert sorted(map(tuple, dsl.collect())) == sorted(map(tuple, sql.collect()))
+
+
+@pytest.mark.parametrize("module", [auctions, auctions_sql], ids=["dsl", "sql"])
+def test_price_floor_is_strict_and_means_closing_price(bids, module):
+    rows = module.bids_over_price_floor(bids).collect()
+    assert {r.auctionid for r in rows} == {1001} and len(rows) == 3
+    assert min(r.bid for r in rows) == 95.0
+    assert rows[0].asDict().keys() == set(bids.columns)
+
+
+def test_bids_per_auction(bids):
+    rows = sorted(tuple(r) for r in auctions.bids_per_auction(bids).collect())
+    assert rows == [("phone", 1003, 2), ("phone", 1004, 1), ("watch", 1001, 3), ("watch", 1002, 1)]
+
+
+def test_stats_hold_all_answers(bids):
+    stats = sorted(map(tuple, auctions.item_stats(bids).collect()))
+    assert stats == [("phone", 3, 10.0, 100.0, 43.5), ("watch", 4, 60.0, 117.5, 96.875)]
+    per_auction = sorted(map(tuple, auctions.auction_stats(bids).collect()))
+    assert per_auction == [("phone", 1, 2, 1.5), ("watch", 1, 3, 2.0)]
+
+
+def test_a_null_auction_counts_in_the_dsl_only(spark):
+    df = spark.createDataFrame([(1,), (None,), (None,)], "auctionid bigint")
+    assert auctions.auction_count(df).first()[0] == 2
+    assert auctions_sql.auction_count(df).first()[0] == 1
+
+
+def test_queries_do_not_share_a_view(spark, bids):
+    phones = bids.where("item = 'phone'")
+    every, some = auctions_sql.bids_per_item(bids), auctions_sql.bids_per_item(phones)
+    assert (every.count(), some.count()) == (2, 1)
+
+
+def test_hot_item_and_hot_auction(spark):
+    """One item holds a third of the bids, one auction a third of those."""
+    df = spark.range(0, 90_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("i"), F.col("id") % 10)).alias("item"),
+        F.when(F.col("id") % 9 == 0, F.lit(-1)).otherwise(F.col("id")).alias("auctionid"),
+        F.col("id").cast("double").alias("bid"),
+        F.lit(1.0).alias("price"),
+    )
+    counts = {r.item: r.number_of_bids for r in auctions.bids_per_item(df).collect()}
+    assert counts["hot"] == 30_000 and sum(counts.values()) == 90_000
+    stats = {r.item: r for r in auctions.auction_stats(df).collect()}
+    assert stats["hot"].max_number_of_bids == 10_000 and stats["hot"].min_number_of_bids == 1
+    assert auctions.auction_count(df).first()[0] == 80_001

@@ -1,0 +1,229 @@
+"""Lines, tokens and the word rules: golden paragraphs, edge rows, random texts."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from lexibid.functions import text as X
+from lexibid.operators.counts import count_per_key, row_count, sorted_by_key
+from lexibid.operators.tokens import alpha_tokens, clean_words, first_words, tokens, words
+from lexibid.sources.text import read_lines, split_lines, split_numbered_lines
+
+# A plain restatement of the rules, one string at a time.
+
+
+def py_lines(text):
+    pieces = re.split("\r\n|\n|\r", text)
+    return pieces[:-1] if pieces[-1] == "" else pieces
+
+
+def py_tokens(line):
+    if line == "":
+        return [""]
+    pieces = line.split(" ")
+    while pieces and pieces[-1] == "":
+        pieces.pop()
+    return pieces
+
+
+def py_text_tokens(text):
+    return [tok for line in py_lines(text) for tok in py_tokens(line)]
+
+
+def py_words(text):
+    kept = [t for t in py_text_tokens(text) if re.fullmatch("[A-Za-z0-9.,]+", t)]
+    return [re.sub("[.,]", "", t.lower()) for t in kept]
+
+
+def py_alpha(text):
+    kept = [t for t in py_text_tokens(text) if re.fullmatch("[A-Za-z.]+", t)]
+    return [re.sub("[^A-Za-z0-9]", "", t) for t in kept]
+
+
+def py_clean(text):
+    stripped = [re.sub("[^A-Za-z0-9]", "", t).lower() for t in py_text_tokens(text)]
+    return [w for w in stripped if w != ""]
+
+
+PIECES = [" ", " ", "  ", "\n", "\r", "\r\n", "\t", "\x85", " ", " ", ".", ",", "-", "$", "_"]
+PIECES += ["a", "B", "the", "Z9", "0", "3.7", "é", "ß", "İ", "K", "٣", "漢", "😀", "\u0000", "\\", "^", "'"]
+
+
+@pytest.fixture(scope="module")
+def random_texts():
+    rng = random.Random(7)
+    fixed = ["", " ", "  ", "\n", "\r\n", "\n\n", " \n ", "a\r\nb\rc\nd", "a\n", "a\n\n", "\na"]
+    return fixed + ["".join(rng.choices(PIECES, k=rng.randrange(1, 25))) for _ in range(3000)]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("", []),
+        ("a", ["a"]),
+        ("a\n", ["a"]),
+        ("a\n\n", ["a", ""]),
+        ("\n", [""]),
+        ("a\r\nb\rc\nd", ["a", "b", "c", "d"]),
+        ("a\n\rb", ["a", "", "b"]),
+        ("a\x85b c", ["a\x85b c"]),
+        (" \n ", [" ", " "]),
+    ],
+)
+def test_line_rules(texts, text, expected):
+    rows = split_numbered_lines(texts(text), "id").orderBy("ln").collect()
+    assert [r.line for r in rows] == expected
+    assert [r.ln for r in rows] == list(range(len(expected)))
+    assert sorted(r.line for r in split_lines(texts(text)).collect()) == sorted(expected)
+
+
+def test_file_and_column_lines_agree(spark, tmp_path, texts):
+    text = "one\r\ntwo\r\rfour\n\n six \nlast"
+    (tmp_path / "t.txt").write_bytes(text.encode())
+    from_file = [r.line for r in read_lines(spark, str(tmp_path / "t.txt")).collect()]
+    assert from_file == ["one", "two", "", "four", "", " six ", "last"]
+    assert from_file == [r.line for r in split_lines(texts(text)).collect()]
+
+
+@pytest.mark.parametrize(
+    ("line", "expected"),
+    [
+        ("", [""]),
+        ("  ", []),
+        (" a", ["", "a"]),
+        ("a ", ["a"]),
+        ("a  b ", ["a", "", "b"]),
+        ("a b", ["a", "b"]),
+        ("a\tb c d", ["a\tb", "c d"]),
+        ("\t", ["\t"]),
+    ],
+)
+def test_token_rules(spark, line, expected):
+    df = spark.createDataFrame([(line,)], "line string")
+    assert df.select(X.token_array(F.col("line"))).first()[0] == expected
+    assert [r.tok for r in tokens(df).collect()] == expected
+
+
+def test_word_rules_differ(texts):
+    df = texts("much-needed 3.7 $70 . J. don't Kelvin Kelvin\n--")
+    collect = lambda d: sorted(r[0] for r in d.collect())
+    assert collect(words(df)) == sorted(["37", "", "j", "kelvin"])
+    assert collect(alpha_tokens(df)) == sorted(["", "J", "Kelvin"])
+    assert collect(clean_words(df)) == sorted(["muchneeded", "37", "70", "j", "dont", "elvin", "kelvin"])
+
+
+def test_whole_text_and_per_token_forms_agree(spark, random_texts):
+    df = spark.createDataFrame([(t,) for t in random_texts], "text string")
+    toks = tokens(split_lines(df))
+    per_token = toks.select(X.clean_form(F.col("tok")).alias("word")).where("word <> ''")
+    whole = clean_words(df)
+    assert per_token.exceptAll(whole).isEmpty() and whole.exceptAll(per_token).isEmpty()
+
+
+@pytest.mark.parametrize(
+    ("operator", "model"),
+    [
+        (lambda df: tokens(split_lines(df)), py_text_tokens),
+        (words, py_words),
+        (alpha_tokens, py_alpha),
+        (clean_words, py_clean),
+    ],
+    ids=["tokens", "words", "alpha", "clean"],
+)
+def test_random_texts(spark, random_texts, operator, model):
+    df = spark.createDataFrame([(t,) for t in random_texts], "text string")
+    ours = Counter(r[0] for r in operator(df).collect())
+    assert ours == Counter(w for t in random_texts for w in model(t))
+
+
+def test_contains_word_is_exact(spark, random_texts):
+    rows = [(i, t) for i, t in enumerate(random_texts)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    ours = {r.id for r in df.where(X.contains_word(F.col("text"))).collect()}
+    assert ours == {i for i, t in rows if py_words(t)}
+
+
+def test_numbered_positions(spark, random_texts):
+    df = spark.createDataFrame(list(enumerate(random_texts)), "id int, text string")
+    toks = split_numbered_lines(df, "id").select(
+        "id", "ln", F.posexplode(X.token_array(F.col("line"))).alias("pos", "tok")
+    )
+    ours = defaultdict(dict)
+    for r in toks.collect():
+        ours[r.id][r.ln, r.pos] = r.tok
+    for i, text in enumerate(random_texts):
+        expected = {
+            (ln, pos): tok for ln, line in enumerate(py_lines(text)) for pos, tok in enumerate(py_tokens(line))
+        }
+        assert ours.get(i, {}) == expected
+
+
+@pytest.mark.parametrize("n", [1, 10, 5000])
+def test_first_words_are_in_text_order(spark, random_texts, n):
+    rows = [(1000 + i, t) for i, t in enumerate(random_texts)]
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "id int, text string")
+    ours = [(r.id, r.word) for r in first_words(df, "id", n=n).collect()]
+    assert ours == [(i, w) for i, t in rows for w in py_words(t)][:n]
+
+
+def test_first_words_skips_texts_without_words(texts, values):
+    df = texts("--", "", "  \n", "! a", "$ $", "b c.")
+    assert [r.word for r in first_words(df, "id", n=2).collect()] == ["a", "b"]
+    assert [r.word for r in first_words(df, "id").collect()] == ["a", "b", "c"]
+
+
+def test_null_and_empty_texts_have_no_tokens(spark):
+    df = spark.createDataFrame([(None,), ("",)], "text string")
+    for result in (split_lines(df), words(df), clean_words(df), alpha_tokens(df)):
+        assert result.isEmpty()
+    assert row_count(tokens(split_lines(df)), "n").first().n == 0
+
+
+PARAGRAPH_COUNTS = {"paragraph_a.txt": (103, 100, 61), "paragraph_b.txt": (117, 111, 76)}
+PARAGRAPH_STARTS = {
+    "paragraph_a.txt": "senator marco rubio of florida won at the puerto rico",
+    "paragraph_b.txt": "mr rubio who in recent days has focused on his",
+}
+
+
+@pytest.mark.parametrize("name", PARAGRAPH_COUNTS)
+def test_paragraph_counts(spark, fixture_path, name):
+    lines = read_lines(spark, fixture_path(name))
+    found = words(lines, "line")
+    counts = tokens(lines).count(), found.count(), found.distinct().count()
+    assert counts == PARAGRAPH_COUNTS[name]
+    assert found.where("word = ''").isEmpty()
+
+
+@pytest.mark.parametrize("name", PARAGRAPH_STARTS)
+def test_paragraph_starts(spark, fixture_path, name):
+    lines = read_lines(spark, fixture_path(name)).withColumn("id", F.lit(0))
+    assert " ".join(r.word for r in first_words(lines, "id", "line").collect()) == PARAGRAPH_STARTS[name]
+
+
+def test_paragraph_word_counts(spark, fixture_path):
+    lines = read_lines(spark, fixture_path("paragraph_a.txt"))
+    clean = sorted_by_key(count_per_key(clean_words(lines, "line"), "word"), "word").collect()
+    assert (len(clean), sum(r.cnt for r in clean)) == (64, 103)
+    assert [tuple(r) for r in clean[:6]] == [
+        ("a", 3),
+        ("according", 1),
+        ("after", 2),
+        ("all", 1),
+        ("and", 3),
+        ("associated", 1),
+    ]
+    assert max(clean, key=lambda r: r.cnt).asDict() == {"word": "the", "cnt": 8}
+    raw = count_per_key(tokens(lines), "tok").collect()
+    assert (len(raw), sum(r.cnt for r in raw)) == (67, 103)
+
+
+def test_alpha_list(spark):
+    items = ["Senator", "Marco", "Rubio", "10", "the", "Puerto", "Rico."]
+    df = spark.createDataFrame([(w,) for w in items], "text string")
+    assert sorted(r.word for r in alpha_tokens(df).collect()) == sorted(
+        ["Senator", "Marco", "Rubio", "the", "Puerto", "Rico"]
+    )
