@@ -4,39 +4,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_DEFAULTS = {
-    T.StringType: "",
-    T.IntegerType: 0,
-    T.LongType: 0,
-    T.FloatType: 0.0,
-    T.DoubleType: 0.0,
-}
+INTEGERS = (T.IntegerType, T.LongType)
+# Types a field can have, with a value that is never seen: see required_field.
+UNSEEN = {"string": "''", "int": "0", "bigint": "0", "float": "0", "double": "0"}
 
 
-def required_field(parts: Column, index: int, field: T.StructField, last_typed: int) -> Column:
-    """Field ``index`` of a split record, cast to its type, or an error for the whole job.
+def required_field(parts: str, index: int, field: T.StructField, last_typed: int) -> Column:
+    """Field ``index`` of the array column ``parts``, cast to its type, or an error for the job.
 
-    Does not depend on the session's ANSI mode. Trailing empty fields count as missing:
-    up to ``last_typed``, the last field that is not a string, the casts see to it; after
-    it a string is present only if something non-empty follows or is there.
+    Does not depend on the session's ANSI mode. Trailing empty fields count as missing: up
+    to ``last_typed``, the last field that is not a string, the casts see to it; after it, a
+    string is there only if it or something after it is non-empty.
     """
-    raw = F.get(parts, index)
-    value = raw
+    kind = field.dataType.simpleString()
+    raw = f"get({parts}, {index})"
     if isinstance(field.dataType, T.StringType):
+        value = raw
         if index > last_typed:
-            rest = F.slice(parts, index + 1, 2**31 - 1)
-            is_empty_line = (F.size(parts) == 1) & (raw == "") & F.lit(index == 0)
-            value = F.when((F.array_join(rest, "") != "") | is_empty_line, raw)
-    elif isinstance(field.dataType, (T.IntegerType, T.LongType)):
-        # a cast would trim blanks around the digits
-        value = F.when(raw.rlike(r"\A[+-]?[0-9]+\z"), raw).try_cast(field.dataType)
+            rest = f"array_join(slice({parts}, {index + 1}, {2**31 - 1}), '')"
+            empty_line = f"{index} = 0 AND size({parts}) = 1"
+            value = f"CASE WHEN {rest} <> '' OR ({empty_line}) THEN {raw} END"
+    elif isinstance(field.dataType, INTEGERS):
+        # digits only: the cast alone would accept blanks around them
+        value = f"CASE WHEN {raw} RLIKE r'\\A[+-]?[0-9]+\\z' THEN try_cast({raw} AS {kind}) END"
     else:
-        value = raw.try_cast(field.dataType)
+        value = f"try_cast({raw} AS {kind})"
 
-    message = F.concat(
-        F.lit(f"bad field {index} '{field.name}' ({field.dataType.simpleString()}): "),
-        F.coalesce(raw, F.lit("missing")),
-    )
-    # The literal is never reached; it makes the column non-nullable, as declared.
-    never = F.lit(_DEFAULTS[type(field.dataType)]).cast(field.dataType)
-    return F.coalesce(value, F.raise_error(message).cast(field.dataType), never).alias(field.name)
+    label = f"bad field {index} `{field.name}` ({kind}): ".replace("\\", "\\\\").replace("'", "\\'")
+    error = f"raise_error(concat('{label}', coalesce({raw}, 'missing')))"
+    # The last literal makes the column non-nullable, as declared.
+    unseen = f"CAST({UNSEEN[kind]} AS {kind})"
+    return F.expr(f"coalesce({value}, CAST({error} AS {kind}), {unseen})").alias(field.name)

@@ -21,7 +21,7 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, separator: str, line
     last_typed = max(typed, default=-1)
     parts = lines.select(F.split(line, re.escape(separator)).alias("parts"))
     return parts.select(
-        *(required_field(F.col("parts"), i, f, last_typed) for i, f in enumerate(schema.fields))
+        *(required_field("parts", i, f, last_typed) for i, f in enumerate(schema.fields))
     )
 
 

@@ -111,7 +111,7 @@ def test_unread_columns_are_not_checked(parse):
     """Columns that no result needs are pruned, and so is their check."""
     df = parse("a, old, 4000")
     assert [r.name for r in well_paid(df).collect()] == ["a"]
-    with pytest.raises(PySparkException, match="bad field 1 'age'"):
+    with pytest.raises(PySparkException, match="bad field 1 `age`"):
         df.collect()
 
 
