@@ -43,32 +43,47 @@ def token_array(line: Column) -> Column:
     )
 
 
-def nonblank_token_array(text: Column) -> Column:
-    """Tokens of a line or of a whole text, for rules that drop blanks anyway.
+def _bounded_run(pattern: str) -> str:
+    """Regex for whole tokens of a text, given "one or more of a set without separators".
 
-    Non-blank tokens are the runs between spaces and line breaks, so one split of the
-    whole text finds them. A blank can remain at either end only.
+    Such a token is a run with a separator or an end of the text on either side. The added
+    plus makes the run possessive, so one that goes on with another character is given up
+    at once.
     """
-    return F.split(text, TOKEN_GAP)
+    return rf"(?<![^ \r\n]){_posix(pattern)}+(?![^ \r\n])"
+
+
+def matching_token_array(text: Column, pattern: str) -> Column:
+    """The tokens of a line or a whole text that match ``pattern`` fully.
+
+    One search of the text finds them all and never builds the other tokens.
+    """
+    return F.regexp_extract_all(text, F.lit(_bounded_run(pattern)), F.lit(0))
 
 
 def matches_fully(token: Column, pattern: str) -> Column:
     return token.rlike(rf"\A{_posix(pattern)}\z")
 
 
+def _without(token: Column, *characters: str) -> Column:
+    for character in characters:
+        token = F.replace(token, F.lit(character), F.lit(""))
+    return token
+
+
 def word_form(token: Column) -> Column:
-    """Lower-case, then strip points and commas; '.' becomes the empty word."""
-    return F.regexp_replace(F.lower(token), fixed.WORD_STRIP, "")
+    """Lower-case, then strip points and commas (WORD_STRIP); '.' becomes the empty word."""
+    return _without(F.lower(token), ".", ",")
 
 
 def alpha_form(token: Column) -> Column:
-    """Strip everything but letters and digits, keep the case."""
-    return F.regexp_replace(token, _posix(fixed.NON_ALPHANUMERIC), "")
+    """Strip all but letters and digits. In an ALPHA_TOKEN only points can go."""
+    return _without(token, ".")
 
 
 def clean_form(token: Column) -> Column:
     """Strip everything but letters and digits, then lower-case. The order matters."""
-    return F.lower(alpha_form(token))
+    return F.lower(F.regexp_replace(token, _posix(fixed.NON_ALPHANUMERIC), ""))
 
 
 def clean_token_array(text: Column) -> Column:
@@ -81,6 +96,6 @@ def clean_token_array(text: Column) -> Column:
     return F.split(F.lower(stripped), TOKEN_GAP)
 
 
-def contains_word(text: Column) -> Column:
-    """Whether any token of the text is a word; stops at the first one."""
-    return text.rlike(rf"(?<![^ \r\n]){_posix(fixed.WORD_TOKEN)}+(?![^ \r\n])")
+def contains_token(text: Column, pattern: str) -> Column:
+    """Whether matching_token_array would find any token; stops at the first one."""
+    return text.rlike(_bounded_run(pattern))

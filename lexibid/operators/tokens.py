@@ -13,23 +13,15 @@ def tokens(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.select(F.explode(X.token_array(F.col(line))).alias("tok"))
 
 
-def nonblank_tokens(texts: DataFrame, text: str = "text") -> DataFrame:
-    """Tokens of lines or whole texts for rules that never match a blank: ``tok``.
-
-    A text that starts or ends with a separator still yields an empty token there.
-    """
-    return texts.select(F.explode(X.nonblank_token_array(F.col(text))).alias("tok"))
-
-
 def words(texts: DataFrame, text: str = "text") -> DataFrame:
     """Tokens of letters, digits, points and commas only, in word form: ``word``."""
-    toks = nonblank_tokens(texts, text).where(X.matches_fully(F.col("tok"), fixed.WORD_TOKEN))
+    toks = texts.select(F.explode(X.matching_token_array(F.col(text), fixed.WORD_TOKEN)).alias("tok"))
     return toks.select(X.word_form(F.col("tok")).alias("word"))
 
 
 def alpha_tokens(texts: DataFrame, text: str = "text") -> DataFrame:
-    """Tokens of letters and points only, stripped, case kept: ``word``."""
-    toks = nonblank_tokens(texts, text).where(X.matches_fully(F.col("tok"), fixed.ALPHA_TOKEN))
+    """Tokens of letters and points only, stripped of the points, case kept: ``word``."""
+    toks = texts.select(F.explode(X.matching_token_array(F.col(text), fixed.ALPHA_TOKEN)).alias("tok"))
     return toks.select(X.alpha_form(F.col("tok")).alias("word"))
 
 
@@ -46,7 +38,7 @@ def first_words(texts: DataFrame, key: str, text: str = "text", n: int = fixed.H
     needs one look per text up to its first word; only those texts are then split. Their
     ``n`` keys are all that is broadcast.
     """
-    starts = texts.where(X.contains_word(F.col(text))).select(key).orderBy(key).limit(n)
+    starts = texts.where(X.contains_token(F.col(text), fixed.WORD_TOKEN)).select(key).orderBy(key).limit(n)
     opening = texts.join(F.broadcast(starts), key, "left_semi")
     toks = split_numbered_lines(opening, key, text).select(
         key, "ln", F.posexplode(X.token_array(F.col("line"))).alias("pos", "tok")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from lexibid import fixed
 from lexibid.functions import text as X
 from lexibid.operators.counts import count_per_key, row_count, sorted_by_key
 from lexibid.operators.tokens import alpha_tokens, clean_words, first_words, tokens, words
@@ -139,10 +140,24 @@ def test_random_texts(spark, random_texts, operator, model):
     assert ours == Counter(w for t in random_texts for w in model(t))
 
 
-def test_contains_word_is_exact(spark, random_texts):
+def test_word_forms_follow_the_stated_patterns(spark, random_texts):
+    """The forms avoid regexes where they can; here they meet the patterns they stand for."""
+    toks = tokens(split_lines(spark.createDataFrame([(t,) for t in random_texts], "text string"))).distinct()
+    for pattern, form, stated in (
+        (fixed.WORD_TOKEN, X.word_form, lambda c: F.regexp_replace(F.lower(c), fixed.WORD_STRIP, "")),
+        (fixed.ALPHA_TOKEN, X.alpha_form, lambda c: F.regexp_replace(c, fixed.NON_ALPHANUMERIC, "")),
+        (".*", X.clean_form, lambda c: F.lower(F.regexp_replace(c, fixed.NON_ALPHANUMERIC, ""))),
+    ):
+        tok = F.col("tok")
+        matching = toks.where(tok.rlike(rf"(?s)\A{pattern}\z"))
+        assert not matching.isEmpty()
+        assert matching.where(form(tok) != stated(tok)).isEmpty()
+
+
+def test_contains_token_is_exact(spark, random_texts):
     rows = [(i, t) for i, t in enumerate(random_texts)]
     df = spark.createDataFrame(rows, "id int, text string")
-    ours = {r.id for r in df.where(X.contains_word(F.col("text"))).collect()}
+    ours = {r.id for r in df.where(X.contains_token(F.col("text"), fixed.WORD_TOKEN)).collect()}
     assert ours == {i for i, t in rows if py_words(t)}
 
 
