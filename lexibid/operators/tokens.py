@@ -43,9 +43,21 @@ def first_words(texts: DataFrame, key: str, text: str = "text", n: int = fixed.H
     toks = split_numbered_lines(opening, key, text).select(
         key, "ln", F.posexplode(X.token_array(F.col("line"))).alias("pos", "tok")
     )
+    return _first_word_tokens(toks, [key, "ln", "pos"], n)
+
+
+def first_words_of_lines(
+    lines: DataFrame, order: list[str], line: str = "line", n: int = fixed.HEAD_ROWS
+) -> DataFrame:
+    """The first ``n`` words of lines sorted by the columns ``order``: ``*order, pos, word``.
+
+    The first ``n`` lines that have a word hold them; only those are split.
+    """
+    opening = lines.where(X.contains_token(F.col(line), fixed.WORD_TOKEN)).orderBy(*order).limit(n)
+    toks = opening.select(*order, F.posexplode(X.token_array(F.col(line))).alias("pos", "tok"))
+    return _first_word_tokens(toks, [*order, "pos"], n)
+
+
+def _first_word_tokens(toks: DataFrame, order: list[str], n: int) -> DataFrame:
     found = toks.where(X.matches_fully(F.col("tok"), fixed.WORD_TOKEN))
-    return (
-        found.select(key, "ln", "pos", X.word_form(F.col("tok")).alias("word"))
-        .orderBy(key, "ln", "pos")
-        .limit(n)
-    )
+    return found.select(*order, X.word_form(F.col("tok")).alias("word")).orderBy(*order).limit(n)

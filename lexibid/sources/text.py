@@ -11,6 +11,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their place in the input: ``file, start, row, line``.
+
+    ``start`` is the offset of the file split a line was read in, and ``row`` grows within
+    a split but means nothing by itself. Sorted by the three, lines are in text order.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("line"),
+    )
+
+
 def split_lines(texts: DataFrame, text: str = "text") -> DataFrame:
     """One row per line of each text: ``line``."""
     return texts.select(F.split(text, X.LINE_BREAK).alias("breaks")).select(
