@@ -8,16 +8,17 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def with_min_partitions(scan: DataFrame, minimum: int | None = None) -> DataFrame:
-    """Spread a file scan that has fewer splits than the cluster has task slots.
+    """Spread a file scan that has less than half as many splits as the cluster has task slots.
 
     For scans followed by much work per row (splitting text). ``scan`` must come straight
     from files, with filters and projections at most. A scan with enough splits is returned
     as it is, so large inputs are never shuffled: what is spread here is below
-    ``minimum`` splits of ``spark.sql.files.maxPartitionBytes`` each.
+    ``minimum / 2`` splits of ``spark.sql.files.maxPartitionBytes`` each. Rows go round in
+    turn, so no value of theirs can make one task heavier than another.
     """
     if minimum is None:
         minimum = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= minimum:
+    if 2 * scan.rdd.getNumPartitions() > minimum:
         return scan
     return scan.repartition(minimum)
 
