@@ -11,9 +11,8 @@ FIXTURES = Path(__file__).resolve().parent / "fixtures"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(8, "tests", **{"spark.checkpoint.dir": shared})
+def spark():
+    session = local_session(8, "tests")
     yield session
     session.stop()
 
