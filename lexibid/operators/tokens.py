@@ -34,12 +34,14 @@ def clean_words(texts: DataFrame, text: str = "text") -> DataFrame:
 def first_words(texts: DataFrame, key: str, text: str = "text", n: int = fixed.HEAD_ROWS) -> DataFrame:
     """The first ``n`` words in text order: ``key, ln, pos, word``.
 
-    The first ``n`` texts that have a word at all hold the first ``n`` words. Finding them
-    needs one look per text up to its first word; only those texts are then split. Their
-    ``n`` keys are all that is broadcast.
+    The first ``n`` texts that have a word at all hold the first ``n`` words. Finding the last
+    of them needs one look per text up to its first word. Only texts up to that key are then
+    split; the bound reaches the scan, so files or row groups beyond it are skipped. Texts
+    without a key have no place in the order and are left out.
     """
-    starts = texts.where(X.contains_token(F.col(text), fixed.WORD_TOKEN)).select(key).orderBy(key).limit(n)
-    opening = texts.join(F.broadcast(starts), key, "left_semi")
+    keyed = texts.where(F.col(key).isNotNull())
+    starts = keyed.where(X.contains_token(F.col(text), fixed.WORD_TOKEN)).select(key).orderBy(key).limit(n)
+    opening = keyed.where(F.col(key) <= starts.agg(F.max(key)).scalar())
     toks = split_numbered_lines(opening, key, text).select(
         key, "ln", F.posexplode(X.token_array(F.col("line"))).alias("pos", "tok")
     )

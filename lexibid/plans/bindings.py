@@ -8,26 +8,38 @@ from lexibid.sources.delimited import format_delimited
 from lexibid.sources.tables import read_table, with_min_partitions
 
 
+# The columns used, with the types they have in the files.
+DOCUMENTS = "doc_id bigint, text string, lang string"
+BENCHMARK = "item_id bigint, text string"
+CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+LINEITEM = (
+    "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+)
+PART = "p_partkey bigint, p_size int"
+
+
 def corpus(spark: SparkSession, directory: str) -> DataFrame:
     """All documents: ``doc_id, text``."""
-    return with_min_partitions(read_table(spark, directory, "documents").select("doc_id", "text"))
+    return with_min_partitions(read_table(spark, directory, "documents", DOCUMENTS).select("doc_id", "text"))
 
 
 def corpus_a(spark: SparkSession, directory: str) -> DataFrame:
     """The English documents: ``doc_id, text``."""
-    english = read_table(spark, directory, "documents").where("lang = 'en'")
+    english = read_table(spark, directory, "documents", DOCUMENTS).where("lang = 'en'")
     return with_min_partitions(english.select("doc_id", "text"))
 
 
 def corpus_b(spark: SparkSession, directory: str) -> DataFrame:
     """The benchmark passages: ``doc_id, text``."""
-    passages = read_table(spark, directory, "benchmark")
+    passages = read_table(spark, directory, "benchmark", BENCHMARK)
     return with_min_partitions(passages.select(F.col("item_id").alias("doc_id"), "text"))
 
 
 def employees(spark: SparkSession, directory: str) -> DataFrame:
     """Customers as employees: ``id, name, age, salary``."""
-    return read_table(spark, directory, "customer").select(
+    return read_table(spark, directory, "customer", CUSTOMER).select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("age"),
@@ -38,7 +50,7 @@ def employees(spark: SparkSession, directory: str) -> DataFrame:
 def employee_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Customers as delimited employee records: ``line``."""
     customers = with_min_partitions(
-        read_table(spark, directory, "customer").select("c_name", "c_nationkey", "c_acctbal")
+        read_table(spark, directory, "customer", CUSTOMER).select("c_name", "c_nationkey", "c_acctbal")
     )
     return format_delimited(customers, customers.columns, fixed.EMPLOYEE_SEPARATOR)
 
@@ -46,7 +58,7 @@ def employee_lines(spark: SparkSession, directory: str) -> DataFrame:
 def bids(spark: SparkSession, directory: str) -> DataFrame:
     """Events as bids: ``bid_id, auctionid, bid, bidtime, price, item``."""
     value = F.col("value")
-    return read_table(spark, directory, "events").select(
+    return read_table(spark, directory, "events", EVENTS).select(
         F.col("event_id").alias("bid_id"),
         F.col("user_id").alias("auctionid"),
         value.alias("bid"),
@@ -59,7 +71,7 @@ def bids(spark: SparkSession, directory: str) -> DataFrame:
 def line_bids(spark: SparkSession, directory: str) -> DataFrame:
     """Order lines as bids: ``auctionid, bid, price, item``."""
     amount = F.col("l_extendedprice")
-    return read_table(spark, directory, "lineitem").select(
+    return read_table(spark, directory, "lineitem", LINEITEM).select(
         F.col("l_orderkey").alias("auctionid"),
         amount.alias("bid"),
         amount.alias("price"),
@@ -101,14 +113,14 @@ def _bid_lines(table: DataFrame, record: list[str]) -> DataFrame:
 
 def lineitem_bid_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Order lines as delimited bid records: ``line``."""
-    return _bid_lines(read_table(spark, directory, "lineitem"), LINEITEM_RECORD)
+    return _bid_lines(read_table(spark, directory, "lineitem", LINEITEM), LINEITEM_RECORD)
 
 
 def event_bid_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Events as delimited bid records: ``line``."""
-    return _bid_lines(read_table(spark, directory, "events"), EVENT_RECORD)
+    return _bid_lines(read_table(spark, directory, "events", EVENTS), EVENT_RECORD)
 
 
 def integers(spark: SparkSession, directory: str) -> DataFrame:
     """Part sizes: ``p_partkey, p_size``."""
-    return read_table(spark, directory, "part").select("p_partkey", "p_size")
+    return read_table(spark, directory, "part", PART).select("p_partkey", "p_size")

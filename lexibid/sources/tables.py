@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+def read_table(spark: SparkSession, directory: str, name: str, schema: str) -> DataFrame:
+    """The columns of a table named in ``schema`` (DDL), with no job to infer them."""
+    return spark.read.schema(schema).parquet(f"{directory}/{name}.parquet")
 
 
 def with_min_partitions(scan: DataFrame, minimum: int | None = None) -> DataFrame:

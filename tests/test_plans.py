@@ -2,6 +2,7 @@
 
 import pytest
 
+from lexibid.plans import bindings
 from lexibid.plans.queries import all_queries
 from lexibid.sources.tables import read_table, temp_table, with_min_partitions
 
@@ -71,8 +72,19 @@ def test_one_split_per_delimited_line(spark, plan):
     assert plan(QUERIES["delim_scan_bids"](spark, SF_DIR)).count("split(") == 1
 
 
+def test_first_words_bound_reaches_the_scan(spark, plan):
+    assert "LessThanOrEqual(doc_id,ScalarSubquery" in plan(QUERIES["first_words"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["documents", "benchmark", "customer", "events", "lineitem", "part"])
+def test_declared_columns_are_those_of_the_files(spark, name):
+    declared = read_table(spark, SF_DIR, name, getattr(bindings, name.upper()))
+    stored = spark.read.parquet(f"{SF_DIR}/{name}.parquet").select(*declared.columns)
+    assert declared.schema == stored.schema
+
+
 def test_large_scans_are_not_spread(spark, plan):
-    scan = read_table(spark, SF_DIR, "documents")
+    scan = read_table(spark, SF_DIR, "documents", bindings.DOCUMENTS)
     assert "RoundRobin" in plan(with_min_partitions(scan, 4))
     assert with_min_partitions(scan, 1) is scan
     assert with_min_partitions(scan, 4).rdd.getNumPartitions() == 4

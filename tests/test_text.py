@@ -184,7 +184,14 @@ def test_first_words_are_in_text_order(spark, random_texts, n):
     assert ours == [(i, w) for i, t in rows for w in py_words(t)][:n]
 
 
-def test_first_words_skips_texts_without_words(texts, values):
+def test_first_words_without_any_word_or_key(spark):
+    df = spark.createDataFrame([(1, "--"), (None, "lost"), (2, None)], "id int, text string")
+    assert first_words(df, "id").collect() == []
+    more = df.union(spark.createDataFrame([(3, "b"), (4, "c")], df.schema))
+    assert [r.word for r in first_words(more, "id", n=2).collect()] == ["b", "c"]
+
+
+def test_first_words_skips_texts_without_words(texts):
     df = texts("--", "", "  \n", "! a", "$ $", "b c.")
     assert [r.word for r in first_words(df, "id", n=2).collect()] == ["a", "b"]
     assert [r.word for r in first_words(df, "id").collect()] == ["a", "b", "c"]
