@@ -6,11 +6,10 @@ reads its files anew. Persist an input first if several of its answers are wante
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexibid import fixed
 from lexibid.operators import auctions, auctions_sql, tabular, vocabulary
 from lexibid.operators.counts import count_per_key, distinct_rows, sorted_by_key
 from lexibid.operators.tokens import clean_words, first_words_of_lines, tokens, words
-from lexibid.sources.delimited import read_delimited
+from lexibid.sources.delimited import read_bids, read_employees
 from lexibid.sources.pairs import write_pairs
 from lexibid.sources.text import read_lines, read_ordered_lines
 
@@ -43,7 +42,7 @@ def compare_texts(spark: SparkSession, path_a: str, path_b: str) -> dict[str, Da
 
 
 def employee_report(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    employees = read_delimited(spark, path, fixed.EMPLOYEE_SCHEMA, fixed.EMPLOYEE_SEPARATOR)
+    employees = read_employees(spark, path)
     return {
         "employees": employees,
         "well_paid": tabular.well_paid(employees),
@@ -66,7 +65,7 @@ BID_QUESTIONS = [
 
 def bid_report(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Every question about the bids at ``path``, in the DataFrame form and (``_sql``) in SQL."""
-    bids = read_delimited(spark, path, fixed.BID_SCHEMA, fixed.BID_SEPARATOR)
+    bids = read_bids(spark, path)
     report = {
         "bids": bids,
         "schema": tabular.schema_report(bids),

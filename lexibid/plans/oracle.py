@@ -127,6 +127,7 @@ CORPUS_SUMMARY = f"""SELECT
 def all_oracles() -> dict[str, str]:
     oracles = {
         "text_lines": lines(DOCUMENTS),
+        "text_file_lines": lines(DOCUMENTS),
         "tokens": tokens(DOCUMENTS),
         "alpha_tokens": alpha_tokens(DOCUMENTS),
         "token_count": count_of(tokens(DOCUMENTS), "tokens"),
@@ -147,10 +148,14 @@ def all_oracles() -> dict[str, str]:
         "filter_project": f"SELECT name FROM ({EMPLOYEES}) WHERE salary > 3500",
         "filter_project_sql": f"SELECT name FROM ({EMPLOYEES}) WHERE salary > 3500",
         "delim_scan_employees": PARSED_EMPLOYEES,
+        "delim_file_scan_employees": PARSED_EMPLOYEES,
+        "delim_file_scan_bids": PARSED_BIDS,
         "delim_filter_project": f"SELECT name FROM ({PARSED_EMPLOYEES}) WHERE salary > 3500",
         "delim_filter_project_sql": f"SELECT name FROM ({PARSED_EMPLOYEES}) WHERE salary > 3500",
         "delim_scan_bids": PARSED_BIDS,
+        "delim_auction_count": f"SELECT count(DISTINCT auctionid) AS number_of_auctions FROM ({PARSED_BIDS})",
         "delim_item_stats": per_item(PARSED_BIDS, ALL_BID_MEASURES),
+        "delim_auction_stats": per_item(per_auction(PARSED_BIDS), ALL_AUCTION_MEASURES),
         "delim_bids_over_100": f"SELECT * FROM ({PARSED_EVENT_BIDS}) WHERE price > 100",
         "delim_bids_over_100_sql": f"SELECT * FROM ({PARSED_EVENT_BIDS}) WHERE price > 100",
         "bids_schema": BIDS_SCHEMA,

@@ -9,10 +9,11 @@ from lexibid.operators import auctions, auctions_sql, tabular, vocabulary
 from lexibid.operators.counts import count_per_key, distinct_rows, row_count, sorted_by_key
 from lexibid.operators.tokens import alpha_tokens, clean_words, first_words, tokens, words
 from lexibid.plans import bindings
-from lexibid.sources.delimited import parse_delimited
-from lexibid.sources.pairs import fresh_output_path, read_pairs, write_pairs
+from lexibid.sources.delimited import parse_delimited, read_bids, read_employees
+from lexibid.sources.pairs import read_pairs, write_pairs
+from lexibid.sources.shared import fresh_output_path
 from lexibid.sources.tables import temp_table
-from lexibid.sources.text import split_lines
+from lexibid.sources.text import read_lines, split_lines, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 Binding = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,17 @@ def through_sink(key: str) -> Callable[[DataFrame], DataFrame]:
     return step
 
 
+def through_files(reader: Callable[[SparkSession, str], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """Write lines as text files and return what ``reader`` makes of them."""
+
+    def step(lines: DataFrame) -> DataFrame:
+        path = fresh_output_path(lines.sparkSession, "lines")
+        write_lines(lines, path)
+        return reader(lines.sparkSession, path)
+
+    return step
+
+
 def parsed_employees(spark: SparkSession, directory: str) -> DataFrame:
     lines = bindings.employee_lines(spark, directory)
     return parse_delimited(lines, fixed.EMPLOYEE_SCHEMA, fixed.EMPLOYEE_SEPARATOR)
@@ -85,6 +97,7 @@ def _text_queries() -> dict[str, Query]:
     corpora = {"": bindings.corpus_a, "_b": bindings.corpus_b}
     queries: dict[str, Query] = {
         "text_lines": over(bindings.corpus, split_lines),
+        "text_file_lines": over(bindings.corpus, split_lines, through_files(read_lines)),
         "tokens": over(bindings.corpus, split_lines, tokens),
         "alpha_tokens": over(bindings.corpus, alpha_tokens),
         "token_count": over(bindings.corpus, split_lines, tokens, counted("tokens")),
@@ -128,10 +141,14 @@ def _tabular_queries() -> dict[str, Query]:
         "filter_project": over(bindings.employees, tabular.well_paid),
         "filter_project_sql": over(bindings.employees, tabular.well_paid_sql),
         "delim_scan_employees": parsed_employees,
+        "delim_file_scan_employees": over(bindings.employee_lines, through_files(read_employees)),
+        "delim_file_scan_bids": over(bindings.lineitem_bid_lines, through_files(read_bids)),
         "delim_filter_project": over(parsed_employees, tabular.well_paid),
         "delim_filter_project_sql": over(parsed_employees, tabular.well_paid_sql),
         "delim_scan_bids": parsed_bids,
+        "delim_auction_count": over(parsed_bids, auctions.auction_count),
         "delim_item_stats": over(parsed_bids, auctions.item_stats),
+        "delim_auction_stats": over(parsed_bids, auctions.auction_stats),
         "delim_bids_over_100": over(parsed_event_bids, auctions.bids_over_price_floor),
         "delim_bids_over_100_sql": over(parsed_event_bids, auctions_sql.bids_over_price_floor),
     }

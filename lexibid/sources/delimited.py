@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexibid import fixed
 from lexibid.functions.fields import required_field
 from lexibid.sources.text import read_lines
 
@@ -29,6 +30,14 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, separat
     return parse_delimited(read_lines(spark, path), schema, separator)
 
 
+def read_employees(spark: SparkSession, path: str) -> DataFrame:
+    return read_delimited(spark, path, fixed.EMPLOYEE_SCHEMA, fixed.EMPLOYEE_SEPARATOR)
+
+
+def read_bids(spark: SparkSession, path: str) -> DataFrame:
+    return read_delimited(spark, path, fixed.BID_SCHEMA, fixed.BID_SEPARATOR)
+
+
 def format_delimited(df: DataFrame, columns: list[str], separator: str) -> DataFrame:
     """The inverse of a scan: one ``line`` per row, the columns joined in order."""
     return df.select(F.concat_ws(separator, *(F.col(c).cast("string") for c in columns)).alias("line"))

@@ -1,8 +1,5 @@
 """The (key,count) text sink, and the way back."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,16 +22,3 @@ def read_pairs(spark: SparkSession, path: str, key: str = "word", count: str = "
         F.regexp_extract(value, PAIR_LINE, 1).alias(key),
         F.regexp_extract(value, PAIR_LINE, 2).cast("bigint").alias(count),
     )
-
-
-def fresh_output_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share, taken from ``spark.checkpoint.dir``.
-
-    Where that is unset, a local temporary folder serves a local master only.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="lexibid-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -25,6 +25,11 @@ def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_lines(lines: DataFrame, path: str, line: str = "line") -> None:
+    """Write each row as one line; fails if ``path`` exists."""
+    lines.select(F.col(line).alias("value")).write.mode("errorifexists").text(path)
+
+
 def split_lines(texts: DataFrame, text: str = "text") -> DataFrame:
     """One row per line of each text: ``line``."""
     return texts.select(F.split(text, X.LINE_BREAK).alias("breaks")).select(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from lexibid.operators.counts import count_per_key, sorted_by_key
 from lexibid.operators.tokens import clean_words, tokens
-from lexibid.sources.pairs import fresh_output_path, read_pairs, write_pairs
+from lexibid.sources.pairs import read_pairs, write_pairs
+from lexibid.sources.shared import fresh_output_path
 from lexibid.sources.text import read_lines
 
 

@@ -8,9 +8,12 @@ from lexibid.sources.tables import read_table, temp_table, with_min_partitions
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = all_queries()
+# These write files when called, so they are left to the oracle tests.
+WRITING = {q for q in QUERIES if "_sink_" in q or "_file_" in q}
+LAZY = sorted(set(QUERIES) - WRITING)
 
 
-@pytest.mark.parametrize("name", sorted(q for q in QUERIES if not q.endswith("sink_roundtrip")))
+@pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_pairwise_joins(spark, plan, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     for forbidden in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
@@ -98,7 +101,7 @@ def test_temp_table_can_be_queried_by_name(spark):
 
 def test_totals_agree(spark):
     """Counts of the parts add up to counts of the whole."""
-    run = {n: QUERIES[n](spark, SF_DIR) for n in QUERIES if not n.endswith("sink_roundtrip")}
+    run = {n: QUERIES[n](spark, SF_DIR) for n in LAZY}
     total = lambda n, c: run[n].agg({c: "sum"}).first()[0]
     one = lambda n: run[n].first()[0]
     assert total("wordcount_raw", "cnt") == one("token_count")
