@@ -1,5 +1,7 @@
 """What the plans must and must not contain."""
 
+import re
+
 import pytest
 
 from lexibid.plans import bindings
@@ -71,6 +73,17 @@ def test_counts_combine_before_the_shuffle(spark, plan, name):
     assert "partial_" in plan(QUERIES[name](spark, SF_DIR))
 
 
+@pytest.mark.parametrize(
+    "name", ["tokens", "words", "wordcount_clean", "corpus_summary", "delim_scan_bids", "auction_stats"]
+)
+def test_rows_stay_in_generated_code(spark, plan, name):
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    steps = re.findall(r"^[\s:+-]*(.*?)(?:Project|Filter|Generate|HashAggregate|Sort) ?[\[(e]", final, re.M)
+    assert steps and all(step.startswith("*(") for step in steps)
+
+
 def test_one_split_per_delimited_line(spark, plan):
     assert plan(QUERIES["delim_scan_bids"](spark, SF_DIR)).count("split(") == 1
 

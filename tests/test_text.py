@@ -49,8 +49,11 @@ def py_clean(text):
     return [w for w in stripped if w != ""]
 
 
-PIECES = [" ", " ", "  ", "\n", "\r", "\r\n", "\t", "\x85", "\u2028", "\xa0", ".", ",", "-", "$", "_"]
-PIECES += ["a", "B", "the", "Z9", "0", "3.7", "\xe9", "\xdf", "\u0130", "\u212a", "\u0663", "\u6f22", "\U0001f600", "\u0000", "\\", "^", "'"]
+SEPARATORS = [" ", " ", "  ", "\n", "\r", "\r\n", "\t", "\x85", "\u2028", "\xa0"]
+PLAIN = ["a", "B", "the", "Z9", "0", "3.7", ".", ",", "-", "$", "_", "\\", "^", "'"]
+# e acute, sharp s, I with dot, Kelvin sign, Arabic three, a Han character, an emoji, NUL
+OTHER = ["\xe9", "\xdf", "\u0130", "\u212a", "\u0663", "\u6f22", "\U0001f600", "\u0000"]
+PIECES = SEPARATORS + PLAIN + OTHER
 
 
 @pytest.fixture(scope="module")
