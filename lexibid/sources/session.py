@@ -1,6 +1,7 @@
 """Sessions for tests and the bench. Library code takes the session it is given."""
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,5 +23,8 @@ def local_session(cores: str | int, app: str, **conf: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        # one machine only: its temporary folder is shared by all of the session's tasks
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexibid-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -1,19 +1,22 @@
 """Where jobs may leave files for other jobs."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def fresh_output_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share, taken from ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, named by ``spark.checkpoint.dir``.
 
-    Where that is unset, a local temporary folder serves a local master only.
+    There is no fallback: a folder of one machine would lose files on a cluster. The
+    session's owner names the folder; ``local_session`` does so for tests and the bench.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="lexibid-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return shared.rstrip("/")
+
+
+def fresh_output_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder. Whoever asked for it may delete what is written there."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
