@@ -1,5 +1,7 @@
 """Columns, tables and filters that several operators share."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,25 +44,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def membership_filter(keys: DataFrame, key: str) -> DataFrame:
     """A filter of fixed size over the hashes of ``key``: one row per bucket with any member."""
-    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("bit")
-    bits = keys.select(bit).groupBy("bit").agg(F.lit(1).alias("one"))
-    return bits.groupBy((F.col("bit") / BUCKET_BITS).cast("int").alias("_bucket")).agg(
+    bits = keys.select(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("bit")).distinct()
+    return bits.groupBy(F.expr(f"bit div {BUCKET_BITS}").alias("_bucket")).agg(
         F.expr(f"bitmap_construct_agg(bit % {BUCKET_BITS})").alias("_members")
     )
 
 
-def maybe_members(rows: DataFrame, key: str, members: DataFrame) -> DataFrame:
-    """The rows whose ``key`` is in the filter, and a few more whose hash collides with one.
+def flag_members(rows: DataFrame, key: str, members: DataFrame) -> DataFrame:
+    """``rows`` with ``_maybe``: false where ``key`` is certainly not in the filter.
 
-    The filter is broadcast: it has at most ``FILTER_BITS`` bits. A fuller filter lets
-    more rows through but never drops a member.
+    The filter is broadcast: it has at most ``FILTER_BITS`` bits, whatever the input. A fuller
+    filter flags more rows in vain but never misses a member.
     """
-    columns = rows.columns
     bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
-    probed = rows.withColumn("_bit", bit).withColumn("_bucket", (F.col("_bit") / BUCKET_BITS).cast("int"))
-    joined = probed.join(F.broadcast(members), "_bucket")
-    is_set = F.expr(
-        f"(ascii(decode(substring(_members, cast((_bit % {BUCKET_BITS}) / 8 as int) + 1, 1), 'ISO-8859-1'))"
-        " >> cast(_bit % 8 as int)) & 1 = 1"
-    )
-    return joined.where(is_set).select(*columns)
+    probed = rows.withColumn("_bit", bit).withColumn("_bucket", F.expr(f"_bit div {BUCKET_BITS}"))
+    byte = f"substring(_members, cast((_bit % {BUCKET_BITS}) div 8 as int) + 1, 1)"
+    is_set = F.expr(f"(cast(conv(hex({byte}), 16, 10) as int) >> cast(_bit % 8 as int)) & 1 = 1")
+    joined = probed.join(F.broadcast(members), "_bucket", "left")
+    return joined.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias("_maybe"))
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Settings for the jobs started inside; what was there before comes back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

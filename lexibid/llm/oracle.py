@@ -2,6 +2,16 @@
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+# Lower case of A-Z only.
+NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+EXACT_DEDUP = f"""
+    WITH normal AS (SELECT doc_id, {NORMAL} AS text FROM documents)
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+    FROM normal WINDOW same AS (PARTITION BY text)
+"""
+
 MIXING = f"""
     WITH sized AS (
         SELECT doc_id, source, {WORDS}::bigint AS size,
@@ -38,4 +48,7 @@ MIXING = f"""
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op9_mixing": MIXING}
+    return {
+        "op1_exact_dedup": EXACT_DEDUP,
+        "op9_mixing": MIXING,
+    }
