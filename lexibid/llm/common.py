@@ -2,6 +2,7 @@
 
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +79,33 @@ def session_settings(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` as ``content, file, row``: all columns in a struct, and where the row is stored.
+
+    A scan of files knows; anything else is stored first.
+    """
+    try:
+        metadata = docs.metadataColumn("_metadata")
+        return docs.select(
+            F.struct("*").alias("content"), metadata["file_path"].alias("file"), metadata["row_index"].alias("row")
+        )
+    except AnalysisException:
+        return located(written(docs, "content"))
+
+
+def place(file: str, row: str) -> Column:
+    return F.xxhash64(file, row).alias("place")
+
+
+def rows_without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``rows`` (see ``located``) but for those whose ``file, row`` is in ``dropped``.
+
+    Only rows that may have to go are moved: a filter of fixed size over the dropped places
+    lets all others pass, and a join decides on those it holds back.
+    """
+    dropped = written(dropped.select("file", "row", place("file", "row")), "dropped")
+    flagged = flag_members(rows.withColumn("place", place("file", "row")), "place", membership_filter(dropped, "place"))
+    held = flagged.where("_maybe").join(dropped.select("file", "row"), ["file", "row"], "left_anti")
+    return flagged.where("not _maybe").select(*rows.columns).unionByName(held.select(*rows.columns))

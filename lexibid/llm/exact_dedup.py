@@ -9,14 +9,16 @@ behind it are grouped as they are, and digests shared by different texts are res
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexibid.llm.common import (
     flag_members,
+    located,
     lower_ascii,
     membership_filter,
+    place,
+    rows_without,
     session_settings,
     text_or_empty,
     written,
@@ -45,20 +47,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` as ``content, file, row``: all columns in a struct, and where the row is stored.
-
-    A scan of files knows; anything else is stored first.
-    """
-    try:
-        place = docs.metadataColumn("_metadata")
-        return docs.select(
-            F.struct("*").alias("content"), place["file_path"].alias("file"), place["row_index"].alias("row")
-        )
-    except AnalysisException:
-        return located(written(docs, "dedup-content"))
-
-
 def add_documents(
     rows: DataFrame,
     folder: str,
@@ -112,10 +100,6 @@ def read_state(spark: SparkSession, folder: str) -> DataFrame:
         )
 
 
-def _place(file: str, row: str) -> Column:
-    return F.xxhash64(file, row).alias("place")
-
-
 def _hit_texts(
     rows: DataFrame, digests: DataFrame, hit: DataFrame, digest: Callable[[Column], Column]
 ) -> DataFrame:
@@ -124,12 +108,12 @@ def _hit_texts(
     Locators of the hits make a filter of fixed size, so other texts are not moved at all.
     """
     candidates = flag_members(digests, "digest", membership_filter(hit, "digest")).where("_maybe")
-    places = membership_filter(candidates.select(_place("file", "row")), "place")
+    places = membership_filter(candidates.select(place("file", "row")), "place")
     texts = rows.select(
         F.col("content.doc_id").cast("bigint").alias("doc_id"),
         "file",
         "row",
-        _place("file", "row"),
+        place("file", "row"),
         F.col("content.text").alias("text"),
     )
     found = flag_members(texts, "place", places).where("_maybe")
@@ -188,16 +172,9 @@ def _stays() -> Column:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, columns unchanged.
-
-    Only rows that may have to go are moved: a filter of fixed size over the places of the
-    dropped lets all others pass, and a join then decides on those it holds back.
-    """
+    """The rows of ``docs`` that stay, columns unchanged."""
     rows, found = exact_groups(docs)
-    dropped = written(found.where(~_stays()).select("file", "row", _place("file", "row")), "dedup-dropped")
-    flagged = flag_members(rows.withColumn("place", F.xxhash64("file", "row")), "place", membership_filter(dropped, "place"))
-    held = flagged.where("_maybe").join(dropped.select("file", "row"), ["file", "row"], "left_anti")
-    return flagged.where("not _maybe").select("content.*").unionByName(held.select("content.*"))
+    return rows_without(rows, found.where(~_stays())).select("content.*")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:

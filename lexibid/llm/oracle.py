@@ -12,6 +12,20 @@ EXACT_DEDUP = f"""
     FROM normal WINDOW same AS (PARTITION BY text)
 """
 
+# Four characters of base32 from every five hexadecimal digits.
+BASE32 = """list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(sha1(html), 5 * (i // 4)::int + 1, 5))::int >> (15 - 5 * (i % 4))::int) & 31) + 1, 1)),
+    'string_agg', '')"""
+
+WARC = f"""
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    latest AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last_id FROM payloads)
+    SELECT page_id, strlen(html)::bigint AS payload_bytes, {BASE32} AS payload_digest,
+        CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+    FROM latest
+"""
+
 MIXING = f"""
     WITH sized AS (
         SELECT doc_id, source, {WORDS}::bigint AS size,
@@ -50,5 +64,6 @@ MIXING = f"""
 def all_oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
+        "op5_warc": WARC,
         "op9_mixing": MIXING,
     }

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexibid.llm import exact_dedup, mixing
+from lexibid.llm import exact_dedup, mixing, warc
 from lexibid.llm.common import read_documents, read_pages
 from lexibid.llm.oracle import all_oracles as all_oracles
 
@@ -22,5 +22,6 @@ def on_pages(operator: Callable[[DataFrame], DataFrame]) -> Query:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": on_documents(exact_dedup.dedup_report),
+        "op5_warc": on_pages(warc.round_trip_report),
         "op9_mixing": on_documents(mixing.mix_report),
     }
