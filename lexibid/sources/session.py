@@ -25,6 +25,6 @@ def local_session(cores: str | int, app: str, **conf: str) -> SparkSession:
     spark = builder.getOrCreate()
     if not spark.conf.get("spark.checkpoint.dir", None):
         # one machine only: its temporary folder is shared by all of the session's tasks
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexibid-"))
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexibid-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark

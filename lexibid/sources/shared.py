@@ -8,10 +8,10 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, named by ``spark.checkpoint.dir``.
 
-    There is no fallback: a folder of one machine would lose files on a cluster. The
-    session's owner names the folder; ``local_session`` does so for tests and the bench.
+    Where that is unset, the folder that the session's owner gave to ``setCheckpointDir``.
+    There is no other fallback: a folder of one machine would lose files on a cluster.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return shared.rstrip("/")
