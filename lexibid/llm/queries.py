@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexibid.llm import exact_dedup, fingerprints, language_id, mixing, warc
+from lexibid.llm import byte_bpe, exact_dedup, fingerprints, language_id, mixing, warc
 from lexibid.llm.common import read_documents, read_pages
 from lexibid.llm.oracle import all_oracles as all_oracles
 
@@ -22,6 +22,7 @@ def on_pages(operator: Callable[[DataFrame], DataFrame]) -> Query:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": on_documents(exact_dedup.dedup_report),
+        "op2_byte_bpe": on_documents(byte_bpe.round_trip_report),
         "op3_fingerprints": on_documents(fingerprints.edit_report),
         "op5_warc": on_pages(warc.round_trip_report),
         "op8_language_id": on_documents(language_id.language_report),
