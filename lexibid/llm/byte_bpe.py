@@ -69,32 +69,41 @@ ENCODE = """
     FROM bpe JOIN last USING (word, round) GROUP BY word ORDER BY word
 """
 
-# No token of the word's bytes is longer than {reach}, so a pair that comes first among all within
-# that reach is contracted before anything that could touch it: a long word need not wait for
-# its one minimum. The query stops after some rounds and is asked again with what it has.
+# No token of the word's bytes is longer than {reach}, so what comes first among all pairs within
+# that reach is contracted before anything that could touch it: a long word need not wait for its
+# one minimum. Equal pairs go together if what they make can never go before them (calm); where
+# they overlap, every second one, from the left. The query stops after some rounds and
+# is asked again with what it has.
 CONTRACT_LONG = """
     WITH RECURSIVE bpe(round, pos, tok, after) AS (
         SELECT 0, pos, tok, lead(tok) OVER (ORDER BY pos) FROM words
         UNION ALL (
         WITH paired AS (
-            SELECT bpe.*, (m.rank::bigint << 32) + pos AS key
+            SELECT bpe.*, m.rank, (m.rank::bigint << 32) + CASE WHEN m.calm THEN 0 ELSE pos END AS key,
+                row_number() OVER (ORDER BY pos) AS place
             FROM bpe LEFT JOIN merges m ON m.pair = bpe.tok::bigint * 65536 + bpe.after
         ), judged AS (
             SELECT *, key IS NOT NULL AND key = min(key) OVER (
-                ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AS hit
+                ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AS first
             FROM paired
+        ), runs AS (
+            SELECT *, max(CASE WHEN NOT first THEN place END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS before
+            FROM judged
+        ), hits AS (
+            SELECT *, first AND (place - coalesce(before, 0)) % 2 = 1 AS hit FROM runs
         ), contracted AS (
-            SELECT round, pos, CASE WHEN hit THEN (key >> 32)::int ELSE tok END AS tok,
+            SELECT round, pos, CASE WHEN hit THEN rank ELSE tok END AS tok,
                 lag(hit, 1, false) OVER (ORDER BY pos) AS swallowed
-            FROM judged WHERE round < {rounds} AND (SELECT bool_or(hit) FROM judged)
+            FROM hits WHERE round < {rounds} AND (SELECT bool_or(hit) FROM hits)
         )
         SELECT round + 1, pos, tok, lead(tok) OVER (ORDER BY pos) FROM contracted WHERE NOT swallowed)
     )
     SELECT pos, tok FROM bpe WHERE round = (SELECT max(round) FROM bpe) ORDER BY pos
 """
 
+# One character per byte, so a token of any bytes is a string.
 DECODE = """
-    SELECT unhex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes
+    SELECT array_to_string(list(v.characters ORDER BY t.pos), '') AS characters
     FROM tokens t JOIN vocabulary v USING (tok) GROUP BY t.text ORDER BY t.text
 """
 
@@ -114,19 +123,20 @@ class Codec:
         self.reach = max(map(len, self.ranks))
         self.byte_tokens = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
-        tokens = list(self.ranks)
-        pairs = [
-            (self.ranks[t[:i]] * 65536 + self.ranks[t[i:]], self.ranks[t])
-            for t in tokens
+        splits = [
+            (self.ranks[t[:i]], self.ranks[t[i:]], rank)
+            for t, rank in self.ranks.items()
             for i in range(1, len(t))
             if t[:i] in self.ranks and t[i:] in self.ranks
         ]
-        pair, rank = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
-        self._table("merges", {"pair": pair, "rank": rank.astype(np.int32)})
+        left, right, rank = np.array(splits, dtype=np.int64).reshape(-1, 3).T
+        restless = np.concatenate([part[part >= rank] for part in (left, right)])
         self._table(
-            "vocabulary",
-            {"tok": np.array([self.ranks[t] for t in tokens], dtype=np.int32), "hex": [t.hex() for t in tokens]},
+            "merges",
+            {"pair": left * 65536 + right, "rank": rank.astype(np.int32), "calm": ~np.isin(rank, restless)},
         )
+        tokens = np.array(list(self.ranks.values()), dtype=np.int32)
+        self._table("vocabulary", {"tok": tokens, "characters": [t.decode("latin-1") for t in self.ranks]})
 
     def _table(self, name: str, columns: dict) -> None:
         self.duck.register("given", pa.table(columns))
@@ -219,11 +229,12 @@ class Codec:
             "pos": np.arange(total, dtype=np.int32),
             "tok": np.concatenate([np.zeros(0, dtype=np.int32), *ids]).astype(np.int32),
         }
-        unknown = np.flatnonzero(~np.isin(rows["tok"], list(self.ranks.values()))) if total else []
+        unknown = np.setdiff1d(np.unique(rows["tok"]), list(self.ranks.values()))
         if len(unknown):
-            raise ValueError(f"id {rows['tok'][unknown[0]]} is not in the vocabulary")
-        for i, raw in zip(filled.tolist(), self._ask(DECODE, "tokens", rows).column("bytes").to_pylist(), strict=True):
-            decoded[i] = raw
+            raise ValueError(f"id {unknown[0]} is not in the vocabulary")
+        found = self._ask(DECODE, "tokens", rows).column("characters").to_pylist()
+        for i, characters in zip(filled.tolist(), found, strict=True):
+            decoded[i] = characters.encode("latin-1")
         return decoded
 
 
