@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexibid.llm import byte_bpe, exact_dedup, fingerprints, language_id, mixing, pii, secret_scan, warc
+from lexibid.llm import byte_bpe, exact_dedup, fingerprints, jaccard_join, language_id, mixing, pii, secret_scan, warc
 from lexibid.llm.common import read_documents, read_pages
 from lexibid.llm.oracle import all_oracles as all_oracles
 
@@ -24,6 +24,7 @@ def all_queries() -> dict[str, Query]:
         "op1_exact_dedup": on_documents(exact_dedup.dedup_report),
         "op2_byte_bpe": on_documents(byte_bpe.round_trip_report),
         "op3_fingerprints": on_documents(fingerprints.edit_report),
+        "op4_jaccard_join": on_documents(jaccard_join.component_report),
         "op5_warc": on_pages(warc.round_trip_report),
         "op7_pii": on_documents(pii.personal_data_report),
         "op8_language_id": on_documents(language_id.language_report),
