@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexibid.llm.lockstep import groups
+
 UNDETERMINED = "und"
 
 # Scripts by ranges of code points (first and last); what is in none is "other".
@@ -200,49 +202,29 @@ def scored_words(text: str, model: Model) -> Words:
 
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
-    """The best label of every word; texts lie one after another, ``counts`` words each.
-
-    Texts are sorted by length and go step by step side by side: words are laid out by
-    their place in the text, then by text, so a step is one slice.
-    """
+    """The best label of every word; texts lie one after another, ``counts`` words each."""
     labels = np.zeros(scores.shape[1], dtype=np.int16)
     own = np.arange(len(scores), dtype=np.int16)[:, None]
-    offsets = np.cumsum(counts) - counts
-    order = np.argsort(-counts, kind="stable")
-    order = order[counts[order] > 0]
-    total = np.cumsum(counts[order])
-    at = 0
-    while at < len(order):
-        done = total[at] - counts[order[at]]
-        end = max(at + 1, int(np.searchsorted(total, done + VITERBI_WORDS, side="right")))
-        group, at = order[at:end], end
-        lengths = counts[group]
-        steps = int(lengths[0])
-        active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # texts longer than t
-        slices = np.concatenate([[0], np.cumsum(active)])
-        nth = np.arange(slices[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        laid_out = slices[nth] + np.repeat(np.arange(len(group)), lengths)
-        words = np.empty(slices[-1], dtype=np.int64)
-        words[laid_out] = np.repeat(offsets[group], lengths) + nth
-        own_scores = scores[:, words]
+    for group in groups(counts, VITERBI_WORDS):
+        own_scores = scores[:, group.items]
         came = np.zeros(own_scores.shape, dtype=np.int16)
-        best = own_scores[:, : active[0]].astype(np.float64)
-        final = np.zeros(len(group), dtype=np.int16)
-        for t in range(1, steps):
-            n, here = active[t], slice(slices[t], slices[t + 1])
+        best = own_scores[:, : group.active[0]].astype(np.float64)
+        state = np.zeros(len(group.members), dtype=np.int16)
+        for t in range(1, group.steps):
+            n, here = group.active[t], group.at(t)
             if n < best.shape[1]:
-                final[n : best.shape[1]] = best[:, n:].argmax(axis=0)
+                state[n : best.shape[1]] = best[:, n:].argmax(axis=0)
                 best = best[:, :n]
             changed = best.max(axis=0) - penalty
             came[:, here] = np.where(best >= changed, own, best.argmax(axis=0))
             best = np.maximum(best, changed) + own_scores[:, here]
-        final[: best.shape[1]] = best.argmax(axis=0)
-        label = np.empty(slices[-1], dtype=np.int16)
-        for t in range(steps - 1, -1, -1):
-            n, here = active[t], slice(slices[t], slices[t + 1])
-            label[here] = final[:n]
-            final[:n] = came[:, here][final[:n], np.arange(n)]
-        labels[words] = label
+        state[: best.shape[1]] = best.argmax(axis=0)
+        label = np.empty(len(group.items), dtype=np.int16)
+        for t in range(group.steps - 1, -1, -1):
+            n, here = group.active[t], group.at(t)
+            label[here] = state[:n]
+            state[:n] = came[:, here][state[:n], np.arange(n)]
+        labels[group.items] = label
     return labels
 
 

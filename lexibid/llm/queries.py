@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexibid.llm import byte_bpe, exact_dedup, fingerprints, jaccard_join, language_id, mixing, pii, secret_scan, warc
+from lexibid.llm import byte_bpe, exact_dedup, fingerprints, hmm_lm, jaccard_join, language_id, mixing, pii, secret_scan, warc
 from lexibid.llm.common import read_documents, read_pages
 from lexibid.llm.oracle import all_oracles as all_oracles
 
@@ -26,6 +26,7 @@ def all_queries() -> dict[str, Query]:
         "op3_fingerprints": on_documents(fingerprints.edit_report),
         "op4_jaccard_join": on_documents(jaccard_join.component_report),
         "op5_warc": on_pages(warc.round_trip_report),
+        "op6_hmm_lm": on_documents(hmm_lm.score_report),
         "op7_pii": on_documents(pii.personal_data_report),
         "op8_language_id": on_documents(language_id.language_report),
         "op9_mixing": on_documents(mixing.mix_report),
