@@ -1,27 +1,55 @@
-"""A corpus from raw documents to token ids: five stages, each over all that its predecessor kept."""
+"""A corpus from raw documents to token ids: five stages, each over all that its predecessor kept.
+
+A stage takes and returns the columns of ``documents``, whatever they are; the last returns the
+columns of the encoder's report. Stages are written to the shared folder in between.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexibid.llm import mixing
+from lexibid.llm import byte_bpe, exact_dedup, jaccard_join, language_id, mixing
 from lexibid.llm.common import read_documents, written
 
 
+def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; texts that are null or without letters go."""
+    return language_id.determined(docs)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id."""
+    return exact_dedup.without_copies(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id."""
+    return jaccard_join.one_of_each(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask for."""
     return mixing.mix(docs)
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and the bytes decoded from them, as digests: one row per copy in the mix."""
+    return byte_bpe.round_trip_report(docs)
+
+
 STAGES = [
-    ("mixing", mixed),
+    ("language ID", with_language),
+    ("exact dedup", without_copies),
+    ("n-gram Jaccard join", without_near_copies),
+    ("mixing sources to target weights", mixed),
+    ("byte-level BPE encoding and decoding", encoded),
 ]
 
-# Language spans, near-duplicate components and merges are beyond SQL: see tests/llm.
+# Language models, near-duplicate components and merges are beyond SQL; tests/llm checks by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage is written to the shared folder and read by the next."""
+    """The last stage's rows over ``documents``."""
     docs = read_documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = written(stage(spark, docs, sf_dir), f"stage-{i}")
     return STAGES[-1][1](spark, docs, sf_dir)
