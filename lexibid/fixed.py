@@ -9,17 +9,31 @@ TOKEN_SEPARATOR = " "
 EMPLOYEE_SEPARATOR = ", "
 BID_SEPARATOR = ","
 
-# Which tokens count as words, and what is stripped from them.
+# Which tokens count as words, and which characters are stripped from them. A clean word keeps
+# the characters of one set and loses all others.
 WORD_TOKEN = "[A-Za-z0-9.,]+"
-WORD_STRIP = "[.,]"
+WORD_STRIP = ".,"
 ALPHA_TOKEN = "[A-Za-z.]+"
-NON_ALPHANUMERIC = "[^A-Za-z0-9]"
+ALPHA_STRIP = "."
+CLEAN_KEPT = "A-Za-z0-9"
 
 # Thresholds (both strict) and the length of a "first rows" report.
 SALARY_FLOOR = 3500
 PRICE_FLOOR = 100
 HEAD_ROWS = 10
 
+# Names of the answers about bids, and the decimal places of an average of bids: sums of doubles
+# differ beyond them with the order of addition.
+AUCTIONS = "number_of_auctions"
+BIDS = "number_of_bids"
+MINIMUM_BID = "minimum_bid_price"
+MAXIMUM_BID = "maximum_bid_price"
+AVERAGE_BID = "average_bid_price"
+LEAST_BIDS = "min_number_of_bids"
+MOST_BIDS = "max_number_of_bids"
+AVERAGE_BIDS = "avg_number_of_bids"
+AVERAGE_PLACES = 6
+
 # Record layouts of the delimited inputs; every field is required.
 EMPLOYEE_SCHEMA = T.StructType(
     [

@@ -35,3 +35,10 @@ def required_field(parts: str, index: int, field: T.StructField, last_typed: int
     # The last literal makes the column non-nullable, as declared.
     unseen = f"CAST({UNSEEN[kind]} AS {kind})"
     return F.expr(f"coalesce({value}, CAST({error} AS {kind}), {unseen})").alias(field.name)
+
+
+def writable(value: Column, name: str, separator: str) -> Column:
+    """A string as a field of a line, or an error for the job if no scan could read it back."""
+    bad = F.contains(value, F.lit(separator)) | F.contains(value, F.lit("\n")) | F.contains(value, F.lit("\r"))
+    error = F.raise_error(F.concat(F.lit(f"field `{name}` cannot be written: "), F.coalesce(value, F.lit("NULL"))))
+    return F.when(value.isNull() | bad, error.cast("string")).otherwise(value)

@@ -2,76 +2,85 @@
 
 Bids have at least ``auctionid``, ``item``, ``bid`` and ``price``. ``price`` is the closing
 price of the auction, not the amount of the bid. "Bids per item" for min, max and avg means
-bids per auction of that item.
+bids per auction of that item. Averages of bids are rounded, so that they do not depend on
+how rows are spread over tasks.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexibid import fixed
 from lexibid.operators.counts import count_per_key, distinct_count
 
 
+def _min_bid() -> Column:
+    return F.min("bid").alias(fixed.MINIMUM_BID)
+
+
+def _max_bid() -> Column:
+    return F.max("bid").alias(fixed.MAXIMUM_BID)
+
+
+def _avg_bid() -> Column:
+    return F.round(F.avg("bid"), fixed.AVERAGE_PLACES).alias(fixed.AVERAGE_BID)
+
+
 def auction_count(bids: DataFrame) -> DataFrame:
-    return distinct_count(bids, "auctionid", "number_of_auctions")
+    return distinct_count(bids, "auctionid", fixed.AUCTIONS)
 
 
 def bids_per_item(bids: DataFrame) -> DataFrame:
-    return count_per_key(bids, "item", "number_of_bids")
+    return count_per_key(bids, "item", fixed.BIDS)
 
 
 def min_bid_per_item(bids: DataFrame) -> DataFrame:
-    return bids.groupBy("item").agg(F.min("bid").alias("minimum_bid_price"))
+    return bids.groupBy("item").agg(_min_bid())
 
 
 def max_bid_per_item(bids: DataFrame) -> DataFrame:
-    return bids.groupBy("item").agg(F.max("bid").alias("maximum_bid_price"))
+    return bids.groupBy("item").agg(_max_bid())
 
 
 def avg_bid_per_item(bids: DataFrame) -> DataFrame:
-    return bids.groupBy("item").agg(F.avg("bid").alias("average_bid_price"))
+    return bids.groupBy("item").agg(_avg_bid())
 
 
 def bids_per_auction(bids: DataFrame) -> DataFrame:
     """Bids per item and auction. Keyed by both, so one hot item spreads over its auctions."""
-    return bids.groupBy("item", "auctionid").agg(F.count(F.lit(1)).alias("number_of_bids"))
+    return bids.groupBy("item", "auctionid").agg(F.count(F.lit(1)).alias(fixed.BIDS))
+
+
+def _over_auctions(bids: DataFrame, *answers: Column) -> DataFrame:
+    return bids_per_auction(bids).groupBy("item").agg(*answers)
 
 
 def min_bids_per_item(bids: DataFrame) -> DataFrame:
-    return bids_per_auction(bids).groupBy("item").agg(F.min("number_of_bids").alias("min_number_of_bids"))
+    return _over_auctions(bids, F.min(fixed.BIDS).alias(fixed.LEAST_BIDS))
 
 
 def max_bids_per_item(bids: DataFrame) -> DataFrame:
-    return bids_per_auction(bids).groupBy("item").agg(F.max("number_of_bids").alias("max_number_of_bids"))
+    return _over_auctions(bids, F.max(fixed.BIDS).alias(fixed.MOST_BIDS))
 
 
 def avg_bids_per_item(bids: DataFrame) -> DataFrame:
-    return bids_per_auction(bids).groupBy("item").agg(F.avg("number_of_bids").alias("avg_number_of_bids"))
+    return _over_auctions(bids, F.avg(fixed.BIDS).alias(fixed.AVERAGE_BIDS))
 
 
-def bids_over_price_floor(bids: DataFrame) -> DataFrame:
-    """All bids of auctions that closed above the price floor."""
-    return bids.filter(f"price > {fixed.PRICE_FLOOR}")
+def bids_over_price_floor(bids: DataFrame, floor: float = fixed.PRICE_FLOOR) -> DataFrame:
+    """All bids of auctions that closed above ``floor``."""
+    return bids.where(F.col("price") > floor)
 
 
 def item_stats(bids: DataFrame) -> DataFrame:
     """Count, min, max and avg bid per item in one pass."""
-    return bids.groupBy("item").agg(
-        F.count(F.lit(1)).alias("number_of_bids"),
-        F.min("bid").alias("minimum_bid_price"),
-        F.max("bid").alias("maximum_bid_price"),
-        F.avg("bid").alias("average_bid_price"),
-    )
+    return bids.groupBy("item").agg(F.count(F.lit(1)).alias(fixed.BIDS), _min_bid(), _max_bid(), _avg_bid())
 
 
 def auction_stats(bids: DataFrame) -> DataFrame:
     """Min, max and avg number of bids per auction of each item in one pass."""
-    return (
-        bids_per_auction(bids)
-        .groupBy("item")
-        .agg(
-            F.min("number_of_bids").alias("min_number_of_bids"),
-            F.max("number_of_bids").alias("max_number_of_bids"),
-            F.avg("number_of_bids").alias("avg_number_of_bids"),
-        )
+    return _over_auctions(
+        bids,
+        F.min(fixed.BIDS).alias(fixed.LEAST_BIDS),
+        F.max(fixed.BIDS).alias(fixed.MOST_BIDS),
+        F.avg(fixed.BIDS).alias(fixed.AVERAGE_BIDS),
     )

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 
 from lexibid import fixed
 
-_PER_AUCTION = """
+_PER_AUCTION = f"""
     WITH per_auction AS (
-        SELECT item, auctionid, count(*) AS number_of_bids
-        FROM {bids}
+        SELECT item, auctionid, count(*) AS {fixed.BIDS}
+        FROM {{bids}}
         GROUP BY item, auctionid
     )
 """
@@ -21,40 +21,45 @@ def _ask(bids: DataFrame, query: str) -> DataFrame:
     return bids.sparkSession.sql(query, bids=bids)
 
 
+def _per_item(bids: DataFrame, answer: str) -> DataFrame:
+    return _ask(bids, f"SELECT item, {answer} FROM {{bids}} GROUP BY item")
+
+
+def _over_auctions(bids: DataFrame, answer: str) -> DataFrame:
+    return _ask(bids, f"{_PER_AUCTION} SELECT item, {answer} FROM per_auction GROUP BY item")
+
+
 def auction_count(bids: DataFrame) -> DataFrame:
-    return _ask(bids, "SELECT count(DISTINCT auctionid) AS number_of_auctions FROM {bids}")
+    return _ask(bids, f"SELECT count(DISTINCT auctionid) AS {fixed.AUCTIONS} FROM {{bids}}")
 
 
 def bids_per_item(bids: DataFrame) -> DataFrame:
-    return _ask(bids, "SELECT item, count(*) AS number_of_bids FROM {bids} GROUP BY item")
+    return _per_item(bids, f"count(*) AS {fixed.BIDS}")
 
 
 def min_bid_per_item(bids: DataFrame) -> DataFrame:
-    return _ask(bids, "SELECT item, min(bid) AS minimum_bid_price FROM {bids} GROUP BY item")
+    return _per_item(bids, f"min(bid) AS {fixed.MINIMUM_BID}")
 
 
 def max_bid_per_item(bids: DataFrame) -> DataFrame:
-    return _ask(bids, "SELECT item, max(bid) AS maximum_bid_price FROM {bids} GROUP BY item")
+    return _per_item(bids, f"max(bid) AS {fixed.MAXIMUM_BID}")
 
 
 def avg_bid_per_item(bids: DataFrame) -> DataFrame:
-    return _ask(bids, "SELECT item, avg(bid) AS average_bid_price FROM {bids} GROUP BY item")
+    return _per_item(bids, f"round(avg(bid), {fixed.AVERAGE_PLACES}) AS {fixed.AVERAGE_BID}")
 
 
 def min_bids_per_item(bids: DataFrame) -> DataFrame:
-    query = "SELECT item, min(number_of_bids) AS min_number_of_bids FROM per_auction GROUP BY item"
-    return _ask(bids, _PER_AUCTION + query)
+    return _over_auctions(bids, f"min({fixed.BIDS}) AS {fixed.LEAST_BIDS}")
 
 
 def max_bids_per_item(bids: DataFrame) -> DataFrame:
-    query = "SELECT item, max(number_of_bids) AS max_number_of_bids FROM per_auction GROUP BY item"
-    return _ask(bids, _PER_AUCTION + query)
+    return _over_auctions(bids, f"max({fixed.BIDS}) AS {fixed.MOST_BIDS}")
 
 
 def avg_bids_per_item(bids: DataFrame) -> DataFrame:
-    query = "SELECT item, avg(number_of_bids) AS avg_number_of_bids FROM per_auction GROUP BY item"
-    return _ask(bids, _PER_AUCTION + query)
+    return _over_auctions(bids, f"avg({fixed.BIDS}) AS {fixed.AVERAGE_BIDS}")
 
 
-def bids_over_price_floor(bids: DataFrame) -> DataFrame:
-    return _ask(bids, f"SELECT * FROM {{bids}} WHERE price > {fixed.PRICE_FLOOR}")
+def bids_over_price_floor(bids: DataFrame, floor: float = fixed.PRICE_FLOOR) -> DataFrame:
+    return bids.sparkSession.sql("SELECT * FROM {bids} WHERE price > {floor}", bids=bids, floor=floor)

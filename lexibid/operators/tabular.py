@@ -15,14 +15,14 @@ def project(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 
 
-def well_paid(employees: DataFrame) -> DataFrame:
-    """Names of the employees above the salary floor: ``name``."""
-    return employees.filter(f"salary > {fixed.SALARY_FLOOR}").select("name")
+def well_paid(employees: DataFrame, floor: float = fixed.SALARY_FLOOR) -> DataFrame:
+    """Names of the employees who get more than ``floor``: ``name``."""
+    return employees.where(F.col("salary") > floor).select("name")
 
 
-def well_paid_sql(employees: DataFrame) -> DataFrame:
-    query = f"SELECT name FROM {{employees}} WHERE salary > {fixed.SALARY_FLOOR}"
-    return employees.sparkSession.sql(query, employees=employees)
+def well_paid_sql(employees: DataFrame, floor: float = fixed.SALARY_FLOOR) -> DataFrame:
+    query = "SELECT name FROM {employees} WHERE salary > {floor}"
+    return employees.sparkSession.sql(query, employees=employees, floor=floor)
 
 
 def head(df: DataFrame, key: str, n: int = fixed.HEAD_ROWS) -> DataFrame:

@@ -1,6 +1,6 @@
 """Token and word streams. Each operator returns one string column."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexibid import fixed
@@ -31,6 +31,21 @@ def clean_words(texts: DataFrame, text: str = "text") -> DataFrame:
     return cleaned.where(F.col("word") != "")
 
 
+def token_total(lines: DataFrame, name: str, line: str = "line") -> DataFrame:
+    """One row, one column ``name``: how many rows ``tokens`` has, without making them."""
+    return _total(lines, X.token_array(F.col(line)), name)
+
+
+def word_total(texts: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """One row, one column ``name``: how many rows ``words`` has, without making them."""
+    return _total(texts, X.matching_token_array(F.col(text), fixed.WORD_TOKEN), name)
+
+
+def _total(df: DataFrame, arrays: Column, name: str) -> DataFrame:
+    sizes = df.select(F.when(arrays.isNotNull(), F.size(arrays)).cast("bigint").alias("n"))
+    return sizes.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias(name))
+
+
 def first_words(texts: DataFrame, key: str, text: str = "text", n: int = fixed.HEAD_ROWS) -> DataFrame:
     """The first ``n`` words in text order: ``key, ln, pos, word``.
 

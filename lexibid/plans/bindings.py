@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from lexibid import fixed
 from lexibid.sources.delimited import format_delimited
-from lexibid.sources.tables import read_table, with_min_partitions
+from lexibid.sources.tables import read_table
 
 
 # The columns used, with the types they have in the files.
-DOCUMENTS = "doc_id bigint, text string, lang string"
+DOCUMENTS = "doc_id bigint, text string"
 BENCHMARK = "item_id bigint, text string"
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
@@ -22,19 +22,17 @@ PART = "p_partkey bigint, p_size int"
 
 def corpus(spark: SparkSession, directory: str) -> DataFrame:
     """All documents: ``doc_id, text``."""
-    return with_min_partitions(read_table(spark, directory, "documents", DOCUMENTS).select("doc_id", "text"))
+    return read_table(spark, directory, "documents", DOCUMENTS)
 
 
 def corpus_a(spark: SparkSession, directory: str) -> DataFrame:
-    """The English documents: ``doc_id, text``."""
-    english = read_table(spark, directory, "documents", DOCUMENTS).where("lang = 'en'")
-    return with_min_partitions(english.select("doc_id", "text"))
+    """The first of two corpora: all documents, as ``doc_id, text``."""
+    return corpus(spark, directory)
 
 
 def corpus_b(spark: SparkSession, directory: str) -> DataFrame:
-    """The benchmark passages: ``doc_id, text``."""
-    passages = read_table(spark, directory, "benchmark", BENCHMARK)
-    return with_min_partitions(passages.select(F.col("item_id").alias("doc_id"), "text"))
+    """The second of two corpora: the benchmark passages, as ``doc_id, text``."""
+    return read_table(spark, directory, "benchmark", BENCHMARK).select(F.col("item_id").alias("doc_id"), "text")
 
 
 def employees(spark: SparkSession, directory: str) -> DataFrame:
@@ -49,32 +47,32 @@ def employees(spark: SparkSession, directory: str) -> DataFrame:
 
 def employee_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Customers as delimited employee records: ``line``."""
-    customers = with_min_partitions(
-        read_table(spark, directory, "customer", CUSTOMER).select("c_name", "c_nationkey", "c_acctbal")
-    )
+    customers = read_table(spark, directory, "customer", CUSTOMER).select("c_name", "c_nationkey", "c_acctbal")
     return format_delimited(customers, customers.columns, fixed.EMPLOYEE_SEPARATOR)
 
 
 def bids(spark: SparkSession, directory: str) -> DataFrame:
-    """Events as bids: ``bid_id, auctionid, bid, bidtime, price, item``."""
-    value = F.col("value")
+    """Events as bids: ``bid_id, auctionid, bid, bidtime, price, item``.
+
+    An event has one amount, which is the bid. The price is the user's number: like a closing
+    price it is the same for all bids of an auction, and it is not the bid.
+    """
     return read_table(spark, directory, "events", EVENTS).select(
         F.col("event_id").alias("bid_id"),
         F.col("user_id").alias("auctionid"),
-        value.alias("bid"),
+        F.col("value").alias("bid"),
         F.col("ts").alias("bidtime"),
-        value.alias("price"),
+        F.col("user_id").alias("price"),
         F.col("event_type").alias("item"),
     )
 
 
 def line_bids(spark: SparkSession, directory: str) -> DataFrame:
     """Order lines as bids: ``auctionid, bid, price, item``."""
-    amount = F.col("l_extendedprice")
     return read_table(spark, directory, "lineitem", LINEITEM).select(
         F.col("l_orderkey").alias("auctionid"),
-        amount.alias("bid"),
-        amount.alias("price"),
+        F.col("l_extendedprice").alias("bid"),
+        F.col("l_quantity").alias("price"),
         F.col("l_returnflag").alias("item"),
     )
 
@@ -100,7 +98,7 @@ EVENT_RECORD = [
     "event_type",
     "user_id",
     "value",
-    "value",
+    "user_id",
     "event_type",
     "user_id",
 ]
@@ -108,7 +106,7 @@ EVENT_RECORD = [
 
 def _bid_lines(table: DataFrame, record: list[str]) -> DataFrame:
     columns = list(dict.fromkeys(record))
-    return format_delimited(with_min_partitions(table.select(*columns)), record, fixed.BID_SEPARATOR)
+    return format_delimited(table.select(*columns), record, fixed.BID_SEPARATOR)
 
 
 def lineitem_bid_lines(spark: SparkSession, directory: str) -> DataFrame:

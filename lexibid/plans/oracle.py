@@ -1,7 +1,9 @@
 """DuckDB SQL for every query, written independently of the Spark operators."""
 
+from lexibid import fixed
+
 DOCUMENTS = "SELECT doc_id, text FROM documents"
-CORPUS_A = "SELECT doc_id, text FROM documents WHERE lang = 'en'"
+CORPUS_A = DOCUMENTS
 CORPUS_B = "SELECT item_id AS doc_id, text FROM benchmark"
 
 # The lists behind lines and tokens.
@@ -64,16 +66,16 @@ COMMON = f"({words(CORPUS_A)}) INTERSECT ({words(CORPUS_B)})"
 EMPLOYEES = "SELECT c_custkey AS id, c_name AS name, c_nationkey AS age, c_acctbal AS salary FROM customer"
 PARSED_EMPLOYEES = "SELECT c_name AS name, c_nationkey AS age, c_acctbal::float AS salary FROM customer"
 
-BIDS = """SELECT event_id AS bid_id, user_id AS auctionid, value AS bid, ts AS bidtime, value AS price,
+BIDS = """SELECT event_id AS bid_id, user_id AS auctionid, value AS bid, ts AS bidtime, user_id AS price,
     event_type AS item FROM events"""
-LINE_BIDS = """SELECT l_orderkey AS auctionid, l_extendedprice AS bid, l_extendedprice AS price,
+LINE_BIDS = """SELECT l_orderkey AS auctionid, l_extendedprice AS bid, l_quantity AS price,
     l_returnflag AS item FROM lineitem"""
 PARSED_BIDS = """SELECT l_orderkey AS auctionid, l_extendedprice::float AS bid, l_discount::float AS bidtime,
     l_linestatus AS bidder, l_linenumber AS bidderrate, l_quantity::float AS openbid, l_tax::float AS price,
     l_returnflag AS item, l_linenumber AS daystolive FROM lineitem"""
 
 PARSED_EVENT_BIDS = """SELECT user_id AS auctionid, value::float AS bid, value::float AS bidtime,
-    event_type AS bidder, user_id::int AS bidderrate, value::float AS openbid, value::float AS price,
+    event_type AS bidder, user_id::int AS bidderrate, value::float AS openbid, user_id::float AS price,
     event_type AS item, user_id::int AS daystolive FROM events"""
 
 
@@ -82,19 +84,19 @@ def per_item(bids: str, measures: str) -> str:
 
 
 def per_auction(bids: str) -> str:
-    return f"SELECT item, auctionid, count(*) AS number_of_bids FROM ({bids}) GROUP BY item, auctionid"
+    return f"SELECT item, auctionid, count(*) AS {fixed.BIDS} FROM ({bids}) GROUP BY item, auctionid"
 
 
 BID_MEASURES = {
-    "bids_per_item": "count(*) AS number_of_bids",
-    "min_bid_per_item": "min(bid) AS minimum_bid_price",
-    "max_bid_per_item": "max(bid) AS maximum_bid_price",
-    "avg_bid_per_item": "avg(bid) AS average_bid_price",
+    "bids_per_item": f"count(*) AS {fixed.BIDS}",
+    "min_bid_per_item": f"min(bid) AS {fixed.MINIMUM_BID}",
+    "max_bid_per_item": f"max(bid) AS {fixed.MAXIMUM_BID}",
+    "avg_bid_per_item": f"round(avg(bid), {fixed.AVERAGE_PLACES}) AS {fixed.AVERAGE_BID}",
 }
 AUCTION_MEASURES = {
-    "min_bids_per_item": "min(number_of_bids) AS min_number_of_bids",
-    "max_bids_per_item": "max(number_of_bids) AS max_number_of_bids",
-    "avg_bids_per_item": "avg(number_of_bids) AS avg_number_of_bids",
+    "min_bids_per_item": f"min({fixed.BIDS}) AS {fixed.LEAST_BIDS}",
+    "max_bids_per_item": f"max({fixed.BIDS}) AS {fixed.MOST_BIDS}",
+    "avg_bids_per_item": f"avg({fixed.BIDS}) AS {fixed.AVERAGE_BIDS}",
 }
 ALL_BID_MEASURES = ", ".join(BID_MEASURES.values())
 ALL_AUCTION_MEASURES = ", ".join(AUCTION_MEASURES.values())
@@ -104,7 +106,7 @@ BID_COLUMNS = {
     "auctionid": "bigint",
     "bid": "double",
     "bidtime": "timestamp_ntz",
-    "price": "double",
+    "price": "bigint",
     "item": "string",
 }
 BIDS_SCHEMA = " UNION ALL ".join(
@@ -153,7 +155,7 @@ def all_oracles() -> dict[str, str]:
         "delim_filter_project": f"SELECT name FROM ({PARSED_EMPLOYEES}) WHERE salary > 3500",
         "delim_filter_project_sql": f"SELECT name FROM ({PARSED_EMPLOYEES}) WHERE salary > 3500",
         "delim_scan_bids": PARSED_BIDS,
-        "delim_auction_count": f"SELECT count(DISTINCT auctionid) AS number_of_auctions FROM ({PARSED_BIDS})",
+        "delim_auction_count": f"SELECT count(DISTINCT auctionid) AS {fixed.AUCTIONS} FROM ({PARSED_BIDS})",
         "delim_item_stats": per_item(PARSED_BIDS, ALL_BID_MEASURES),
         "delim_auction_stats": per_item(per_auction(PARSED_BIDS), ALL_AUCTION_MEASURES),
         "delim_bids_over_100": f"SELECT * FROM ({PARSED_EVENT_BIDS}) WHERE price > 100",
@@ -165,11 +167,11 @@ def all_oracles() -> dict[str, str]:
         "bids_per_auction": per_auction(BIDS),
         "item_stats": per_item(BIDS, ALL_BID_MEASURES),
         "auction_stats": per_item(per_auction(BIDS), ALL_AUCTION_MEASURES),
-        "lineitem_auction_count": f"SELECT count(DISTINCT auctionid) AS number_of_auctions FROM ({LINE_BIDS})",
+        "lineitem_auction_count": f"SELECT count(DISTINCT auctionid) AS {fixed.AUCTIONS} FROM ({LINE_BIDS})",
         "lineitem_bids_per_auction": per_auction(LINE_BIDS),
         "lineitem_item_stats": per_item(LINE_BIDS, ALL_BID_MEASURES),
         "lineitem_auction_stats": per_item(per_auction(LINE_BIDS), ALL_AUCTION_MEASURES),
-        "auction_count": f"SELECT count(DISTINCT auctionid) AS number_of_auctions FROM ({BIDS})",
+        "auction_count": f"SELECT count(DISTINCT auctionid) AS {fixed.AUCTIONS} FROM ({BIDS})",
         "bids_over_100": f"SELECT * FROM ({BIDS}) WHERE price > 100",
     }
     oracles |= {name: per_item(BIDS, measure) for name, measure in BID_MEASURES.items()}

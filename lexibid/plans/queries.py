@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexibid import fixed
 from lexibid.operators import auctions, auctions_sql, tabular, vocabulary
 from lexibid.operators.counts import count_per_key, distinct_rows, row_count, sorted_by_key
-from lexibid.operators.tokens import alpha_tokens, clean_words, first_words, tokens, words
+from lexibid.operators.tokens import alpha_tokens, clean_words, first_words, token_total, tokens, word_total, words
 from lexibid.plans import bindings
 from lexibid.sources.delimited import parse_delimited, read_bids, read_employees
 from lexibid.sources.pairs import read_pairs, write_pairs
@@ -56,7 +56,11 @@ def clean_counts(texts: DataFrame) -> DataFrame:
 
 
 def through_sink(key: str) -> Callable[[DataFrame], DataFrame]:
-    """Write counts as text pairs and return what was written."""
+    """Write counts as text pairs and return what was written.
+
+    The query writes when it is built. Its files lie below the session's shared folder until the
+    session's owner deletes them: the result reads them whenever it is used.
+    """
 
     def step(counts: DataFrame) -> DataFrame:
         spark = counts.sparkSession
@@ -68,7 +72,10 @@ def through_sink(key: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def through_files(reader: Callable[[SparkSession, str], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    """Write lines as text files and return what ``reader`` makes of them."""
+    """Write lines as text files and return what ``reader`` makes of them.
+
+    The query writes when it is built, and its files stay as those of ``through_sink`` do.
+    """
 
     def step(lines: DataFrame) -> DataFrame:
         path = fresh_output_path(lines.sparkSession, "lines")
@@ -100,9 +107,9 @@ def _text_queries() -> dict[str, Query]:
         "text_file_lines": over(bindings.corpus, split_lines, through_files(read_lines)),
         "tokens": over(bindings.corpus, split_lines, tokens),
         "alpha_tokens": over(bindings.corpus, alpha_tokens),
-        "token_count": over(bindings.corpus, split_lines, tokens, counted("tokens")),
-        "token_count_a": over(bindings.corpus_a, split_lines, tokens, counted("tokens")),
-        "token_count_b": over(bindings.corpus_b, split_lines, tokens, counted("tokens")),
+        "token_count": over(bindings.corpus, split_lines, lambda df: token_total(df, "tokens")),
+        "token_count_a": over(bindings.corpus_a, split_lines, lambda df: token_total(df, "tokens")),
+        "token_count_b": over(bindings.corpus_b, split_lines, lambda df: token_total(df, "tokens")),
         "wordcount_raw": over(bindings.corpus, raw_counts),
         "wordcount_clean": over(bindings.corpus, clean_counts),
         "wordcount_raw_sink_roundtrip": over(bindings.corpus, raw_counts, through_sink("tok")),
@@ -111,7 +118,7 @@ def _text_queries() -> dict[str, Query]:
     for suffix, binding in corpora.items():
         queries[f"words{suffix}"] = over(binding, words)
         queries[f"first_words{suffix}"] = over(binding, lambda df: first_words(df, "doc_id"))
-        queries[f"word_total{suffix}"] = over(binding, words, counted("words"))
+        queries[f"word_total{suffix}"] = over(binding, lambda df: word_total(df, "words"))
         queries[f"unique_words{suffix}"] = over(binding, words, distinct_rows)
         queries[f"unique_word_total{suffix}"] = over(binding, words, distinct_rows, counted("unique_words"))
     return queries
@@ -160,7 +167,7 @@ def _auction_queries() -> dict[str, Query]:
         "bids_project": over(
             bindings.bids, lambda df: tabular.project(df, "auctionid", "bid", "bidtime", "item")
         ),
-        "bids_temp_table": over(bindings.bids, lambda df: temp_table(df, "lexibid_bids")),
+        "bids_temp_table": over(bindings.bids, temp_table),
         "head_bids": over(bindings.bids, lambda df: tabular.head(df, "bid_id")),
         "bids_per_auction": over(bindings.bids, auctions.bids_per_auction),
         "item_stats": over(bindings.bids, auctions.item_stats),

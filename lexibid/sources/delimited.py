@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexibid import fixed
-from lexibid.functions.fields import required_field
-from lexibid.sources.text import read_lines
+from lexibid.functions.fields import required_field, writable
+from lexibid.sources.text import read_lines, read_ordered_lines
 
 
 def parse_delimited(lines: DataFrame, schema: T.StructType, separator: str, line: str = "line") -> DataFrame:
@@ -30,6 +30,14 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, separat
     return parse_delimited(read_lines(spark, path), schema, separator)
 
 
+def read_first(
+    spark: SparkSession, path: str, schema: T.StructType, separator: str, n: int = fixed.HEAD_ROWS
+) -> DataFrame:
+    """The first ``n`` records in the order of the files; only they are parsed."""
+    first = read_ordered_lines(spark, path).orderBy("file", "start", "row").limit(n)
+    return parse_delimited(first, schema, separator)
+
+
 def read_employees(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, fixed.EMPLOYEE_SCHEMA, fixed.EMPLOYEE_SEPARATOR)
 
@@ -39,5 +47,11 @@ def read_bids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def format_delimited(df: DataFrame, columns: list[str], separator: str) -> DataFrame:
-    """The inverse of a scan: one ``line`` per row, the columns joined in order."""
-    return df.select(F.concat_ws(separator, *(F.col(c).cast("string") for c in columns)).alias("line"))
+    """The inverse of a scan: one ``line`` per row, the columns joined in order.
+
+    A NULL, and a value that holds the separator or a line break, fails the job: what is written
+    can be read back field by field.
+    """
+    values = [writable(F.col(c).cast("string"), c, separator) for c in columns]
+    first, *rest = values
+    return df.select(F.concat(first, *(part for v in rest for part in (F.lit(separator), v))).alias("line"))

@@ -1,30 +1,34 @@
 """Scans of parquet tables and named temp views."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def read_table(spark: SparkSession, directory: str, name: str, schema: str) -> DataFrame:
-    """The columns of a table named in ``schema`` (DDL), with no job to infer them."""
-    return spark.read.schema(schema).parquet(f"{directory}/{name}.parquet")
-
-
-def with_min_partitions(scan: DataFrame, minimum: int | None = None) -> DataFrame:
-    """Spread a file scan that has less than half as many splits as the cluster has task slots.
+    """The columns of a table named in ``schema`` (DDL).
 
-    For scans followed by much work per row (splitting text). ``scan`` must come straight
-    from files, with filters and projections at most. A scan with enough splits is returned
-    as it is, so large inputs are never shuffled: what is spread here is below
-    ``minimum / 2`` splits of ``spark.sql.files.maxPartitionBytes`` each. Rows go round in
-    turn, so no value of theirs can make one task heavier than another.
+    The files say themselves what they hold (one footer is read). A column that is missing or
+    of another type is an error here, not a column of NULLs later. Only named columns are read.
     """
-    if minimum is None:
-        minimum = scan.sparkSession.sparkContext.defaultParallelism
-    if 2 * scan.rdd.getNumPartitions() > minimum:
-        return scan
-    return scan.repartition(minimum)
-
-
-def temp_table(df: DataFrame, name: str) -> DataFrame:
-    """Register ``df`` under a name for SQL and return the table of that name."""
+    stored = spark.read.parquet(f"{directory}/{name}.parquet")
+    found = {field.name: field.dataType for field in stored.schema}
+    declared = T.StructType.fromDDL(schema)
+    for field in declared:
+        if field.name not in found:
+            raise ValueError(f"table {name} has no column {field.name}")
+        if found[field.name] != field.dataType:
+            kinds = f"{found[field.name].simpleString()}, not {field.dataType.simpleString()}"
+            raise ValueError(f"column {field.name} of table {name} is {kinds}")
+    return stored.select(*declared.names)
+
+
+def temp_table(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Register ``df`` under a name for SQL and return the table of that name.
+
+    Without a name it gets one of its own, so that calls do not replace each other's table.
+    """
+    name = name or f"table_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

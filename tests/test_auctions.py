@@ -7,7 +7,7 @@ from lexibid.fixed import BID_SCHEMA, BID_SEPARATOR
 from lexibid.operators import auctions, auctions_sql
 from lexibid.sources.delimited import read_delimited
 
-TWINS = [name for name in dir(auctions_sql) if hasattr(auctions, name) and callable(getattr(auctions, name))]
+TWINS = [name for name in dir(auctions_sql) if not name.startswith("_") and callable(getattr(auctions, name, None))]
 TWINS = [name for name in TWINS if getattr(auctions_sql, name).__module__ == auctions_sql.__name__]
 
 
@@ -78,8 +78,19 @@ def test_queries_do_not_share_a_view(spark, bids):
     assert (every.count(), some.count()) == (2, 1)
 
 
+@pytest.mark.parametrize("module", [auctions, auctions_sql], ids=["dsl", "sql"])
+def test_averages_do_not_depend_on_the_layout_of_rows(spark, module):
+    bids = spark.range(0, 20_000, numPartitions=1).select(
+        F.concat(F.lit("i"), F.col("id") % 3).alias("item"),
+        (F.pmod(F.xxhash64("id"), F.lit(10_000_019)) / 97.0).alias("bid"),
+    )
+    layouts = [bids, bids.repartition(7), bids.orderBy(F.desc("bid")).coalesce(1), bids.repartition(5, "bid")]
+    answers = [sorted(map(tuple, module.avg_bid_per_item(layout).collect())) for layout in layouts]
+    assert all(answer == answers[0] for answer in answers)
+
+
 def test_hot_item_and_hot_auction(spark):
-    """One item holds a third of the bids, one auction a third of those."""
+    """The answers are right where one item holds a third of the bids, one auction a third of those."""
     df = spark.range(0, 90_000, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("i"), F.col("id") % 10)).alias("item"),
         F.when(F.col("id") % 9 == 0, F.lit(-1)).otherwise(F.col("id")).alias("auctionid"),

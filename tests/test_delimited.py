@@ -121,6 +121,18 @@ def test_format_is_the_inverse(spark, fixture_path):
     assert again.collect() == bids.collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("row", [("x", None), (None, 5), ("a, b", 5), ("a\nb", 5), ("a\rb", 5)])
+def test_what_cannot_be_read_back_is_not_written(spark, row, ansi):
+    df = spark.createDataFrame([row], "name string, age int")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="cannot be written"):
+            format_delimited(df, df.columns, ", ").collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_schema_report(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "a int not null, b string")
     assert [tuple(r) for r in schema_report(df).orderBy("position").collect()] == [

@@ -37,6 +37,8 @@ def test_compare_texts(spark, fixture_path, values):
 def test_employee_report(spark, fixture_path):
     report = files.employee_report(spark, fixture_path("employees.txt"))
     assert report["employees"].count() == 3
+    assert [r.name for r in report["head"].collect()] == ["Michael", "Andy", "Justin"]
+    assert [r.name for r in files.employee_report(spark, fixture_path("employees.txt"), n=1)["head"].collect()] == ["Michael"]
     assert [r.name for r in report["well_paid"].collect()] == ["Justin"]
     assert [r.name for r in report["well_paid_sql"].collect()] == ["Justin"]
 
@@ -48,6 +50,9 @@ def test_bid_report(spark, fixture_path):
             assert sorted(map(tuple, report[form].collect())) == answer
     assert report["bids_over_price_floor"].count() == report["bids_over_price_floor_sql"].count() == 3
     assert {r.nullable for r in report["schema"].collect()} == {False}
+    head = files.bid_report(spark, fixture_path("bids.csv"), floor=50, n=2)
+    assert head["head"].collect() == report["bids"].collect()[:2]
+    assert head["bids_over_price_floor"].count() == head["bids_over_price_floor_sql"].count() == 6
 
 
 @pytest.mark.parametrize("split_bytes", ["64", "1000", "134217728"])

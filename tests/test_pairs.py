@@ -1,11 +1,10 @@
 """The text sink and the way back."""
 
 import re
-import tempfile
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from lexibid.operators.counts import count_per_key, sorted_by_key
@@ -67,7 +66,39 @@ def test_raw_counts_roundtrip(spark, tmp_path, fixture_path):
 
 
 def test_output_goes_to_the_shared_folder_if_one_is_set(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     first, second = fresh_output_path(spark, "x"), fresh_output_path(spark, "x")
-    assert first.startswith(shared.rstrip("/") if shared else tempfile.gettempdir())
-    assert first != second
+    assert first.startswith(shared.rstrip("/")) and first != second
+
+
+def test_without_a_shared_folder_nothing_is_written():
+    class Bare:
+        conf = {}
+        sparkContext = type("Context", (), {"getCheckpointDir": lambda self: None})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        fresh_output_path(Bare(), "x")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("row", [(None, 1), ("a", None), ("a\nb", 1), ("a\rb", 1), ("a", -1)])
+def test_what_cannot_be_read_back_is_not_written(spark, tmp_path, row, ansi):
+    df = spark.createDataFrame([row], "word string, cnt bigint")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="pair cannot be written"):
+            write_pairs(df, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("line", ["", "a", "(a)", "(1)", "(a,)", "(a,x)", "(a,1", "a,1)", "(a,-1)", "(a,99999999999999999999)"])
+def test_lines_that_are_no_pairs_fail_the_job(spark, tmp_path, line, ansi):
+    (tmp_path / "in").write_text(f"(ok,1)\n{line}\n")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="not a pair"):
+            read_pairs(spark, str(tmp_path / "in")).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

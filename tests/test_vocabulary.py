@@ -83,8 +83,7 @@ def test_summary_counts_non_words_as_tokens_only(spark):
     assert summary["tokens_a"] == 5
 
 
-def test_hot_word_travels_once_per_task(spark):
-    """A third of all rows is one word; each task sends it on as a single row."""
+def test_a_word_that_holds_a_third_of_all_rows(spark):
     hot = F.when(F.col("id") % 3 == 0, F.lit("the")).otherwise(F.col("id").cast("string"))
     a = spark.range(0, 300_000, numPartitions=8).select(hot.alias("word"))
     b = spark.range(0, 30_000, numPartitions=8).select(hot.alias("word"))
