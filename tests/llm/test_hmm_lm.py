@@ -1,0 +1,133 @@
+import itertools
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lexibid.llm import hmm_lm as H
+from tests.llm.brute import normal, words
+
+SMALL = [3, 1, 4, 0, 2, 5]
+
+
+def random_model(codes=H.CODES, seed=1):
+    rng = np.random.default_rng(seed)
+    first, after, emit = rng.random(H.STATES), rng.random((H.STATES, H.STATES)), rng.random((codes, H.STATES)) ** 4
+    return H.Model(first / first.sum(), after / after.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
+def test_forward_is_the_sum_over_all_paths():
+    model = random_model()
+    codes = np.array([5, 9, 0, 7, 7])
+    total = 0.0
+    for path in itertools.product(range(H.STATES), repeat=len(codes)):
+        chance = model.first[path[0]] * model.emit[codes[0], path[0]]
+        for t in range(1, len(codes)):
+            chance *= model.after[path[t - 1], path[t]] * model.emit[codes[t], path[t]]
+        total += chance
+    assert H.log10_likelihoods(model, codes, np.array([5]))[0] == pytest.approx(math.log10(total), rel=1e-12)
+
+
+def test_texts_side_by_side_score_as_alone(monkeypatch):
+    model = random_model()
+    rng = np.random.default_rng(2)
+    counts = np.array([1, 7, 1, 300, 20, 7])
+    codes = rng.integers(0, H.CODES, counts.sum())
+    parts = np.split(codes, np.cumsum(counts)[:-1])
+    alone = [H.log10_likelihoods(model, p, np.array([len(p)]))[0] for p in parts]
+    for most in (1, 10, 1 << 18):
+        monkeypatch.setattr(H, "LOCKSTEP_TOKENS", most)
+        assert H.log10_likelihoods(model, codes, counts) == pytest.approx(alone, rel=1e-12)
+
+
+def test_expected_counts_by_brute_force():
+    model = random_model()
+    texts = [[5, 9, 0], [7], [1, 1, 2, 0]]
+    first, after, emit = np.zeros(H.STATES), np.zeros((H.STATES, H.STATES)), np.zeros((H.CODES, H.STATES))
+    for text in texts:
+        chances = {}
+        for path in itertools.product(range(H.STATES), repeat=len(text)):
+            chance = model.first[path[0]] * model.emit[text[0], path[0]]
+            for t in range(1, len(text)):
+                chance *= model.after[path[t - 1], path[t]] * model.emit[text[t], path[t]]
+            chances[path] = chance
+        total = sum(chances.values())
+        for path, chance in chances.items():
+            first[path[0]] += chance / total
+            for t, state in enumerate(path):
+                emit[text[t], state] += chance / total
+                if t:
+                    after[path[t - 1], state] += chance / total
+    found = H.expected_counts(model, np.array(sum(texts, [])), np.array([len(t) for t in texts]))
+    for ours, theirs in zip(found, (first, after, emit), strict=True):
+        np.testing.assert_allclose(ours, theirs, atol=1e-12)
+
+
+def corpus(n=200, seed=1):
+    """Two made-up languages, and some texts that mix them."""
+    rng = random.Random(seed)
+    languages = [[f"{a}{i}" for i in range(60)] for a in ("ba", "Zo")]
+    rows = [(None, "no id"), (1, None), (2, ""), (3, " \t "), (4, "unseen-" + "x" * 100_000)]
+    for i in range(10, n):
+        own = rng.choice(languages)
+        rows.append((i, " ".join(rng.choices(own, k=rng.randrange(1, 60)))))
+    return rows
+
+
+def test_counts_and_base_scores_by_brute_force(stored, by_id):
+    rows = corpus()
+    found = by_id(H.score_report(stored(rows, files=3)))
+    held = {k: k is not None and zlib.crc32(str(k).encode()) % 5 == 1 for k, _ in rows}
+    tokens = {k: [*words(normal(t)), None] for k, t in rows}
+    counts = Counter(w for k, own in tokens.items() if k is not None and not held[k] for w in own)
+    n, v = sum(counts.values()), len(counts)
+    for k, own in tokens.items():
+        row = found[k]
+        base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)
+        known = sum(counts[w] > 0 for w in own)
+        assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (held[k], len(own), known, n)
+        assert row.base_score == pytest.approx(base, rel=1e-9)
+    held_rows = [r for r in found.values() if r.held_out and r.n_tokens > 20]
+    assert len(held_rows) > 10 and all(r.score > r.base_score for r in held_rows)
+
+
+def test_training_makes_texts_more_likely(stored):
+    texts, counted = H.encoded(stored(corpus(120)))
+    learn = texts.where("learn")
+    totals = []
+    for rounds in range(4):
+        model = H.baum_welch(learn, counted, rounds=rounds)
+        totals.append(H.scored(learn, model).agg({"score": "sum"}).first()[0])
+    assert totals == sorted(totals) and totals[-1] > totals[0]
+    assert model.emit.sum(axis=0) == pytest.approx(1) and (model.emit[: 1 + len(counted.frequent)] > 0).all()
+
+
+def test_blocks_do_not_change_counts(stored, monkeypatch, by_id):
+    docs = stored(corpus(60))
+    whole = {k: r.base_score for k, r in by_id(H.encoded(docs)[0]).items()}
+    monkeypatch.setattr(H, "BLOCK_CHARS", 200)
+    parts = {k: r.base_score for k, r in by_id(H.encoded(docs)[0]).items()}
+    assert parts == pytest.approx(whole)
+
+
+def test_rare_words_have_a_class_and_a_share(stored, monkeypatch, by_id):
+    """With codes for two words only, all others score as their class times their share within it."""
+    monkeypatch.setattr(H, "FREQUENT", 2)
+    monkeypatch.setattr(H, "CODES", 1 + 2 + H.CLASSES)
+    learned = [k for k in range(20) if zlib.crc32(str(k).encode()) % 5 != 1][:2]
+    rows = [(learned[0], "aa ab ba xba yba unba"), (learned[1], "aa aa ab")]
+    texts, counted = H.encoded(stored(rows))
+    assert counted.frequent == [3, 2] and counted.class_weight.sum() == 4 * 1.5
+    assert counted.code_weights().sum() == 2 + 0.5 + 5 + 2 * 0.5 + 6 + 0.5 * H.CLASSES
+    found = by_id(texts)
+    shares = 4 * math.log10(1.5 / (6 + 0.5))  # ba, xba, yba and unba share their ending
+    assert found[learned[0]].rare_score == pytest.approx(shares) and found[learned[1]].rare_score == 0
+
+
+def test_empty_tables(stored):
+    assert H.score_report(stored([])).collect() == []
+    only_empty = H.score_report(stored([(2, None)])).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in only_empty] == [(1, 1, 1)]
