@@ -5,9 +5,10 @@ share a shingle among the first of each, their prefixes. Documents of the same p
 are one group, and documents of the same set one class. Candidates come from prefixes of groups,
 are filtered by size and by place in the order, expanded to classes and verified on the texts.
 
-What is asked for are components, so not all pairs are needed. First every group meets one pivot
-per prefix shingle, and members of a group meet one of them. Pairs already connected then need
-no verification: only what shares a shingle across the components found so far is compared.
+What is asked for are components, so not all pairs are needed. First every group meets the pivot
+of its prefix shingles, the most usual of the documents there, and members of a group meet one of
+them. Pairs already connected then need no verification: only what shares enough prefix
+shingles across the components found so far is compared.
 """
 
 import numpy as np
@@ -36,6 +37,9 @@ ORDER_BITS = 21
 ORDER_BLOCK = 1 << 12
 #: Words whose hashes a worker remembers at most.
 KNOWN_WORDS = 400_000
+#: A group's number has its usualness in the upper bits and a hash below.
+HASH_BITS = 52
+MOST_USUAL = (1 << (63 - HASH_BITS)) - 1
 
 
 def _odd_numbers() -> np.ndarray:
@@ -155,9 +159,12 @@ def signatures(rows: DataFrame, order) -> DataFrame:
                     prefixes.append([])
                     continue
                 # hashes are sorted, so a stable sort by class keeps them in order within one
-                by_class = np.argsort(classes[found >> np.uint64(64 - ORDER_BITS)], kind="stable")
+                own = classes[found >> np.uint64(64 - ORDER_BITS)]
+                by_class = np.argsort(own, kind="stable")
                 prefix = found[by_class[: prefix_size(n)]].view(np.int64)
-                groups.append(np.array([xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=n)], dtype=np.uint64).view(np.int64)[0])
+                usual = min(MOST_USUAL, int(100 * own.mean()))
+                hashed = xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=n) >> (64 - HASH_BITS)
+                groups.append((usual << HASH_BITS) + hashed)
                 ids.append(xxhash.xxh3_128_digest(found.tobytes()))
                 prefixes.append(prefix)
             yield pa.RecordBatch.from_arrays(
@@ -180,32 +187,40 @@ def _sizes_fit(n: str, m: str) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {PERCENT} * greatest({n}, {m})")
 
 
-def _places_fit(n: str, at: str, m: str, where: str) -> Column:
-    """Whether sets of n and m can be linked if a shingle at these places is the first they share.
+def _suffix(n: str) -> str:
+    """How many shingles of a set of n are not in its prefix."""
+    return f"(({PERCENT} * {n} + 99) div 100 - 1)"
 
-    A linked pair shares at least PERCENT / (100 + PERCENT) of n + m, none of it before the
-    first, so at most what is left from there on. True at the first shared shingle of
-    every linked pair, so no pair is lost by asking for it at any.
+
+def _enough_shared(shared: str, n: str, m: str, suffixes: str) -> Column:
+    """Whether sets of n and m can be linked if their prefixes share no more than so many shingles.
+
+    A linked pair shares at least PERCENT / (100 + PERCENT) of n + m. Of the set whose prefix ends
+    first, shared shingles are in both prefixes or in its suffix; ``suffixes`` is the larger suffix.
     """
-    return F.expr(f"{100 + PERCENT} * least({n} - {at}, {m} - {where}) >= {PERCENT} * ({n} + {m})")
+    return F.expr(f"{100 + PERCENT} * ({shared} + {suffixes}) >= {PERCENT} * ({n} + {m})")
 
 
 def shared_postings(signed: DataFrame) -> DataFrame:
-    """Prefix shingles that several groups have: ``token, grp, n, at, pivot``.
+    """Prefix shingles that several groups have: ``token, grp, n, pivot, shared``.
 
-    Each token's pivot is its smallest group. The first shuffle carries a row per token and
-    task; a filter of fixed size then holds back tokens of one group, so little is joined.
+    Each token's pivot is the group with the largest number: documents made of what many
+    have come before edited ones. ``shared`` is how many such tokens the group has. The first
+    shuffle carries a row per token and task; a filter of fixed size then holds back
+    tokens of one group, so little is joined.
     """
-    postings = signed.select("grp", "n", F.posexplode("prefix").alias("at", "token"))
+    postings = signed.select("grp", "n", F.explode("prefix").alias("token"))
     pivots = written(
         postings.groupBy("token")
-        .agg(F.min("grp").alias("pivot"), F.max("grp").alias("other"))
-        .where("pivot < other")
+        .agg(F.max("grp").alias("pivot"), F.min("grp").alias("other"))
+        .where("other < pivot")
         .select("token", "pivot"),
         "jaccard-pivots",
     )
     maybe = flag_members(postings, "token", membership_filter(pivots, "token")).where("_maybe").drop("_maybe")
-    return written(maybe.distinct().join(pivots, "token"), "jaccard-postings")
+    rows = written(maybe.distinct().join(pivots, "token"), "jaccard-postings")
+    shared = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("shared"))
+    return written(rows.join(shared, "grp").select("token", "grp", "n", "pivot", "shared"), "jaccard-postings")
 
 
 def class_table(signed: DataFrame) -> DataFrame:
@@ -258,22 +273,24 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
 
 
 def _pivot_pairs(postings: DataFrame, classes: DataFrame) -> DataFrame:
-    """Every class with one class of each pivot of its group, and with one of its own group."""
-    ones = classes.groupBy("grp").agg(F.min("cls").alias("one"))
-    pivot_rows = postings.where("grp = pivot").select(
-        "token", F.col("n").alias("pivot_n"), F.col("at").alias("pivot_at")
-    )
+    """Every class with one class of a pivot of its group, and with one of its own group.
+
+    A pivot is worth a look if the tokens whose pivot it is are enough for a link by themselves.
+    What is left out here is open to the comparison across components.
+    """
+    ones = classes.groupBy("grp").agg(F.min("cls").alias("one"), F.first("n").alias("pivot_n"))
     met = (
         postings.where("grp <> pivot")
-        .join(pivot_rows, "token")
-        .where(_sizes_fit("n", "pivot_n") & _places_fit("n", "at", "pivot_n", "pivot_at"))
-        .select("grp", "pivot")
-        .distinct()
+        .groupBy("grp", "pivot")
+        .agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("together"))
+        .join(ones.withColumnRenamed("grp", "pivot"), "pivot")
+        .where(_sizes_fit("n", "pivot_n"))
+        .where(_enough_shared("together", "n", "pivot_n", f"greatest({_suffix('n')}, {_suffix('pivot_n')})"))
+        .select("grp", "one")
     )
-    of_pivots = met.join(ones.withColumnRenamed("grp", "pivot"), "pivot").select("grp", "one")
     return written(
         classes.select("grp", "cls")
-        .join(of_pivots.unionByName(ones.select("grp", "one")), "grp")
+        .join(met.unionByName(ones.select("grp", "one")), "grp")
         .where("cls <> one")
         .select(F.col("cls").alias("a"), F.col("one").alias("b")),
         "jaccard-pairs",
@@ -281,41 +298,78 @@ def _pivot_pairs(postings: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _open_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes in different components that share a prefix shingle and fit.
+    """Pairs of classes in different components whose prefixes share enough shingles.
 
-    Tokens within one component are gone before anything is paired. Components are paired per
-    token first, then expanded, so members of one component never meet.
+    Tokens within one component are gone before anything is paired, and so are rows that share
+    too little for any size at their token. Components are paired per token first, then
+    expanded, so members of one component never meet.
     """
     placed = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
         "grp", "cls", F.coalesce("label", "cls").alias("label")
     )
-    rows = postings.select("token", "grp", "n", "at").join(placed, "grp").select("token", "n", "at", "cls", "label")
+    rows = postings.join(placed, "grp").select(
+        "token", "n", "shared", F.expr(_suffix("n")).alias("suffix"), "cls", "label"
+    )
     spanning = (
         rows.groupBy("token")
-        .agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        .where("least < most")
-        .select("token")
+        .agg(
+            F.min("label").alias("first_label"),
+            F.max("label").alias("last_label"),
+            F.min("n").alias("least_n"),
+            F.max("suffix").alias("most_suffix"),
+        )
+        .where("first_label < last_label")
+        .select("token", "least_n", "most_suffix")
+    )
+    partner = f"greatest(least_n, ({PERCENT} * n + 99) div 100)"
+    largest = f"greatest(suffix, least(most_suffix, {_suffix(f'(100 * n div {PERCENT})')}))"
+    rows = written(
+        rows.join(spanning, "token").where(_enough_shared("shared", "n", partner, largest)).drop("least_n", "most_suffix"),
+        "jaccard-open",
+    )
+    sides = rows.groupBy("token", "label").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("shared").alias("shared"), F.max("suffix").alias("suffix")
+    )
+    left, right = (
+        sides.select("token", *(F.col(c).alias(f"{c}_{side}") for c in sides.columns[1:])) for side in "ab"
     )
-    rows = written(rows.join(spanning, "token", "left_semi"), "jaccard-open")
-    sides = rows.groupBy("token", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"))
-    left = sides.select("token", *(F.col(c).alias(f"{c}_a") for c in ("label", "least", "most", "at")))
-    right = sides.select("token", *(F.col(c).alias(f"{c}_b") for c in ("label", "least", "most", "at")))
     met = (
         left.join(right, "token")
         .where("label_a < label_b")
-        .where(F.expr(f"100 * most_a >= {PERCENT} * least_b and 100 * most_b >= {PERCENT} * least_a"))
+        .where(f"100 * most_a >= {PERCENT} * least_b and 100 * most_b >= {PERCENT} * least_a")
+        .where(_enough_shared("least(shared_a, shared_b)", "least_a", "least_b", "greatest(suffix_a, suffix_b)"))
         .select("token", "label_a", "label_b")
     )
-    a = rows.select("token", F.col("label").alias("label_a"), F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))
-    b = rows.select("token", F.col("label").alias("label_b"), F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"))
-    return written(
+    a, b = (
+        rows.select(
+            "token",
+            F.col("label").alias(f"label_{side}"),
+            F.col("cls").alias(side),
+            *(F.col(c).alias(f"{c}_{side}") for c in ("n", "shared", "suffix")),
+        )
+        for side in "ab"
+    )
+    enough = ("n_a", "n_b", "greatest(suffix_a, suffix_b)")
+    across = (
         met.join(a, ["token", "label_a"])
         .join(b, ["token", "label_b"])
-        .where(_sizes_fit("n_a", "n_b") & _places_fit("n_a", "at_a", "n_b", "at_b"))
+        .where(_sizes_fit("n_a", "n_b") & _enough_shared("least(shared_a, shared_b)", *enough))
+        .groupBy("a", "b", "n_a", "n_b", "suffix_a", "suffix_b")
+        .agg(F.count(F.lit(1)).alias("together"))
+        .where(_enough_shared("together", *enough))
         .select("a", "b")
-        .distinct(),
-        "jaccard-pairs",
     )
+    # A group's own tokens need not be in any other, so its classes are compared as they are.
+    split = (
+        placed.groupBy("grp")
+        .agg(F.min("label").alias("first_label"), F.max("label").alias("last_label"))
+        .where("first_label < last_label")
+        .select("grp")
+    )
+    members = placed.join(split, "grp", "left_semi")
+    c, d = (members.select("grp", F.col("label").alias(f"label_{x}"), F.col("cls").alias(x)) for x in "ab")
+    within = c.join(d, "grp").where("label_a < label_b").select("a", "b")
+    return written(across.union(within).distinct(), "jaccard-pairs")
 
 
 def located_texts(docs: DataFrame) -> DataFrame:

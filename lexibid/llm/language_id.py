@@ -37,7 +37,7 @@ SCRIPTS = [
     ("georgian", 0x10A0, 0x10FF),
     ("kana", 0x3040, 0x30FF),
     ("han", 0x3400, 0x9FFF),
-    ("han", 0x20000, 0x2FFFF),
+    ("han", 0x20000, 0x323AF),
     ("hangul", 0xAC00, 0xD7AF),
 ]
 SCRIPT_NAMES = ["other", *dict.fromkeys(name for name, _, _ in SCRIPTS)]
@@ -54,7 +54,7 @@ PIECE = 1 << 20
 #: Words labelled side by side.
 VITERBI_WORDS = 1 << 20
 
-LAST = 0x2FFFF
+LAST = 0x323AF
 BLANK = 32
 
 
