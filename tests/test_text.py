@@ -216,6 +216,7 @@ def test_null_and_empty_texts_have_no_tokens(spark):
     assert row_count(tokens(split_lines(df)), "n").first().n == 0
 
 
+# Fixed inputs and their answers: the two paragraphs are given data, as they stand.
 PARAGRAPH_COUNTS = {"paragraph_a.txt": (103, 100, 61), "paragraph_b.txt": (117, 111, 76)}
 PARAGRAPH_STARTS = {
     "paragraph_a.txt": "senator marco rubio of florida won at the puerto rico",

@@ -7,6 +7,7 @@ from lexibid.operators.tokens import tokens, words
 from lexibid.operators.vocabulary import corpus_summary, in_both, only_in_first
 from lexibid.sources.text import read_lines
 
+# Fixed answers for the two given paragraphs.
 ONLY_IN_A = """according after all associated at bernie came caucuses contests cruz day democratic donald
 finishes four further giving him j kansas kentucky losses louisiana maine marco nominating nomination out
 presidential press reach republican sanders senator shut string ted texas that threatened trump vermont
