@@ -39,7 +39,7 @@ GRAIN = 1e-6
 
 #: Characters in a block, and tokens worked through side by side.
 BLOCK_CHARS = 1 << 25
-LOCKSTEP_TOKENS = 1 << 18
+LOCKSTEP_TOKENS = 1 << 19
 
 END = 0
 CODES = 1 + FREQUENT + CLASSES
@@ -272,21 +272,24 @@ def starting_model(weights: np.ndarray) -> Model:
 
 def forward(model: Model, codes: np.ndarray, counts: np.ndarray):
     """Per group of texts: the group, scaled state chances and scales of every token, log likelihoods."""
+    total = np.ones((STATES, 1))
     for group in groups(counts, LOCKSTEP_TOKENS):
         emitted = model.emit[codes[group.items]]
         chances = np.empty_like(emitted)
-        scales = np.empty(len(emitted))
-        before = None
-        for t in range(group.steps):
-            here = group.at(t)
+        scales = np.empty((len(emitted), 1))
+        bounds = group.slices.tolist()
+        before = chances[:0]
+        for t, (begin, end) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            own = chances[begin:end]
             if t:
-                own = (before[: group.active[t]] @ model.after) * emitted[here]
+                np.matmul(before[: end - begin], model.after, out=own)
+                own *= emitted[begin:end]
             else:
-                own = model.first * emitted[here]
-            scale = own.sum(axis=1)
-            before = own / scale[:, None]
-            chances[here], scales[here] = before, scale
-        yield group, emitted, chances, scales
+                np.multiply(model.first, emitted[begin:end], out=own)
+            scale = np.matmul(own, total, out=scales[begin:end])
+            own /= scale
+            before = own
+        yield group, emitted, chances, scales[:, 0]
 
 
 def log10_likelihoods(model: Model, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -303,17 +306,21 @@ def expected_counts(model: Model, codes: np.ndarray, counts: np.ndarray) -> tupl
     first, after = np.zeros(STATES), np.zeros((STATES, STATES))
     emit = np.zeros((CODES, STATES))
     for group, emitted, chances, scales in forward(model, codes, counts):
-        share = chances.copy()  # chances given the whole text
-        later = np.ones((0, STATES))
+        # From the back: what emits and follows, over what was seen, then the chances given the whole text.
+        ahead = emitted
+        ahead /= scales[:, None]
+        back = model.after.T.copy()
+        bounds = group.slices.tolist()
+        later = ahead[:0]
         for t in range(group.steps - 1, 0, -1):
-            here, n = group.at(t), group.active[t]
-            beyond = np.ones((n, STATES))
-            beyond[: len(later)] = later
-            ahead = emitted[here] * beyond / scales[here][:, None]
-            before = group.slices[t - 1]
-            after += chances[before : before + n].T @ ahead
-            later = ahead @ model.after.T
-            share[before : before + n] *= later
+            begin, end = bounds[t], bounds[t + 1]
+            ahead[begin : begin + len(later)] *= later
+            chances[begin : begin + len(later)] *= later
+            own, before = ahead[begin:end], chances[bounds[t - 1] : bounds[t - 1] + end - begin]
+            after += before.T @ own
+            later = own @ back
+        chances[: len(later)] *= later
+        share = chances
         first += share[group.at(0)].sum(axis=0)
         own = codes[group.items]
         for k in range(STATES):
