@@ -166,18 +166,19 @@ def score_identifiers(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         ]
         any_confidence = reduce(lambda a, b: a | b, (F.col(_score(kind)) > 0 for kind in KINDS))
         patterns = written(sums.select("pattern", *confidence).where(any_confidence), "pii-patterns")
-        doubts = (
+        # The patterns of a mention overlap, so an identifier has the confidence of its best one.
+        best = (
             links.join(patterns, "pattern")
             .groupBy("identifier")
-            .agg(*(F.sum(F.log(1 - F.col(_score(kind)))).alias(f"doubt_{kind}") for kind in KINDS))
+            .agg(*(F.max(_score(kind)).alias(f"best_{kind}") for kind in KINDS))
         )
         raised = [
             F.when(F.col("seed_kind").isNotNull(), F.col(_score(kind)))
-            .otherwise(F.coalesce(1 - F.exp(f"doubt_{kind}"), F.lit(0.0)))
+            .otherwise(F.coalesce(f"best_{kind}", F.lit(0.0)))
             .alias(_score(kind))
             for kind in KINDS
         ]
-        scores = written(scores.join(doubts, "identifier", "left").select("identifier", "seed_kind", *raised), "pii-scores")
+        scores = written(scores.join(best, "identifier", "left").select("identifier", "seed_kind", *raised), "pii-scores")
     return scores
 
 
