@@ -80,7 +80,7 @@ def test_members_of_one_group_need_not_link_with_the_same(spark):
         [(bytes([i]), 7, 100, i, "f", i) for i in range(3)],
         "cls binary, grp bigint, n bigint, doc_id bigint, file string, row bigint",
     )
-    postings = spark.createDataFrame([], "token bigint, grp bigint, n bigint, pivot bigint, shared bigint")
+    postings = spark.createDataFrame([], "token bigint, grp bigint, n bigint, pivot bigint, left bigint")
     first = {(bytes(r.a), bytes(r.b)) for r in J._pivot_pairs(postings, classes).collect()}
     assert first == {(b"\x01", b"\x00"), (b"\x02", b"\x00")}
     none = spark.createDataFrame([], "node binary, label binary")
