@@ -69,11 +69,12 @@ ENCODE = """
     FROM bpe JOIN last USING (word, round) GROUP BY word ORDER BY word
 """
 
-# No token of the word's bytes is longer than {reach}, so what comes first among all pairs within
-# that reach is contracted before anything that could touch it: a long word need not wait for its
-# one minimum. Equal pairs go together if what they make can never go before them (calm); where
-# they overlap, every second one, from the left. The query stops after some rounds and
-# is asked again with what it has.
+# No token of the word's bytes is longer than {reach}. What could touch a pair before it is contracted
+# becomes part of a token with its left or with its right one, so it begins within that reach before
+# the pair, or within twice the reach behind: a long word need not wait for its one minimum. Equal
+# pairs go together if what they make can never go before them (calm); where they overlap, every
+# second one, from the left, once the whole run so far comes first. The query stops after some
+# rounds and is asked again with what it has.
 CONTRACT_LONG = """
     WITH RECURSIVE bpe(round, pos, tok, after) AS (
         SELECT 0, pos, tok, lead(tok) OVER (ORDER BY pos) FROM words
@@ -84,13 +85,17 @@ CONTRACT_LONG = """
             FROM bpe LEFT JOIN merges m ON m.pair = bpe.tok::bigint * 65536 + bpe.after
         ), judged AS (
             SELECT *, key IS NOT NULL AND key = min(key) OVER (
-                ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AS first
+                ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND 2 * {reach} FOLLOWING) AS first
             FROM paired
+        ), marked AS (
+            SELECT *, rank IS DISTINCT FROM lag(rank) OVER (ORDER BY pos) AS is_start FROM judged
         ), runs AS (
-            SELECT *, max(CASE WHEN NOT first THEN place END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS before
-            FROM judged
+            SELECT *,
+                max(CASE WHEN is_start THEN place END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS start,
+                max(CASE WHEN NOT first THEN place ELSE 0 END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS waits
+            FROM marked
         ), hits AS (
-            SELECT *, first AND (place - coalesce(before, 0)) % 2 = 1 AS hit FROM runs
+            SELECT *, first AND (place - start) % 2 = 0 AND waits < start AS hit FROM runs
         ), contracted AS (
             SELECT round, pos, CASE WHEN hit THEN rank ELSE tok END AS tok,
                 lag(hit, 1, false) OVER (ORDER BY pos) AS swallowed

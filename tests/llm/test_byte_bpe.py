@@ -70,6 +70,15 @@ def test_long_words(codec, reference, alphabet, length):
     assert B.as_array(codec.encode([word])[0]).tolist() == reference.encode_ordinary(word)
 
 
+def test_the_way_of_long_words_on_short_ones(codec, reference):
+    rng = random.Random(6)
+    for alphabet in ("ab", "abc", "=-"):
+        for length in range(3, 40, 3):
+            word = "".join(rng.choices(alphabet, k=length))
+            if word.encode() not in codec.ranks:
+                assert B.as_array(codec._encode_long(word.encode())).tolist() == reference.encode_ordinary(word)
+
+
 def test_a_worker_forgets_words_but_not_results(codec, monkeypatch):
     texts = [f"wort{i} und so" for i in range(300)]
     before = codec.encode(texts)
