@@ -37,6 +37,9 @@ PRIOR = 10.0
 #: Expected counts are summed as whole multiples of this, so that sums do not depend on their order.
 GRAIN = 1e-6
 
+#: Steps of the histogram of word counts per doubling.
+HISTOGRAM_STEPS = 16
+
 #: Characters in a block, and tokens worked through side by side.
 BLOCK_CHARS = 1 << 25
 LOCKSTEP_TOKENS = 1 << 19
@@ -190,6 +193,22 @@ def counted_words(table: DataFrame) -> DataFrame:
     )
 
 
+def most_frequent(words: DataFrame) -> list:
+    """The FREQUENT words of the largest counts, ``word, c``, ties by word.
+
+    A histogram of the counts says first from where on there are enough, so that tasks send
+    little more than these words to be sorted and not as many each.
+    """
+    step = F.floor(F.log2("c") * HISTOGRAM_STEPS)
+    histogram = words.groupBy(step.alias("step")).count().collect()  # as many steps as counts have logarithms
+    enough, least = 0, 0
+    for row in sorted(histogram, reverse=True):
+        enough, least = enough + row["count"], row.step
+        if enough >= FREQUENT:
+            break
+    return words.where(step >= least).orderBy(F.desc("c"), "word").limit(FREQUENT).select("word", "c").collect()
+
+
 def encoded(docs: DataFrame) -> tuple[DataFrame, Corpus]:
     """All texts as codes with their base scores, and the corpus counts behind them."""
     spark = docs.sparkSession
@@ -198,7 +217,7 @@ def encoded(docs: DataFrame) -> tuple[DataFrame, Corpus]:
     known = words.where("first and c > 0")
 
     texts = table.where("learn").count()
-    frequent = known.orderBy(F.desc("c"), "word").limit(FREQUENT).select("word", "c").collect()  # FREQUENT rows
+    frequent = most_frequent(known)
     codes = spark.createDataFrame(
         [(row.word, 1 + i) for i, row in enumerate(frequent)], "word string, code int"
     )
