@@ -7,11 +7,12 @@ columns of the encoder's report. Stages are written to the shared folder in betw
 from pyspark.sql import DataFrame, SparkSession
 
 from lexibid.llm import byte_bpe, exact_dedup, jaccard_join, language_id, mixing
-from lexibid.llm.common import read_documents, written
+from lexibid.llm.common import read_documents, ship_package, written
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts that are null or without letters go."""
+    ship_package(spark)
     return language_id.determined(docs)
 
 
@@ -22,6 +23,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
+    ship_package(spark)
     return jaccard_join.one_of_each(docs)
 
 
@@ -32,6 +34,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and the bytes decoded from them, as digests: one row per copy in the mix."""
+    ship_package(spark)
     return byte_bpe.round_trip_report(docs)
 
 

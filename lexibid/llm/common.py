@@ -1,6 +1,9 @@
 """Columns, tables and filters that several operators share."""
 
+import tempfile
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +21,30 @@ FILTER_BITS = 1 << 26
 BUCKET_BITS = 32768
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this library's code to the executors, once per application, so that tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"  # on the driver, which hands it out
+    with zipfile.ZipFile(archive, "w") as files:
+        for source in sorted(package.rglob("*.py")):
+            files.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def read_documents(spark: SparkSession, directory: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{directory}/documents.parquet")
 
 
 def read_pages(spark: SparkSession, directory: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{directory}/pages.parquet")
 
 
