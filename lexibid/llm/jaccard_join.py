@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexibid.llm.common import (
     flag_members,
@@ -32,8 +33,9 @@ from lexibid.llm.components import smallest_labels
 WORDS = 5
 PERCENT = 75
 
-#: Shingles are counted by a hash of so many values: the order's size depends on nothing else.
-ORDER_BITS = 21
+#: Shingles are counted by the upper bits of their hash: the order's size depends on nothing else.
+ORDER_BITS = 22
+ORDER_SIZE = 1 << ORDER_BITS
 ORDER_BLOCK = 1 << 12
 #: Words whose hashes a worker remembers at most.
 KNOWN_WORDS = 400_000
@@ -104,14 +106,12 @@ def frequency_order(texts: DataFrame) -> bytes:
     Counts are over all documents, added up within tasks and then across them. The order
     decides how many candidates there are and not which pairs are linked, so it may be coarse.
     """
-    buckets = 1 << ORDER_BITS
 
     def count(batches):
-        counts = np.zeros(buckets, dtype=np.int64)
+        counts = np.zeros(ORDER_SIZE, dtype=np.int32)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                found = shingle_set(text)
-                np.add.at(counts, (found >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
+                np.add.at(counts, (shingle_set(text) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
         parts = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, ORDER_BLOCK)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
@@ -122,7 +122,7 @@ def frequency_order(texts: DataFrame) -> bytes:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                own = np.frombuffer(counts, dtype=np.uint16).astype(np.int64)
+                own = np.frombuffer(counts, dtype=np.uint16).astype(np.int32)
                 sums[block] = sums[block] + own if block in sums else own
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
@@ -130,13 +130,13 @@ def frequency_order(texts: DataFrame) -> bytes:
         )
 
     counted = texts.mapInArrow(count, "block int, counts binary").repartition("block")
-    rows = counted.mapInArrow(add, "block int, counts binary").collect()  # ORDER_BITS long, whatever the input
-    totals = np.zeros(buckets)
+    rows = counted.mapInArrow(add, "block int, counts binary").collect()  # ORDER_SIZE numbers, whatever the input
+    totals = np.zeros(ORDER_SIZE, dtype=np.float32)
     for row in rows:
-        totals[row.block * ORDER_BLOCK : (row.block + 1) * ORDER_BLOCK] = np.frombuffer(row.counts, dtype=np.int64)
-    usual = totals.mean()
+        totals[row.block * ORDER_BLOCK : (row.block + 1) * ORDER_BLOCK] = np.frombuffer(row.counts, dtype=np.int32)
+    usual = totals.mean(dtype=np.float64)
     excess = (totals - usual) / (2 * np.sqrt(usual) + 2)
-    return np.floor(np.log2(np.maximum(excess, 1))).astype(np.uint8).tobytes()
+    return np.floor(np.log2(np.maximum(2 * excess, 1))).astype(np.uint8).tobytes()
 
 
 SIGNATURES = "doc_id bigint, file string, row bigint, n bigint, grp bigint, cls binary, prefix array<bigint>"
@@ -202,25 +202,26 @@ def _enough_shared(shared: str, n: str, m: str, suffixes: str) -> Column:
 
 
 def shared_postings(signed: DataFrame) -> DataFrame:
-    """Prefix shingles that several groups have: ``token, grp, n, pivot, shared``.
+    """Prefix shingles that several groups have: ``token, grp, n, pivot, left``.
 
     Each token's pivot is the group with the largest number: documents made of what many
-    have come before edited ones. ``shared`` is how many such tokens the group has. The first
-    shuffle carries a row per token and task; a filter of fixed size then holds back
-    tokens of one group, so little is joined.
+    have come before edited ones. ``left`` is how many such tokens the group has from this one on,
+    rare ones first: what two groups share is at most what either has left at the first
+    token they share. The first shuffle carries a row per token and task; a filter of fixed
+    size then holds back tokens of one group, so little is joined.
     """
     postings = signed.select("grp", "n", F.explode("prefix").alias("token"))
     pivots = written(
         postings.groupBy("token")
-        .agg(F.max("grp").alias("pivot"), F.min("grp").alias("other"))
+        .agg(F.max("grp").alias("pivot"), F.min("grp").alias("other"), F.count(F.lit(1)).alias("df"))
         .where("other < pivot")
-        .select("token", "pivot"),
+        .select("token", "pivot", "df"),
         "jaccard-pivots",
     )
     maybe = flag_members(postings, "token", membership_filter(pivots, "token")).where("_maybe").drop("_maybe")
-    rows = written(maybe.distinct().join(pivots, "token"), "jaccard-postings")
-    shared = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("shared"))
-    return written(rows.join(shared, "grp").select("token", "grp", "n", "pivot", "shared"), "jaccard-postings")
+    frequent_first = Window.partitionBy("grp").orderBy(F.desc("df"), F.desc("token"))
+    rows = maybe.distinct().join(pivots, "token").withColumn("left", F.row_number().over(frequent_first))
+    return written(rows.select("token", "grp", "n", "pivot", "left"), "jaccard-postings")
 
 
 def class_table(signed: DataFrame) -> DataFrame:
@@ -298,18 +299,17 @@ def _pivot_pairs(postings: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _open_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes in different components whose prefixes share enough shingles.
+    """Pairs of classes in different components whose prefixes may share enough shingles.
 
-    Tokens within one component are gone before anything is paired, and so are rows that share
-    too little for any size at their token. Components are paired per token first, then
-    expanded, so members of one component never meet.
+    Tokens within one component are gone before anything is paired, and so are rows that have
+    too little left for any size at their token. Components are paired per token first, then
+    expanded, so members of one component never meet. Every linked pair has enough left at
+    the first token it shares, so it is found there at least.
     """
     placed = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
         "grp", "cls", F.coalesce("label", "cls").alias("label")
     )
-    rows = postings.join(placed, "grp").select(
-        "token", "n", "shared", F.expr(_suffix("n")).alias("suffix"), "cls", "label"
-    )
+    rows = postings.join(placed, "grp").select("token", "n", "left", F.expr(_suffix("n")).alias("suffix"), "cls", "label")
     spanning = (
         rows.groupBy("token")
         .agg(
@@ -324,20 +324,18 @@ def _open_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame) -> D
     partner = f"greatest(least_n, ({PERCENT} * n + 99) div 100)"
     largest = f"greatest(suffix, least(most_suffix, {_suffix(f'(100 * n div {PERCENT})')}))"
     rows = written(
-        rows.join(spanning, "token").where(_enough_shared("shared", "n", partner, largest)).drop("least_n", "most_suffix"),
+        rows.join(spanning, "token").where(_enough_shared("left", "n", partner, largest)).drop("least_n", "most_suffix"),
         "jaccard-open",
     )
     sides = rows.groupBy("token", "label").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max("shared").alias("shared"), F.max("suffix").alias("suffix")
-    )
-    left, right = (
-        sides.select("token", *(F.col(c).alias(f"{c}_{side}") for c in sides.columns[1:])) for side in "ab"
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("left").alias("left"), F.max("suffix").alias("suffix")
     )
+    of_a, of_b = (sides.select("token", *(F.col(c).alias(f"{c}_{side}") for c in sides.columns[1:])) for side in "ab")
     met = (
-        left.join(right, "token")
+        of_a.join(of_b, "token")
         .where("label_a < label_b")
         .where(f"100 * most_a >= {PERCENT} * least_b and 100 * most_b >= {PERCENT} * least_a")
-        .where(_enough_shared("least(shared_a, shared_b)", "least_a", "least_b", "greatest(suffix_a, suffix_b)"))
+        .where(_enough_shared("least(left_a, left_b)", "least_a", "least_b", "greatest(suffix_a, suffix_b)"))
         .select("token", "label_a", "label_b")
     )
     a, b = (
@@ -345,18 +343,15 @@ def _open_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame) -> D
             "token",
             F.col("label").alias(f"label_{side}"),
             F.col("cls").alias(side),
-            *(F.col(c).alias(f"{c}_{side}") for c in ("n", "shared", "suffix")),
+            *(F.col(c).alias(f"{c}_{side}") for c in ("n", "left", "suffix")),
         )
         for side in "ab"
     )
-    enough = ("n_a", "n_b", "greatest(suffix_a, suffix_b)")
     across = (
         met.join(a, ["token", "label_a"])
         .join(b, ["token", "label_b"])
-        .where(_sizes_fit("n_a", "n_b") & _enough_shared("least(shared_a, shared_b)", *enough))
-        .groupBy("a", "b", "n_a", "n_b", "suffix_a", "suffix_b")
-        .agg(F.count(F.lit(1)).alias("together"))
-        .where(_enough_shared("together", *enough))
+        .where(_sizes_fit("n_a", "n_b"))
+        .where(_enough_shared("least(left_a, left_b)", "n_a", "n_b", "greatest(suffix_a, suffix_b)"))
         .select("a", "b")
     )
     # A group's own tokens need not be in any other, so its classes are compared as they are.
