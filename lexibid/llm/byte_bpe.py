@@ -23,12 +23,12 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 #: Characters of text handled at once.
-PORTION = 1 << 22
+PORTION = 1 << 23
 #: A recursive query returns all its rounds: a word has a round per token at most, and words of one
 #: query stay below this sum of squared lengths.
-QUERY_SQUARES = 10_000_000
+QUERY_SQUARES = 1_000_000
 #: Words a worker remembers at most.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 1_000_000
 #: Words longer than this are contracted in many places at once, so many rows per query.
 LONG_BYTES = 512
 LONG_ROWS = 4_000_000
@@ -65,7 +65,7 @@ ENCODE = """
     ), last AS (
         SELECT word, max(round) AS round FROM bpe GROUP BY word
     )
-    SELECT string_agg(tok, ',' ORDER BY pos) AS ids
+    SELECT array_to_string(list(tok ORDER BY pos), ',') AS ids
     FROM bpe JOIN last USING (word, round) GROUP BY word ORDER BY word
 """
 
@@ -213,14 +213,19 @@ class Codec:
         """Ids of each text, joined by commas; empty for an empty text."""
         stretches = [STRETCH.findall(text) for text in texts]
         distinct = list(set().union(*stretches))
-        parts = [self.pattern.findall(stretch) for stretch in distinct]
+        # a blank and ASCII letters are one match of the pattern, which need not be asked
+        split = self.pattern.findall
+        parts = [[s] if s.isascii() and s[0] == " " and s[1:].isalpha() else split(s) for s in distinct]
         new = list(set().union(*parts).difference(self.known))
         if len(self.known) + len(new) > KNOWN_WORDS:
             self.known.clear()
             new = list(set().union(*parts))
         self.known.update(zip(new, self.encode_words(new), strict=True))
         known = self.known
-        ids = {s: ",".join([known[w] for w in words]) for s, words in zip(distinct, parts, strict=True)}
+        ids = {
+            s: known[words[0]] if len(words) == 1 else ",".join([known[w] for w in words])
+            for s, words in zip(distinct, parts, strict=True)
+        }
         return [",".join([ids[s] for s in own]) for own in stretches]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
