@@ -38,7 +38,7 @@ ORDER_BITS = 22
 ORDER_SIZE = 1 << ORDER_BITS
 ORDER_BLOCK = 1 << 12
 #: Words whose hashes a worker remembers at most.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 #: A group's number has its usualness in the upper bits and a hash below.
 HASH_BITS = 52
 MOST_USUAL = (1 << (63 - HASH_BITS)) - 1
@@ -201,7 +201,18 @@ def _enough_shared(shared: str, n: str, m: str, suffixes: str) -> Column:
     return F.expr(f"{100 + PERCENT} * ({shared} + {suffixes}) >= {PERCENT} * ({n} + {m})")
 
 
-def shared_postings(signed: DataFrame) -> DataFrame:
+def one_per_group(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``signed`` that stand for their groups, and a few others.
+
+    A filter of fixed size over the places of one document per group lets them through without
+    a join. What else it lets through only makes ``shared_postings`` count more as shared.
+    """
+    ones = classes.groupBy("grp").agg(F.min(F.struct("file", "row")).alias("at")).select("at.file", "at.row")
+    members = membership_filter(ones.select(place("file", "row")), "place")
+    return flag_members(signed.withColumn("place", place("file", "row")), "place", members).where("_maybe")
+
+
+def shared_postings(signed: DataFrame, classes: DataFrame) -> DataFrame:
     """Prefix shingles that several groups have: ``token, grp, n, pivot, left``.
 
     Each token's pivot is the group with the largest number: documents made of what many
@@ -210,7 +221,7 @@ def shared_postings(signed: DataFrame) -> DataFrame:
     token they share. The first shuffle carries a row per token and task; a filter of fixed
     size then holds back tokens of one group, so little is joined.
     """
-    postings = signed.select("grp", "n", F.explode("prefix").alias("token"))
+    postings = one_per_group(signed, classes).select("grp", "n", F.explode("prefix").alias("token"))
     pivots = written(
         postings.groupBy("token")
         .agg(F.max("grp").alias("pivot"), F.min("grp").alias("other"), F.count(F.lit(1)).alias("df"))
@@ -220,7 +231,7 @@ def shared_postings(signed: DataFrame) -> DataFrame:
     )
     maybe = flag_members(postings, "token", membership_filter(pivots, "token")).where("_maybe").drop("_maybe")
     frequent_first = Window.partitionBy("grp").orderBy(F.desc("df"), F.desc("token"))
-    rows = maybe.distinct().join(pivots, "token").withColumn("left", F.row_number().over(frequent_first))
+    rows = maybe.join(pivots, "token").withColumn("left", F.row_number().over(frequent_first))
     return written(rows.select("token", "grp", "n", "pivot", "left"), "jaccard-postings")
 
 
@@ -385,7 +396,7 @@ def linked_documents(rows: DataFrame) -> DataFrame:
     order = spark.sparkContext.broadcast(frequency_order(rows.select("text")))
     signed = signatures(rows, order)
     classes = class_table(signed)
-    postings = shared_postings(signed)
+    postings = shared_postings(signed, classes)
 
     links = verified(_pivot_pairs(postings, classes), classes, rows)
     more = verified(_open_pairs(postings, classes, smallest_labels(links)), classes, rows)

@@ -109,7 +109,8 @@ def test_many_near_copies(stored, by_id):
     assert {r.component_id for r in found.values()} == {0}
     texts = J.located_texts(docs)
     signed = J.signatures(texts, docs.sparkSession.sparkContext.broadcast(J.frequency_order(texts.select("text"))))
-    classes, postings = J.class_table(signed), J.shared_postings(signed)
+    classes = J.class_table(signed)
+    postings = J.shared_postings(signed, classes)
     assert J._pivot_pairs(postings, classes).count() <= 2 * 400
     labels = smallest_labels(J.verified(J._pivot_pairs(postings, classes), classes, texts))
     assert J._open_pairs(postings, classes, labels).isEmpty()
