@@ -9,12 +9,13 @@ left. Decoding joins tokens with the vocabulary and aggregates their bytes in or
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,12 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 #: Characters of text handled at once.
-PORTION = 1 << 23
+PORTION = 1 << 22
 #: A recursive query returns all its rounds: a word has a round per token at most, and words of one
 #: query stay below this sum of squared lengths.
 QUERY_SQUARES = 1_000_000
 #: Words a worker remembers at most.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 300_000
 #: Words longer than this are contracted in many places at once, so many rows per query.
 LONG_BYTES = 512
 LONG_ROWS = 4_000_000
@@ -127,7 +128,7 @@ class Codec:
         self.known: dict[str, str] = {}
         self.reach = max(map(len, self.ranks))
         self.byte_tokens = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         splits = [
             (self.ranks[t[:i]], self.ranks[t[i:]], rank)
             for t, rank in self.ranks.items()
@@ -264,20 +265,18 @@ def _codec(ranks: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def _portions(batch: pa.RecordBatch, column: str, size: Callable[[object], int], most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose ``column`` is of about ``most`` together."""
-    start, total = 0, 0
-    for i, value in enumerate(batch.column(column).to_pylist()):
-        total += size(value)
-        if total >= most:
-            yield batch.slice(start, i + 1 - start)
-            start, total = i + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
+def _portions(batch: pa.RecordBatch, lengths: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose rows are of about ``most`` together, or one row that is longer."""
+    sizes = np.asarray(lengths.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    part = (np.cumsum(sizes) - sizes) // most
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
 
 
-def _length(value) -> int:
-    return len(value or ())
+def _text_portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return _portions(batch, pc.utf8_length(batch.column("text")), PORTION)
 
 
 def _slim(docs: DataFrame, column: str) -> DataFrame:
@@ -295,7 +294,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
     def run(batches):
         codec = _codec(ranks.value, pattern)
         for batch in batches:
-            for part in _portions(batch, "text", _length, PORTION):
+            for part in _text_portions(batch):
                 ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
                 arrays = pa.array([as_array(own) for own in ids], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), arrays], ["doc_id", "ids"])
@@ -310,7 +309,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     def run(batches):
         codec = _codec(ranks.value, PATTERN)
         for batch in batches:
-            for part in _portions(batch, "ids", _length, PORTION // 4):
+            for part in _portions(batch, pc.list_value_length(batch.column("ids")), PORTION // 4):
                 ids = [np.array(own or [], dtype=np.int32) for own in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(codec.decode(ids), pa.binary())], ["doc_id", "bytes"]
@@ -337,7 +336,7 @@ def round_trip_report(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: st
     def run(batches):
         codec = _codec(ranks.value, pattern)
         for batch in batches:
-            for part in _portions(batch, "text", _length, PORTION):
+            for part in _text_portions(batch):
                 ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
                 arrays = [as_array(own) for own in ids]
                 columns = [
