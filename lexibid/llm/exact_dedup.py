@@ -31,7 +31,7 @@ STATE_SETTINGS = {
     ),
     # One memory budget for all stores of an executor, however many partitions it holds.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "400",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     # Stores of many partitions are small each: no disk is set aside before it is needed.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # Replays read two versions at most.
