@@ -25,20 +25,44 @@ HEX = "(?<![0-9a-f])[0-9a-f]{32,}"
 #: Candidates: runs of characters that encodings use, long enough for a window.
 WINDOW = 20
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
-#: Classes of candidates and the entropy, in bits a character, that some window must reach.
-HEX_CLASS = "^[0-9a-fA-F]+$"
-HEX_BITS = 3.0
-MIXED_BITS = 3.8
+#: Classes of candidates, the first that fits, and the entropy in bits a character that some window must reach.
+#: Smaller alphabets have less entropy, and words have more of it than their letters suggest.
+CLASSES = (
+    ("^[0-9a-fA-F]+$", 3.0),
+    ("^(?:[a-z]+|[A-Z]+)$", 3.8),
+    ("^(?:[A-Za-z]+|[A-Za-z/]*[+][A-Za-z+/]*)=*$", 3.9),
+    ("^[a-z0-9]+$", 3.6),
+    ("^[A-Z0-9]+=*$", 3.5),
+    ("^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", 3.8),
+)
 # Candidates that are no secrets whatever their entropy.
 ALLOWED = (
-    "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
+    "^(?:[A-Za-z0-9_-]+=)?[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     "(?i)example|sample|dummy|placeholder|changeme",
-    "^sha(?:256|384|512)-",
-    "^[A-Za-z_-]+$",
+    "^(?:[A-Za-z0-9_-]+=)?sha(?:256|384|512)-",
+    "^(?=.*[_-])[A-Za-z_-]+$",
+    "^[a-z]*+(?:[A-Z]{1,4}[a-z]{2,}+){1,200}[A-Z]{0,4}$",
+    "(?i)abcdefgh|zyxwvuts|qwertyui",
     "^[0-9_-]+$",
     "^/?[A-Za-z0-9_-]{1,16}(?:/[A-Za-z0-9_-]{1,16}){2,}/?$",
 )
 
+#: Parts of a candidate that are looked at by themselves, since names and values may be glued: what stands behind
+#: an equals sign, and what is left when the characters that only one encoding has end a part. A digest with
+#: its name is one part.
+DIGEST = r"(?<![A-Za-z0-9])sha(?:256|384|512)-[A-Za-z0-9+/]++={0,2}"
+PARTS = tuple(
+    rf"{DIGEST}|{start}[{characters}]{{{WINDOW},}}+{end}"
+    for start, characters, end in (
+        ("(?<==)", "A-Za-z0-9+/_-", "={0,6}"),
+        ("(?<![A-Za-z0-9+/])", "A-Za-z0-9+/", "={0,6}"),
+        ("(?<![A-Za-z0-9_-])", "A-Za-z0-9_-", ""),
+        ("(?<![A-Za-z0-9])", "A-Za-z0-9", ""),
+    )
+)
+#: What follows names of letters only.
+NAMED = rf"^(?:[A-Za-z]+[+/_=-]+){{1,20}}(.{{{WINDOW},}})$"
+
 
 def _c_log_c(count: Column) -> Column:
     return F.when(count > 0, count * F.log2(count)).otherwise(F.lit(0.0))
@@ -81,14 +105,38 @@ def max_entropy(string: Column, window: int = WINDOW) -> Column:
 
 def is_random(string: Column) -> Column:
     """Whether a candidate's class and entropy speak for a secret and no allowed form explains it."""
-    entropy = max_entropy(string)
-    mixed = string.rlike("[0-9]") & string.rlike("[a-z]") & string.rlike("[A-Z]")
-    random = F.when(string.rlike(HEX_CLASS), entropy >= HEX_BITS).otherwise(mixed & (entropy >= MIXED_BITS))
+    least = F.lit(None).cast("double")
+    for form, bits in reversed(CLASSES):
+        least = F.when(string.rlike(form), F.lit(bits)).otherwise(least)
+    random = F.coalesce(max_entropy(string) >= least, F.lit(False))
     for allowed in ALLOWED:
         random = ~string.rlike(allowed) & random
     return random
 
 
+def _random_parts(run: Column) -> Column:
+    """Parts of a candidate that are random by themselves, those of earlier PARTS before what overlaps them."""
+    string = run["found"]
+    named = F.regexp_extract(string, NAMED, 1)
+    rest = S.span(F.length(string) - F.length(named), F.length(string), 3, "entropy", named)
+    parts = [S.matches(string, pattern, 3, "entropy") for pattern in PARTS]
+    parts.insert(1, F.when(named != "", F.array(rest)).otherwise(S.no_spans()))
+    random = F.filter(F.concat(*parts), lambda s: is_random(s["found"]))
+    apart = F.aggregate(
+        random, S.no_spans(), lambda kept, s: F.concat(kept, S.apart_from(F.array(s), kept)).cast(S.NO_SPANS)
+    )
+    return F.transform(
+        apart, lambda s: S.span(run["start"] + s["start"], run["start"] + s["end"], 3, "entropy", s["found"])
+    )
+
+
+def random_spans(runs: Column) -> Column:
+    """Candidates that are random as a whole, and of the others the parts that are."""
+    return F.flatten(
+        F.transform(runs, lambda run: F.when(is_random(run["found"]), F.array(run)).otherwise(_random_parts(run)))
+    )
+
+
 def _base(text: Column) -> Column:
     lowered = F.lower(text)
     named = F.lit(False)
@@ -108,7 +156,7 @@ def secrets(docs: DataFrame) -> DataFrame:
 
     Both are arrays of ``start, end, rank, kind, found`` sorted by start, then kind. ``base`` are the
     known formats, leftmost and without overlap within a kind; ``spans`` has in addition random
-    strings that overlap none of those. A null text is empty and has no spans.
+    strings, or random parts of them, in runs that overlap none of those. A null text is empty and has no spans.
     """
     text = F.col("text")
     scanned = docs.select(
@@ -119,7 +167,7 @@ def secrets(docs: DataFrame) -> DataFrame:
     unknown = base.select("doc_id", "base", candidates.alias("candidates")).select(
         "doc_id", "base", S.apart_from(F.col("candidates"), F.col("base")).alias("candidates")
     )
-    random = F.filter("candidates", lambda s: is_random(s["found"]))
+    random = random_spans(F.col("candidates"))
     return unknown.select("doc_id", "base", S.by_start(F.concat("base", random)).alias("spans"))
 
 

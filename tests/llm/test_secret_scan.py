@@ -73,6 +73,38 @@ def test_random_strings(spark, candidate, is_secret):
     assert spans == (f"entropy:4:{4 + len(candidate)}" if is_secret else "")
 
 
+BASE36 = "k3v9q0s7w2tbx81rhgc5m4zn6"
+BASE32 = "JBSWY3DPEHPK3PXPQ2ZT6VLN"
+LETTERS = "qWzKvNbTxRgLmHsYdPcJfUaE"
+SHA = "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU="
+
+
+@pytest.mark.parametrize(
+    ("run", "secret"),
+    [
+        (BASE36, BASE36),
+        (BASE32, BASE32),
+        (LETTERS, LETTERS),
+        ("qzkvnbtxrglmhsydpcjfuwae", "qzkvnbtxrglmhsydpcjfuwae"),
+        (f"key={HEX40[:24]}", HEX40[:24]),
+        (f"sample_id={MIXED}", MIXED),
+        (f"key_{HEX40[:24]}-prod", HEX40[:24]),
+        (f"user/{BASE36}", BASE36),
+        (f"sample_{MIXED[:15]}_{MIXED[:16]}", f"{MIXED[:15]}_{MIXED[:16]}"),
+        (SHA, None),
+        (f"integrity={SHA}", None),
+        ("abcdefghijklmnopqrstuvwxyz", None),
+        ("AbstractSingletonProxyFactoryBean", None),
+        ("my-long-file-name-2024-report", None),
+        ("RequestId=550e8400-e29b-41d4-a716-446655440000", None),
+    ],
+)
+def test_classes_and_parts(spark, run, secret):
+    docs = spark.createDataFrame([(1, f"see {run}, {MIXED[:19]}")], "doc_id bigint, text string")
+    start = 4 + run.index(secret) if secret else 0
+    assert X.secret_report(docs).first().spans == (f"entropy:{start}:{start + len(secret)}" if secret else "")
+
+
 def test_known_formats_come_first(spark):
     docs = spark.createDataFrame([(1, f"token={MIXED} {MIXED}")], "doc_id bigint, text string")
     row = X.secret_report(docs).first()
