@@ -24,6 +24,8 @@ HEX = "(?<![0-9a-f])[0-9a-f]{32,}"
 
 #: Candidates: runs of characters that encodings use, long enough for a window.
 WINDOW = 20
+#: Windows that are worked through in one piece of a long run.
+PIECE = 500
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 #: Classes of candidates, the first that fits, and the entropy in bits a character that some window must reach.
 #: Smaller alphabets have less entropy, and words have more of it than their letters suggest.
@@ -35,6 +37,9 @@ CLASSES = (
     ("^[A-Z0-9]+=*$", 3.5),
     ("^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", 3.8),
 )
+#: A part of a path: words and numbers of at most 16 characters; what mixes them otherwise may be random.
+WORD = "(?:[A-Za-z]++[0-9]*+|[0-9]++)"
+PATH_PART = f"(?![^/]{{17}})[_-]*+{WORD}(?:[_-]++{WORD})*+[_-]*+"
 # Candidates that are no secrets whatever their entropy.
 ALLOWED = (
     "^(?:[A-Za-z0-9_-]+=)?[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
@@ -44,7 +49,7 @@ ALLOWED = (
     "^[a-z]*+(?:[A-Z]{1,4}[a-z]{2,}+){1,200}[A-Z]{0,4}$",
     "(?i)abcdefgh|zyxwvuts|qwertyui",
     "^[0-9_-]+$",
-    "^/?[A-Za-z0-9_-]{1,16}(?:/[A-Za-z0-9_-]{1,16}){2,}/?$",
+    f"^/?{PATH_PART}(?:/{PATH_PART}){{2,200}}/?$",
 )
 
 #: Parts of a candidate that are looked at by themselves, since names and values may be glued: what stands behind
@@ -76,9 +81,19 @@ def _count(window: Column, character: Column) -> Column:
 def max_entropy(string: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy of any ``window`` characters in a row, in bits a character.
 
-    Zero for strings shorter than the window. With c of each character in a window of w,
-    the entropy is log w minus the sum of c log c over w; a step takes the character
-    that leaves and the one that enters out of the sum and puts them back with their new counts.
+    Zero for strings shorter than the window. Long strings are cut into pieces that overlap by a
+    window less one character, since finding a character takes as long as its place is far.
+    """
+    starts = F.sequence(F.lit(1), F.greatest(F.length(string) - (window - 1), F.lit(1)), F.lit(PIECE))
+    pieces = F.transform(starts, lambda i: F.substring(string, i, F.lit(PIECE + window - 1)))
+    most = F.array_max(F.transform(pieces, lambda piece: _max_entropy(piece, window)))
+    return F.when(F.length(string) >= window, most).otherwise(F.lit(0.0))
+
+
+def _max_entropy(string: Column, window: int) -> Column:
+    """The same for a short string. With c of each character in a window of w, the entropy is
+    log w minus the sum of c log c over w; a step takes the character that leaves and the one
+    that enters out of the sum and puts them back with their new counts.
     """
     first = F.substring(string, 1, window)
     at_first = F.aggregate(
@@ -100,7 +115,7 @@ def max_entropy(string: Column, window: int = WINDOW) -> Column:
 
     start = F.struct(at_first.alias("total"), at_first.alias("least"))
     least = F.aggregate(steps, start, step, lambda done: done["least"])
-    return F.when(F.length(string) >= window, F.lit(math.log2(window)) - least / window).otherwise(F.lit(0.0))
+    return F.lit(math.log2(window)) - least / window
 
 
 def is_random(string: Column) -> Column:
@@ -108,7 +123,7 @@ def is_random(string: Column) -> Column:
     least = F.lit(None).cast("double")
     for form, bits in reversed(CLASSES):
         least = F.when(string.rlike(form), F.lit(bits)).otherwise(least)
-    random = F.coalesce(max_entropy(string) >= least, F.lit(False))
+    random = F.when(least.isNotNull(), max_entropy(string) >= least).otherwise(F.lit(False))
     for allowed in ALLOWED:
         random = ~string.rlike(allowed) & random
     return random

@@ -105,6 +105,25 @@ def test_classes_and_parts(spark, run, secret):
     assert X.secret_report(docs).first().spans == (f"entropy:{start}:{start + len(secret)}" if secret else "")
 
 
+@pytest.mark.parametrize(
+    ("run", "is_secret"),
+    [
+        ("aK3z9Qx7Lm2v/T8rB4nW6yHc1/pD5jFg0sZe9U", True),
+        ("/usr/Local/lib64/Python3/site-packages2/Modules", False),
+        ("Home/user_1/2024/Reports/March07", False),
+    ],
+)
+def test_paths_are_of_words(spark, run, is_secret):
+    docs = spark.createDataFrame([(1, f"see {run} .")], "doc_id bigint, text string")
+    assert X.secret_report(docs).first().spans == (f"entropy:4:{4 + len(run)}" if is_secret else "")
+
+
+def test_long_runs_of_parts(spark):
+    runs = ["a-" * 10_000, "a/" * 3_000, "aB1_" * 5_000, "Abc" * 5_000]
+    docs = spark.createDataFrame(list(enumerate(runs)), "doc_id bigint, text string")
+    assert [r.spans for r in X.secret_report(docs).collect()] == [""] * len(runs)
+
+
 def test_known_formats_come_first(spark):
     docs = spark.createDataFrame([(1, f"token={MIXED} {MIXED}")], "doc_id bigint, text string")
     row = X.secret_report(docs).first()
