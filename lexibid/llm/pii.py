@@ -126,9 +126,10 @@ def _patterns(left: Column, right: Column) -> Column:
     )
 
 
-def _identity(found: Column) -> Column:
-    """Numbers are the same by their digits, all else in lower case."""
-    return F.when(found.rlike(r"^[0-9\x20().+-]+$"), _digits(found)).otherwise(F.lower(found))
+def _identity(found: Column, kind: Column) -> Column:
+    """Numbers are the same by their digits, all else in lower case; an IP's points tell it from a number."""
+    is_number = found.rlike(r"^[0-9\x20().+-]+$") & (kind != "ip")
+    return F.when(is_number, _digits(found)).otherwise(F.lower(found))
 
 
 def _score(kind: str) -> str:
@@ -226,12 +227,13 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     mentions = found.select("file", "row", F.inline("mentions"))
     edges = mentions.select(
         F.explode(_patterns(F.col("left"), F.col("right"))).alias("pattern"),
-        _identity(F.col("found")).alias("identifier"),
+        _identity(F.col("found"), F.col("kind")).alias("identifier"),
         F.when(F.col("seed"), F.col("kind")).alias("seed_kind"),
     )
-    scores = score_identifiers(edges, rounds).where("seed_kind is null").drop("seed_kind")
+    # A seed that is written in a looser form elsewhere is a span there too, whatever stands around it.
+    scores = score_identifiers(edges, rounds).drop("seed_kind")
 
-    open_mentions = mentions.where("not seed").withColumn("identifier", _identity(F.col("found")))
+    open_mentions = mentions.where("not seed").withColumn("identifier", _identity(F.col("found"), F.col("kind")))
     accepted = open_mentions.join(scores, "identifier").withColumn("kind", _accepted_kind(F.col("found")))
     ranks = F.create_map(*(F.lit(v) for i, kind in enumerate(KINDS) for v in (kind, i)))
     discovered = (

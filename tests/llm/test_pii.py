@@ -82,6 +82,18 @@ def test_contexts_of_known_formats_find_others(stored, by_id):
         assert found[i].spans == ",".join(f"{kind}:{start}:{end}" for _, start, kind, end in base(text))
 
 
+def test_seeds_in_looser_forms_are_found_in_any_context(stored, by_id):
+    rows = [
+        (1, "call +1 (235) 555-3833 now"),
+        (2, f"pay by {CARD} only"),
+        (3, "somewhere 1-235-555-3833 else"),
+        (4, "and 4111.1111.1111.1111 too"),
+        (5, "host 10.0.0.123 is no 1000123 at all"),
+    ]
+    found = by_id(X.personal_data_report(stored(rows)))
+    assert [found[i].spans for i in (3, 4, 5)] == ["phone:10:24", "card:4:23", "ip:5:15"]
+
+
 def test_identifiers_carry_confidence_to_other_patterns(spark):
     """A number seen in a good pattern makes another of its patterns good, round by round."""
     edges = [("p1", f"seed{i}", "phone") for i in range(8)] + [("p1", "n1", None), ("p2", "n1", None)]
