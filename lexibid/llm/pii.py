@@ -40,7 +40,7 @@ CONTEXT = 60
 ROUNDS = 3
 #: A pattern counts once it has been seen with so many identifiers of a kind.
 LEAST_SEEN = 3
-#: What an identifier of no known kind takes from a pattern's confidence, and what doubt is left.
+#: What an identifier that is not accepted takes from a pattern's confidence, and what doubt is left.
 UNKNOWN = 0.2
 DOUBT = 0.5
 #: A candidate is a span from this confidence on.
@@ -136,26 +136,44 @@ def _score(kind: str) -> str:
     return f"score_{kind}"
 
 
-def score_identifiers(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _given(kind: str) -> str:
+    return f"given_{kind}"
+
+
+def _forms() -> dict[str, Column]:
+    """The kinds that an identifier's form allows."""
+    is_number, digits = F.col("identifier").rlike("^[0-9]+$"), F.length("identifier")
+    numbers = {kind: is_number & digits.between(*bounds) for kind, bounds in NUMBER_DIGITS.items()}
+    return {"email": ~is_number, "ip": F.lit(False), **numbers}
+
+
+def score_identifiers(edges: DataFrame, rounds: int = ROUNDS, forms: dict[str, Column] | None = None) -> DataFrame:
     """Confidence of every identifier per kind: ``identifier, seed_kind, score_<kind>...``.
 
     ``edges`` has ``pattern, identifier, seed_kind``; a seed's kind is fixed. Sums combine
     within tasks, so a pattern or identifier that holds a third of the edges is one row per task.
     Every round is written to the shared folder.
+
+    An identifier is unknown to a pattern, and weighs UNKNOWN, until it is accepted for a kind that
+    ``forms`` allows; from then on it gives its patterns the confidence with which it was accepted.
+    What is not accepted adds nothing to a pattern, so a pattern cannot raise itself.
     """
+    forms = forms or {kind: F.lit(True) for kind in KINDS}
     edges = written(edges.groupBy("pattern", "identifier").agg(F.max("seed_kind").alias("seed_kind")), "pii-edges")
     links = edges.select("pattern", "identifier")
     own = [F.when(F.col("seed_kind") == kind, 1.0).otherwise(0.0).alias(_score(kind)) for kind in KINDS]
+    given = [F.col(_score(kind)).alias(_given(kind)) for kind in KINDS]
     seeds = edges.groupBy("identifier").agg(F.max("seed_kind").alias("seed_kind")).select("identifier", "seed_kind", *own)
+    seeds = seeds.select("*", *given)
     scores = written(seeds, "pii-scores")
     for _ in range(rounds):
-        known = F.greatest(F.lit(UNKNOWN), *(F.col(_score(kind)) for kind in KINDS))
+        known = F.greatest(F.lit(UNKNOWN), *(F.col(_given(kind)) for kind in KINDS))
         sums = (
             links.join(scores, "identifier")
             .groupBy("pattern")
             .agg(
                 F.sum(known).alias("weight"),
-                *(F.sum(_score(kind)).alias(_score(kind)) for kind in KINDS),
+                *(F.sum(_given(kind)).alias(_score(kind)) for kind in KINDS),
                 *(F.count_if(F.col("seed_kind") == kind).alias(f"seen_{kind}") for kind in KINDS),
             )
         )
@@ -175,12 +193,20 @@ def score_identifiers(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         )
         raised = [
             F.when(F.col("seed_kind").isNotNull(), F.col(_score(kind)))
-            .otherwise(F.coalesce(f"best_{kind}", F.lit(0.0)))
+            .otherwise(F.greatest(F.col(_given(kind)), F.coalesce(f"best_{kind}", F.lit(0.0))))
             .alias(_score(kind))
             for kind in KINDS
         ]
-        scores = written(scores.join(best, "identifier", "left").select("identifier", "seed_kind", *raised), "pii-scores")
-    return scores
+        accepted = [
+            F.when(F.col(_given(kind)) > 0, F.col(_given(kind)))
+            .when((F.col(_score(kind)) >= ACCEPTED) & forms[kind], F.col(_score(kind)))
+            .otherwise(0.0)
+            .alias(_given(kind))
+            for kind in KINDS
+        ]
+        raised = scores.join(best, "identifier", "left").select("identifier", "seed_kind", *raised, *map(_given, KINDS))
+        scores = written(raised.select("identifier", "seed_kind", *map(_score, KINDS), *accepted), "pii-scores")
+    return scores.drop(*map(_given, KINDS))
 
 
 def _accepted_kind(found: Column) -> Column:
@@ -231,7 +257,7 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         F.when(F.col("seed"), F.col("kind")).alias("seed_kind"),
     )
     # A seed that is written in a looser form elsewhere is a span there too, whatever stands around it.
-    scores = score_identifiers(edges, rounds).drop("seed_kind")
+    scores = score_identifiers(edges, rounds, _forms()).drop("seed_kind")
 
     open_mentions = mentions.where("not seed").withColumn("identifier", _identity(F.col("found"), F.col("kind")))
     accepted = open_mentions.join(scores, "identifier").withColumn("kind", _accepted_kind(F.col("found")))

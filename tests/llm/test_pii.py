@@ -106,6 +106,14 @@ def test_identifiers_carry_confidence_to_other_patterns(spark):
     assert scores["n2"].score_phone > single["n2"].score_phone
 
 
+def test_few_seeds_do_not_raise_a_pattern_by_what_it_raises(spark):
+    """1% seeds in overlapping patterns, which must not feed each other either."""
+    names = [(f"seed{i}", "phone") for i in range(3)] + [(f"n{i}", None) for i in range(300)]
+    edges = [(pattern, name, kind) for pattern in ("L the", "LL on the") for name, kind in names]
+    df = spark.createDataFrame(edges, "pattern string, identifier string, seed_kind string")
+    assert all(r.score_phone < 0.1 for r in X.score_identifiers(df).collect() if r.identifier.startswith("n"))
+
+
 def test_no_python(stored, plan):
     assert not re.search("Python|Pandas|Arrow", plan(X.personal_data_report(stored([(1, "x")]))))
 
