@@ -7,6 +7,7 @@ candidates that reach a high confidence are spans too. Column expressions, joins
 """
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,7 @@ ADDRESS = (
 
 #: Characters on either side that may hold the words of a pattern.
 CONTEXT = 60
-ROUNDS = 3
-#: A pattern counts once it has been seen with so many identifiers of a kind.
+#: A pattern counts once it has been seen with so many identifiers of a kind, seeds or accepted ones.
 LEAST_SEEN = 3
 #: What an identifier that is not accepted takes from a pattern's confidence, and what doubt is left.
 UNKNOWN = 0.2
@@ -147,12 +147,13 @@ def _forms() -> dict[str, Column]:
     return {"email": ~is_number, "ip": F.lit(False), **numbers}
 
 
-def score_identifiers(edges: DataFrame, rounds: int = ROUNDS, forms: dict[str, Column] | None = None) -> DataFrame:
+def score_identifiers(edges: DataFrame, rounds: int | None = None, forms: dict[str, Column] | None = None) -> DataFrame:
     """Confidence of every identifier per kind: ``identifier, seed_kind, score_<kind>...``.
 
     ``edges`` has ``pattern, identifier, seed_kind``; a seed's kind is fixed. Sums combine
     within tasks, so a pattern or identifier that holds a third of the edges is one row per task.
-    Every round is written to the shared folder.
+    Every round is written to the shared folder. Without ``rounds`` they go on until none accepts
+    a further identifier, and thus no pattern gets any further ones; what is accepted stays so.
 
     An identifier is unknown to a pattern, and weighs UNKNOWN, until it is accepted for a kind that
     ``forms`` allows; from then on it gives its patterns the confidence with which it was accepted.
@@ -166,7 +167,8 @@ def score_identifiers(edges: DataFrame, rounds: int = ROUNDS, forms: dict[str, C
     seeds = edges.groupBy("identifier").agg(F.max("seed_kind").alias("seed_kind")).select("identifier", "seed_kind", *own)
     seeds = seeds.select("*", *given)
     scores = written(seeds, "pii-scores")
-    for _ in range(rounds):
+    discovered = 0
+    for _ in count() if rounds is None else range(rounds):
         known = F.greatest(F.lit(UNKNOWN), *(F.col(_given(kind)) for kind in KINDS))
         sums = (
             links.join(scores, "identifier")
@@ -174,7 +176,7 @@ def score_identifiers(edges: DataFrame, rounds: int = ROUNDS, forms: dict[str, C
             .agg(
                 F.sum(known).alias("weight"),
                 *(F.sum(_given(kind)).alias(_score(kind)) for kind in KINDS),
-                *(F.count_if(F.col("seed_kind") == kind).alias(f"seen_{kind}") for kind in KINDS),
+                *(F.count_if(F.col(_given(kind)) > 0).alias(f"seen_{kind}") for kind in KINDS),
             )
         )
         confidence = [
@@ -206,6 +208,9 @@ def score_identifiers(edges: DataFrame, rounds: int = ROUNDS, forms: dict[str, C
         ]
         raised = scores.join(best, "identifier", "left").select("identifier", "seed_kind", *raised, *map(_given, KINDS))
         scores = written(raised.select("identifier", "seed_kind", *map(_score, KINDS), *accepted), "pii-scores")
+        before, discovered = discovered, scores.select(F.sum(sum(F.when(F.col(_given(k)) > 0, 1).otherwise(0) for k in KINDS))).first()[0]
+        if discovered == before:
+            break
     return scores.drop(*map(_given, KINDS))
 
 
@@ -227,7 +232,7 @@ def _accepted_kind(found: Column) -> Column:
     return F.when(best["score"] >= ACCEPTED, F.element_at(names, 1 - best["order"]))
 
 
-def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def personal_data(docs: DataFrame, rounds: int | None = None) -> DataFrame:
     """Spans of every row of ``docs`` (``doc_id, text``; others are ignored): ``doc_id, base, spans``.
 
     Both are arrays of ``start, end, rank, kind, found`` sorted by kind, then start. ``base`` are the

@@ -114,6 +114,16 @@ def test_few_seeds_do_not_raise_a_pattern_by_what_it_raises(spark):
     assert all(r.score_phone < 0.1 for r in X.score_identifiers(df).collect() if r.identifier.startswith("n"))
 
 
+def test_discovered_identifiers_make_new_patterns(spark):
+    """Three generations: no seed stands in the second and third pattern."""
+    edges = [("call", f"seed{i}", "phone") for i in range(40)] + [("call", f"a{i}", None) for i in range(10)]
+    edges += [("tel", f"a{i}", None) for i in range(10)] + [("tel", f"b{i}", None) for i in range(4)]
+    edges += [("line", f"a{i}", None) for i in range(5)] + [("line", f"b{i}", None) for i in range(4)] + [("line", "c", None)]
+    df = spark.createDataFrame(edges, "pattern string, identifier string, seed_kind string")
+    scores = {r.identifier: r.score_phone for r in X.score_identifiers(df).collect()}
+    assert all(scores[name] >= X.ACCEPTED for name in ("a0", "b0", "c"))
+
+
 def test_no_python(stored, plan):
     assert not re.search("Python|Pandas|Arrow", plan(X.personal_data_report(stored([(1, "x")]))))
 
