@@ -48,6 +48,11 @@ def read_pages(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/pages.parquet")
 
 
+def read_vectors(spark: SparkSession, directory: str) -> DataFrame:
+    ship_package(spark)
+    return spark.read.parquet(f"{directory}/embeddings.parquet")
+
+
 def text_or_empty(text: str | Column) -> Column:
     return F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit(""))
 

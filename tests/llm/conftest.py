@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 CLASHES = (
     "file row content place digest keep text_sha256 group_size token grp cls label block ids idx word found base "
     "spans copies size target source_size draw rate own copy _maybe _bit _bucket _members n at prefix pivot score "
-    "component stays follower mentions key count lang_pred"
+    "component stays follower mentions key count lang_pred "
+    "pos hash item path top leaf held_out chunks entry code error slot"
 ).split()
 
 
@@ -15,7 +16,7 @@ def stored(spark, tmp_path):
 
     def store(rows, schema="doc_id bigint, text string", files=2, name="documents"):
         df = spark.createDataFrame(rows, schema)
-        df = df.select("*", *(F.lit(c).alias(c) for c in CLASHES))
+        df = df.select("*", *(F.lit(c).alias(c) for c in CLASHES if c not in df.columns))
         path = f"{tmp_path}/{name}.parquet"
         df.repartition(files).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)

@@ -1,0 +1,110 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from lexibid.llm import vector_codes as V
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute_force(rows):
+    """All distances to all entries; rows are (id, vector, label), ids being different."""
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    width = max(1, -(-max((len(v) for _, v, _ in kept), default=0) // 16))
+    grid = {i: [math.floor(np.float32(x).item() * 256) for x in v] + [0] * (16 * width - len(v)) for i, v, _ in kept}
+    parts = {i: [g[p * width : (p + 1) * width] for p in range(16)] for i, g in grid.items()}
+    books = [[parts[i][p] for i in sorted(parts)[:64]] for p in range(16)]
+
+    def nearest(p, own):
+        return min((sum((a - b) ** 2 for a, b in zip(own, c, strict=True)), k) for k, c in enumerate(books[p]))
+
+    for _ in range(2):
+        found = {(i, p): nearest(p, parts[i][p])[1] for i in parts for p in range(16)}
+        for p in range(16):
+            for k in range(len(books[p])):
+                own = [parts[i][p] for i in parts if found[i, p] == k]
+                if own:
+                    books[p][k] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    results, by_label = {}, {}
+    for i, _, label in kept:
+        last = [nearest(p, parts[i][p]) for p in range(16)]
+        results[i] = ("".join(f"{k:02x}" for _, k in last), sum(d for d, _ in last))
+        by_label[label] = by_label.get(label, 0) + results[i][1]
+    flat = ",".join(str(x) for book in books for c in book for x in c)
+    digest = hashlib.sha256(flat.encode()).hexdigest()
+    return {i: (i, *results[i], by_label[label], digest) for i, _, label in kept}
+
+
+@pytest.mark.parametrize(("seed", "width", "spread"), [(1, 4, 0.1), (2, 1, 2.0), (3, 5, 0.01)])
+def test_by_brute_force(stored, by_id, seed, width, spread):
+    rng = random.Random(seed)
+    rows = []
+    for i in rng.sample(range(5000), 250):
+        vector = [rng.gauss(0, spread) for _ in range(16 * width)]
+        if rng.random() < 0.2 and rows:
+            vector = list(rows[-1][1] or vector)
+        rows.append((i, vector, rng.choice([None, 0, 1, 1, 1])))
+    for bad in (None, math.nan, math.inf, -math.inf):
+        rows.append((10_000 + len(rows), [bad, *[0.0] * (16 * width - 1)], 1))
+    rows.append((9_999, None, 1))
+    found = by_id(V.code_report(stored(rows, SCHEMA, files=3)))
+    assert {i: tuple(r) for i, r in found.items()} == brute_force(rows)
+
+
+def test_few_short_and_large_vectors(stored, by_id):
+    """As many entries as vectors; shorter vectors end with zeros, and an empty one is zeros."""
+    rows = [(1, [0.5] * 32, 1), (2, [], None), (3, [-0.001, 1000.0], None)]
+    found = by_id(V.code_report(stored(rows, SCHEMA)))
+    assert {i: tuple(r) for i, r in found.items()} == brute_force(rows)
+    huge = by_id(V.code_report(stored([(1, [3e38] * 32, 1), (2, [-3e38] * 32, 1), (3, [0.0] * 32, 1)], SCHEMA)))
+    assert [huge[i].code for i in (1, 2, 3)] == ["00" * 16, "01" * 16, "02" * 16]
+
+
+def test_missing_and_repeated_ids(stored):
+    rows = [(None, [0.1] * 16, 3), (5, [0.2] * 16, 3), (5, [0.2] * 16, 3), (5, [0.3] * 16, None)]
+    found = V.code_report(stored(rows, SCHEMA)).collect()
+    assert [r.error for r in found] == [0] * 4 and len({r.codebooks_sha256 for r in found}) == 1
+    # of equal entries the first
+    assert sorted((r.vec_id or 0, r.code[:2]) for r in found) == [(0, "03"), (5, "00"), (5, "00"), (5, "02")]
+
+
+def test_empty_tables(stored):
+    assert V.code_report(stored([], SCHEMA)).collect() == []
+    assert V.code_report(stored([(1, None, 1), (2, [math.nan] * 16, 1)], SCHEMA)).collect() == []
+
+
+def test_search_looks_at_few_entries(monkeypatch):
+    """It finds what a full search finds, ties included, and stops before it has seen all."""
+    rng = np.random.default_rng(1)
+    entries = rng.integers(-60, 60, (16, 64, 4))
+    entries[:, 40] = entries[:, 7]
+    parts = rng.integers(-70, 70, (16, 500, 4))
+    every = ((parts[:, :, None] - entries[:, None]) ** 2).sum(-1)
+    index, distance = V.Codebooks(entries).nearest(parts)
+    assert (index == every.argmin(-1)).all() and (distance == every.min(-1)).all()
+    assert not (index == 40).any()
+
+
+def test_bounds_that_only_equal_the_best_are_looked_at():
+    """A part of sum 0 with entries at equal distance on both sides: the lower index may come later."""
+    entries = np.zeros((16, 2, 1), dtype=np.int64)
+    entries[:, 0], entries[:, 1] = 3, -3
+    index, distance = V.Codebooks(entries).nearest(np.zeros((16, 1, 1), dtype=np.int64))
+    assert (index == 0).all() and (distance == 9).all()
+
+
+def test_grid_rounds_down():
+    vectors = pa.array([[-0.001, 0.001, -1.0, 0.00390625] * 4], pa.list_(pa.float32()))
+    assert V.on_grid(vectors, 16)[:4, 0, 0].tolist() == [-1, 0, -256, 1]
+
+
+def test_a_third_of_all_rows_is_one_vector(spark):
+    own = "transform(sequence(1, 16), i -> cast(sin(i * id) as float))"
+    hot = "transform(sequence(1, 16), i -> cast(0.5 as float))"
+    rows = spark.range(0, 3000, numPartitions=4).selectExpr("id AS vec_id", f"if(id % 3 = 0, {hot}, {own}) AS embedding", "1 AS label")
+    found = V.code_report(rows)
+    assert found.count() == 3000 and found.where("vec_id % 3 = 0").select("code").distinct().count() == 1
