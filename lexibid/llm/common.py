@@ -1,15 +1,20 @@
 """Columns, tables and filters that several operators share."""
 
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexibid.sources.shared import fresh_output_path
+from lexibid.sources.shared import shared_folder
 
 # A word, as Java, Python and RE2 spell it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,11 +68,40 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+#: Shuffle files of a job go once its table is written: whoever needs the rows reads the table.
+CLEAN_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def intermediate_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are, within the shared folder."""
+    return f"{shared_folder(spark)}/intermediate-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
-    path = fresh_output_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = f"{intermediate_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    with session_settings(spark, CLEAN_SHUFFLES):
+        df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``written`` that nothing reads any more."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if f"/{intermediate_folder(table.sparkSession).rsplit('/', 1)[1]}/" in folder:
+                _remove(table.sparkSession, folder)
+
+
+def remove_intermediate(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, once results that read them are written."""
+    _remove(spark, intermediate_folder(spark))
 
 
 def membership_filter(keys: DataFrame, key: str) -> DataFrame:
@@ -92,6 +126,23 @@ def flag_members(rows: DataFrame, key: str, members: DataFrame) -> DataFrame:
     return joined.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias("_maybe"))
 
 
+#: Bytes of text that a task turns into Python objects at once, and of a batch that Spark sends to it.
+SLICE_BYTES = 1 << 20
+SLICED_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def slices(batch: pa.RecordBatch, *columns: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes in ``columns`` (strings or binary), or one row that has more."""
+    sizes = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in columns:
+        sizes += np.asarray(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    part = (np.cumsum(sizes) - sizes) // most
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+
+
 @contextmanager
 def session_settings(spark: SparkSession, settings: dict[str, str]):
     """Settings for the jobs started inside; what was there before comes back."""

@@ -1,10 +1,11 @@
 """Language-model scoring by a hidden Markov model.
 
-Texts are encoded in blocks: a block has a vocabulary of its own, so that the corpus counts of
-its words come to it once per word and not once per token. Frequent words have codes of their
-own; all others have the code of a class by their ending, and within it a share by count.
-Baum-Welch then runs over the codes of all training texts: expected counts are summed within
-tasks and by Spark, and the scaled forward recursion gives the exact likelihood of a text.
+Texts are encoded in blocks: a block has a vocabulary of its own, so that what is known of a word
+comes to it once per block and not once per token. Baum-Welch begins with codes: frequent words
+have their own, all others that of a class by their ending, so a round is one pass over the
+training texts and a small table of expected counts. The last round counts for every learned word
+by itself, summed over all blocks by Spark: its emissions are a table of words, joined to the
+blocks, in which the scaled forward recursion gives the exact likelihood of every text.
 """
 
 import uuid
@@ -13,27 +14,29 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lexibid.llm.common import text_or_empty, written
+from lexibid.llm.common import SLICED_BATCHES, discard, session_settings, slices, text_or_empty, written
 from lexibid.llm.lockstep import groups
 
 # The held-out fold (remainder and modulus) and the weight of what was never seen.
 FOLD, FOLDS = 1, 5
 UNSEEN = 0.5
 
-#: Size of the model, which is what reaches the driver: states, words with codes of their own, and classes.
+#: States of the model, and what its first rounds tell apart: frequent words, and classes of all others.
 STATES = 8
 FREQUENT = 8191
 CLASSES = 64
-ROUNDS = 5
+#: Rounds over codes; one over all words follows.
+ROUNDS = 4
 #: Where training starts: how likely a state stays, and how much a word's chance varies by state.
 STAY = 0.8
 SPREAD = 0.9
 #: Expected counts of this weight by overall frequency keep every code possible in every state.
 PRIOR = 10.0
+#: So many tokens of a word are taken to be in states as all tokens are, besides those that it has.
+EVEN = 2.0
 #: Expected counts are summed as whole multiples of this, so that sums do not depend on their order.
 GRAIN = 1e-6
 
@@ -42,27 +45,30 @@ HISTOGRAM_STEPS = 16
 
 #: Characters in a block, and tokens worked through side by side.
 BLOCK_CHARS = 1 << 25
-LOCKSTEP_TOKENS = 1 << 19
+LOCKSTEP_TOKENS = 1 << 18
 
 END = 0
 CODES = 1 + FREQUENT + CLASSES
+#: Names the end of a text where words are named by a hash: no word is empty.
+END_WORD = ""
+
+#: Shares are sent in 255ths; a word's leaning to a state is a power of two in these steps, from 2 to the minus 8.
+SHARES = 255
+LEAN_STEPS, LEAN_LEAST = 16, -8
 
 BLOCKS = "block string, doc_id bigint, held_out boolean, learn boolean, ids binary, idx int, word string, n bigint"
-ENCODED = (
-    "doc_id bigint, held_out boolean, learn boolean, n_tokens bigint, n_known bigint, base_score double, "
-    "rare_score double, codes binary"
-)
 
 
 def _no(count: int, kind: pa.DataType) -> pa.Array:
     return pa.nulls(count, kind)
 
 
-def blocks(docs: DataFrame) -> DataFrame:
+def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Documents as numbers of words in their block's vocabulary, and the vocabularies.
 
     A row is either a document (``ids`` set) or a word (``word`` set) with its place and the
-    number of times that texts to learn from have it. A block is part of a task.
+    number of times that texts to learn from have it. A block is part of a task, of about so
+    many characters.
     """
 
     def encode(batches):
@@ -114,7 +120,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                     NAMES,
                 )
 
-        yield from _by_block(batches, rows)
+        yield from _by_block(batches, rows, block_chars)
 
     NAMES = [field.split()[0] for field in BLOCKS.split(", ")]
     slim = docs.select(
@@ -127,19 +133,20 @@ def blocks(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("fold") != FOLD, F.lit(False)).alias("learn"),
         "text",
     )
-    return written(slim.mapInArrow(encode, BLOCKS), "lm-blocks")
+    with session_settings(docs.sparkSession, SLICED_BATCHES):
+        return written(slim.mapInArrow(encode, BLOCKS), "lm-blocks")
 
 
-def _by_block(batches, rows):
-    """``rows`` of parts of the batches that have about BLOCK_CHARS characters, batch by batch."""
-    source = (batch.slice(i, 1000) for batch in batches for i in range(0, batch.num_rows, 1000))
+def _by_block(batches, rows, block_chars: int):
+    """``rows`` of parts of the batches that have about so many characters, batch by batch."""
+    source = (part for batch in batches for part in slices(batch, "text"))
     following = next(source, None)
     while following is not None:
 
         def part():
             nonlocal following
             size = 0
-            while following is not None and size < BLOCK_CHARS:
+            while following is not None and size < block_chars:
                 batch = following
                 size += sum(map(len, batch.column("text").to_pylist()))
                 following = next(source, None)
@@ -159,6 +166,11 @@ class Corpus:
     frequent: list[int]
     class_weight: np.ndarray
 
+    @property
+    def whole(self) -> float:
+        """All training tokens and the weight of what was never seen."""
+        return self.tokens + UNSEEN * (self.distinct + 1)
+
     def code_weights(self) -> np.ndarray:
         """Training tokens of each code, what was never seen included."""
         weights = np.full(CODES, UNSEEN)
@@ -169,30 +181,11 @@ class Corpus:
         return weights
 
 
-def _word_class():
+def _word_class() -> Column:
     """A word's class: a hash of its last two characters."""
     return F.pmod(F.xxhash64(F.expr("right(word, 2)")), F.lit(CLASSES)).cast("int")
 
 
-def counted_words(table: DataFrame) -> DataFrame:
-    """Every block's words with their counts over all training texts: ``block, idx, word, c, first``.
-
-    A block sends each of its words once, so a frequent word is one row per block; ``first`` marks
-    one row of every word.
-    """
-    same = Window.partitionBy("word")
-    return written(
-        table.where("word is not null").select(
-            "block",
-            "idx",
-            "word",
-            F.sum("n").over(same).alias("c"),
-            (F.row_number().over(same.orderBy("word")) == 1).alias("first"),
-        ),
-        "lm-words",
-    )
-
-
 def most_frequent(words: DataFrame) -> list:
     """The FREQUENT words of the largest counts, ``word, c``, ties by word.
 
@@ -209,65 +202,64 @@ def most_frequent(words: DataFrame) -> list:
     return words.where(step >= least).orderBy(F.desc("c"), "word").limit(FREQUENT).select("word", "c").collect()
 
 
-def encoded(docs: DataFrame) -> tuple[DataFrame, Corpus]:
-    """All texts as codes with their base scores, and the corpus counts behind them."""
-    spark = docs.sparkSession
-    table = blocks(docs)
-    words = counted_words(table)
-    known = words.where("first and c > 0")
+def counted(table: DataFrame) -> tuple[DataFrame, Corpus]:
+    """The words of all blocks (see ``blocks``) with what is known of them, and the corpus counts.
 
+    ``block, idx, c, code, key``: the count over all training texts, the code, and a hash of the word. Counts
+    are added up word by word and joined back, so a common word is one row per block and is
+    split like any other hot key.
+    """
+    spark = table.sparkSession
+    words = table.where("word is not null")
+    known = written(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     texts = table.where("learn").count()
     frequent = most_frequent(known)
-    codes = spark.createDataFrame(
-        [(row.word, 1 + i) for i, row in enumerate(frequent)], "word string, code int"
-    )
-    coded = words.join(F.broadcast(codes), "word", "left").withColumn("class", _word_class())
+    codes = spark.createDataFrame([(row.word, 1 + i) for i, row in enumerate(frequent)], "word string, code int")
+    coded = known.join(F.broadcast(codes), "word", "left")  # FREQUENT rows
     sums = known.agg(F.sum("c"), F.count(F.lit(1))).first()
     class_weight = np.zeros(CLASSES)
-    rare = coded.where("first and c > 0 and code is null")
-    for row in rare.groupBy("class").agg(F.sum(F.col("c") + F.lit(UNSEEN)).alias("weight")).collect():  # CLASSES rows
+    rare = coded.where("code is null").groupBy(_word_class().alias("class"))
+    for row in rare.agg(F.sum(F.col("c") + F.lit(UNSEEN)).alias("weight")).collect():  # CLASSES rows
         class_weight[row["class"]] = row.weight
-    corpus = Corpus(
-        (sums[0] or 0) + texts, sums[1] + (texts > 0), texts, [row.c for row in frequent], class_weight
+    corpus = Corpus((sums[0] or 0) + texts, sums[1] + (texts > 0), texts, [row.c for row in frequent], class_weight)
+    rows = written(
+        words.select("block", "idx", "word")
+        .join(coded, "word", "left")
+        .select(
+            "block",
+            "idx",
+            F.coalesce("c", F.lit(0)).cast("bigint").alias("c"),
+            F.coalesce("code", _word_class() + (1 + FREQUENT)).cast("int").alias("code"),
+            F.xxhash64("word").alias("key"),
+        ),
+        "lm-words",
     )
+    discard(known)
+    return rows, corpus
+
+
+def _column(words_of: pa.Table, name: str, kind) -> np.ndarray:
+    """A column of a block's words, by place."""
+    found = np.zeros(words_of.num_rows, dtype=kind)
+    found[words_of.column("idx").to_numpy()] = words_of.column(name).to_numpy()
+    return found
+
+
+def _texts_of(table: DataFrame) -> DataFrame:
+    return table.where("ids is not null").select("block", "doc_id", "held_out", "learn", "ids")
 
-    whole = corpus.tokens + UNSEEN * (corpus.distinct + 1)
-    end_score = float(np.log10((corpus.texts + UNSEEN) / whole))
-    names = [field.split()[0] for field in ENCODED.split(", ")]
+
+def training_codes(table: DataFrame, words: DataFrame) -> DataFrame:
+    """``codes`` of every text to learn from, its end included."""
 
     def encode(texts_of: pa.Table, words_of: pa.Table) -> pa.Table:
-        size = words_of.num_rows
-        place = words_of.column("idx").to_numpy()
-        count, code, kind = np.zeros(size, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int32)
-        count[place] = words_of.column("c").to_numpy()
-        code[place] = words_of.column("code").to_numpy()
-        kind[place] = words_of.column("class").to_numpy()
-        is_rare = code == 0
-        code[is_rare] = 1 + FREQUENT + kind[is_rare]
-        base = np.log10((count + UNSEEN) / whole)
-        rare_score = np.where(is_rare, np.log10((count + UNSEEN) / (corpus.class_weight[kind] + UNSEEN)), 0.0)
-        found = []
-        for raw in texts_of.column("ids").to_pylist():
-            ids = np.frombuffer(raw, dtype=np.int32)
-            found.append(
-                (
-                    len(ids) + 1,
-                    int((count[ids] > 0).sum()) + (corpus.texts > 0),
-                    float(base[ids].sum()) + end_score,
-                    float(rare_score[ids].sum()),
-                    np.append(code[ids], END).astype(np.uint16).tobytes(),
-                )
-            )
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
-        columns = zip(*found, strict=True) if found else [[]] * len(kinds)
-        own = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
-        kept = [texts_of.column(c) for c in ("doc_id", "held_out", "learn")]
-        return pa.table([*kept, *own], names=names)
+        code = _column(words_of, "code", np.uint16)
+        found = [np.append(code[np.frombuffer(raw, dtype=np.int32)], np.uint16(END)) for raw in texts_of.column("ids").to_pylist()]
+        return pa.table([pa.array([own.tobytes() for own in found], pa.binary())], ["codes"])
 
-    slim = table.where("ids is not null").select("block", "doc_id", "held_out", "learn", "ids")
-    info = coded.select("block", "idx", "c", F.coalesce("code", F.lit(0)).alias("code"), "class")
-    joined = slim.groupBy("block").cogroup(info.groupBy("block")).applyInArrow(encode, ENCODED)
-    return written(joined, "lm-encoded"), corpus
+    texts = _texts_of(table).where("learn").groupBy("block")
+    joined = texts.cogroup(words.select("block", "idx", "code").groupBy("block")).applyInArrow(encode, "codes binary")
+    return written(joined, "lm-codes")
 
 
 @dataclass(frozen=True)
@@ -320,10 +312,16 @@ def log10_likelihoods(model: Model, codes: np.ndarray, counts: np.ndarray) -> np
     return scores
 
 
-def expected_counts(model: Model, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """How often states come first, follow each other and emit codes in these texts (the E-step)."""
+def expected_counts(
+    model: Model, codes: np.ndarray, counts: np.ndarray, slots: np.ndarray | None = None, size: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How often states come first, follow each other and emit codes in these texts (the E-step).
+
+    What is emitted is counted by ``slots`` of the tokens, of which there are ``size``; by their codes if not given.
+    """
     first, after = np.zeros(STATES), np.zeros((STATES, STATES))
-    emit = np.zeros((CODES, STATES))
+    slots, size = (codes, len(model.emit)) if slots is None else (slots, size)
+    emit = np.zeros((size, STATES))
     for group, emitted, chances, scales in forward(model, codes, counts):
         # From the back: what emits and follows, over what was seen, then the chances given the whole text.
         ahead = emitted
@@ -341,9 +339,9 @@ def expected_counts(model: Model, codes: np.ndarray, counts: np.ndarray) -> tupl
         chances[: len(later)] *= later
         share = chances
         first += share[group.at(0)].sum(axis=0)
-        own = codes[group.items]
+        own = slots[group.items]
         for k in range(STATES):
-            emit[:, k] += np.bincount(own, weights=share[:, k], minlength=CODES)
+            emit[:, k] += np.bincount(own, weights=share[:, k], minlength=size)
     return first, after * model.after, emit
 
 
@@ -416,29 +414,163 @@ def baum_welch(texts: DataFrame, corpus: Corpus, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def scored(texts: DataFrame, model: Model) -> DataFrame:
-    """``texts`` (see ``encoded``) with ``score``: the model's log10 probability of each whole text."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+def _parts(texts_of: pa.Table):
+    """Slices of a block's texts that are worked through side by side, each with its texts' words and their numbers."""
+    whole = texts_of.combine_chunks()
+    for batch in whole.to_batches():
+        for part in slices(batch, "ids", most=16 * LOCKSTEP_TOKENS):
+            ids = [np.frombuffer(raw, dtype=np.int32) for raw in part.column("ids").to_pylist()]
+            yield part, ids, np.array([len(own) + 1 for own in ids], dtype=np.int64)
+
+
+def _with_ends(ids: list[np.ndarray], end: int) -> np.ndarray:
+    return np.concatenate([part for own in ids for part in (own, [end])]).astype(np.int64)
+
+
+def word_shares(table: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+    """The last round: in which states every learned word is, over all training texts.
+
+    ``key, c, e0, e1`` and so on: the word's hash, its count, and its expected count in each state. A block sends
+    a row per word, with the word's shares of the states packed into one number.
+    """
+    shared = table.sparkSession.sparkContext.broadcast(model)
+    end_key = _key(END_WORD)
+
+    def expect(texts_of: pa.Table, words_of: pa.Table) -> pa.Table:
+        code, key = _column(words_of, "code", np.int64), _column(words_of, "key", np.int64)
+        code, key = np.append(code, END), np.append(key, end_key)
+        size = len(key)
+        emit, count = np.zeros((size, STATES)), np.zeros(size, dtype=np.int64)
+        for _, ids, counts in _parts(texts_of):
+            slots = _with_ends(ids, size - 1)
+            emit += expected_counts(shared.value, code[slots], counts, slots, size)[2]
+            count += np.bincount(slots, minlength=size)
+        used = np.flatnonzero(count)
+        share = np.rint(emit[used] / count[used, None] * SHARES).astype(np.uint8)
+        packed = np.ascontiguousarray(share).view(np.int64)[:, 0]
+        return pa.table([pa.array(key[used]), pa.array(count[used]), pa.array(packed)], ["key", "n", "packed"])
+
+    texts = _texts_of(table).where("learn").groupBy("block")
+    known = words.select("block", "idx", "code", "key").groupBy("block")
+    rows = texts.cogroup(known).applyInArrow(expect, "key bigint, n bigint, packed bigint")
+    states = [F.expr(f"sum(n * (shiftright(packed, {8 * k}) & 255))").alias(f"e{k}") for k in range(STATES)]
+    sums = rows.groupBy("key").agg(F.sum("n").alias("c"), *states)
+    total = F.expr(" + ".join(f"e{k}" for k in range(STATES)))
+    return written(
+        sums.select("key", "c", *((F.col("c") * F.col(f"e{k}") / total).alias(f"e{k}") for k in range(STATES))), "lm-shares"
+    )
+
+
+def _key(word: str) -> int:
+    """As Spark's xxhash64 has it."""
+    return int(np.uint64(xxhash.xxh64_intdigest(word.encode(), seed=42)).astype(np.int64))
+
+
+@dataclass(frozen=True)
+class Emissions:
+    """Chances of states, which words lean towards or away from, and what states emit in all.
+
+    A state emits a word by (c + UNSEEN) * chance * lean over its total. A word that was never seen leans nowhere.
+    """
+
+    first: np.ndarray
+    after: np.ndarray
+    chance: np.ndarray
+    total: np.ndarray
+    end: np.ndarray
+
+    def of(self, count: np.ndarray, packed: np.ndarray) -> np.ndarray:
+        """Words x states, from counts and packed leanings; the end of a text comes last."""
+        steps = np.ascontiguousarray(packed).view(np.uint8).reshape(-1, STATES).astype(np.float64)
+        lean = np.where(count[:, None] > 0, np.exp2(steps / LEAN_STEPS + LEAN_LEAST), 1.0)
+        own = (count[:, None] + UNSEEN) * lean
+        return np.concatenate([own, self.end[None]]) * (self.chance / self.total)
+
+
+def _lean_steps(k: int, chance: float) -> Column:
+    """How much likelier a word is in a state than all tokens are, as a number of steps from 0 to 255."""
+    ratio = (F.col(f"e{k}") + EVEN * chance) / ((F.col("c") + EVEN) * chance)
+    steps = F.round((F.log2(ratio) - LEAN_LEAST) * LEAN_STEPS)
+    return F.greatest(F.least(steps, F.lit(255.0)), F.lit(0.0)).cast("bigint")
+
+
+def _exact_sum(value: Column) -> Column:
+    """A sum that does not depend on the order of the rows."""
+    return F.sum(value.cast("decimal(38,6)"))
+
+
+def emissions(shares: DataFrame, model: Model) -> tuple[DataFrame, Emissions]:
+    """``key, packed`` of every learned word, and what all words share.
+
+    Every word has its own leaning: its expected counts, and EVEN tokens as all tokens are. A
+    state's chances of all words, and of what was never seen, add up to one.
+    """
+    sums = shares.agg(*(_exact_sum(F.col(f"e{k}")) for k in range(STATES))).first()
+    counts = np.array([float(x or 0) for x in sums]) + 1e-3
+    chance = counts / counts.sum()
+    steps = [_lean_steps(k, float(chance[k])) for k in range(STATES)]
+    packed = steps[0]
+    for k in range(1, STATES):
+        packed = packed.bitwiseOR(F.shiftleft(steps[k], 8 * k))
+    words = shares.select("key", "c", packed.alias("packed"), *(s.alias(f"l{k}") for k, s in enumerate(steps)))
+    weight = [
+        _exact_sum((F.col("c") + UNSEEN) * F.pow(F.lit(2.0), F.col(f"l{k}") / LEAN_STEPS + LEAN_LEAST)) for k in range(STATES)
+    ]
+    total = chance * (np.array([float(x or 0) for x in words.agg(*weight).first()]) + UNSEEN)
+    end = words.where(F.col("key") == _key(END_WORD)).select("c", "packed").first()
+    known = Emissions(model.first, model.after, chance, total, np.full(STATES, UNSEEN))
+    if end:
+        known = Emissions(model.first, model.after, chance, total, known.of(np.array([end.c]), np.array([end.packed]))[0] / (chance / total))
+    return words.select("key", "packed"), known
+
+
+def scored(table: DataFrame, words: DataFrame, leanings: DataFrame, known: Emissions, corpus: Corpus) -> DataFrame:
+    """Every text with its base score and the model's log10 probability of it.
+
+    ``leanings`` (``key, packed``) come to the words of the blocks by a join, and those to the texts of theirs.
+    """
+    shared = table.sparkSession.sparkContext.broadcast(known)
+    whole = corpus.whole
+    end_score = float(np.log10((corpus.texts + UNSEEN) / whole))
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
-    def run(batches):
-        for batch in batches:
-            for part in _slices(batch):
-                score = log10_likelihoods(shared.value, *_sequences(part)) + part.column("rare_score").to_numpy()
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:-1]), pa.array(score)], names)
+    def run(texts_of: pa.Table, words_of: pa.Table) -> pa.Table:
+        count, packed = _column(words_of, "c", np.int64), _column(words_of, "packed", np.int64)
+        base = np.log10((count + UNSEEN) / whole)
+        model = Model(shared.value.first, shared.value.after, shared.value.of(count, packed))
+        parts = []
+        for part, ids, counts in _parts(texts_of):
+            score = log10_likelihoods(model, _with_ends(ids, len(count)), counts)
+            columns = [
+                pa.array(counts),
+                pa.array([int((count[own] > 0).sum()) + (corpus.texts > 0) for own in ids], pa.int64()),
+                pa.array([float(base[own].sum()) + end_score for own in ids], pa.float64()),
+                pa.array(score),
+            ]
+            parts.append(pa.table([part.column("doc_id"), part.column("held_out"), *columns], names))
+        return pa.concat_tables(parts)
 
     kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    return texts.mapInArrow(run, kinds)
+    own = words.select("block", "idx", "c", "key").join(leanings, "key", "left")
+    known_words = own.select("block", "idx", "c", F.coalesce("packed", F.lit(0).cast("bigint")).alias("packed"))
+    return _texts_of(table).groupBy("block").cogroup(known_words.groupBy("block")).applyInArrow(run, kinds)
 
 
 def score_report(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``docs`` has at least ``doc_id`` and ``text``; others are ignored. A null text is empty and has
-    its end as its only token. Rows without id are neither held out nor learned from.
+    its end as its only token. Rows without id are neither held out nor learned from. Rows that
+    repeat an id count by their own texts, so a repeated text is learned as often as it is there. Words of
+    equal counts are frequent in order of the words. Texts are looked at whole, whatever their
+    length. With nothing to learn from, all words are as likely as the end. No rows give no rows.
     """
-    texts, corpus = encoded(docs)
-    model = baum_welch(texts.where("learn"), corpus)
-    return scored(texts, model).select(
+    table = blocks(docs)
+    words, corpus = counted(table)
+    codes = training_codes(table, words)
+    model = baum_welch(codes, corpus)
+    discard(codes)
+    leanings, known = emissions(word_shares(table, words, model), model)
+    return scored(table, words, leanings, known, corpus).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(corpus.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )

@@ -5,10 +5,11 @@ share a shingle among the first of each, their prefixes. Documents of the same p
 are one group, and documents of the same set one class. Candidates come from prefixes of groups,
 are filtered by size and by place in the order, expanded to classes and verified on the texts.
 
-What is asked for are components, so not all pairs are needed. First every group meets the pivot
-of its prefix shingles, the most usual of the documents there, and members of a group meet one of
-them. Pairs already connected then need no verification: only what shares enough prefix
-shingles across the components found so far is compared.
+Components come first. Every group meets the pivot of its prefix shingles, the most usual of the
+documents there, and members of a group meet one of them. What shares enough prefix shingles
+across the components found so far is compared next, and then no pair of different components
+is linked. Links are found within components: those too large for one task are dealt to blocks,
+and every two blocks meet in a task of their own.
 """
 
 import numpy as np
@@ -19,11 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexibid.llm.common import (
+    SLICED_BATCHES,
     flag_members,
     located,
     membership_filter,
     place,
     rows_without,
+    session_settings,
+    slices,
     text_or_empty,
     written,
 )
@@ -37,8 +41,18 @@ PERCENT = 75
 ORDER_BITS = 22
 ORDER_SIZE = 1 << ORDER_BITS
 ORDER_BLOCK = 1 << 12
+ORDER_ROWS = 32
+NARROW = {np.dtype(kind).itemsize: np.dtype(kind) for kind in ("u1", "u2", "u4", "i8")}
+#: Shingles and classes in a block of a component, of which two meet in a task.
+UNIT_SHINGLES = 1 << 18
+UNIT_CLASSES = 1 << 10
+UNIT_COLUMNS = ["grp", "k", "block", "label", "cls", "size"]
+#: A shingle is counted by matrices if more than one in so many pairs of sets share it.
+DENSE = 256
+MATRIX_COLUMNS = 1 << 10
+PAIRS_AT_ONCE = 1 << 20
 #: Words whose hashes a worker remembers at most.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 1 << 16
 #: A group's number has its usualness in the upper bits and a hash below.
 HASH_BITS = 52
 MOST_USUAL = (1 << (63 - HASH_BITS)) - 1
@@ -100,6 +114,11 @@ def prefix_size(n: int) -> int:
     return n - (PERCENT * n + 99) // 100 + 1
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """``counts`` in the narrowest whole numbers that hold them."""
+    return counts.astype(next(kind for kind in NARROW.values() if counts.max() <= np.iinfo(kind).max))
+
+
 def frequency_order(texts: DataFrame) -> bytes:
     """A class per hash value, higher for those whose shingles are in more documents than usual.
 
@@ -108,32 +127,35 @@ def frequency_order(texts: DataFrame) -> bytes:
     """
 
     def count(batches):
-        counts = np.zeros(ORDER_SIZE, dtype=np.int32)
+        counts = np.zeros(ORDER_SIZE, dtype=np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                np.add.at(counts, (shingle_set(text) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
-        parts = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, ORDER_BLOCK)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-            ["block", "counts"],
-        )
+            for part in slices(batch, "text"):
+                for text in part.column("text").to_pylist():
+                    np.add.at(counts, (shingle_set(text) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
+        blocks = counts.reshape(-1, ORDER_BLOCK)
+        for first in range(0, len(blocks), ORDER_ROWS):
+            raw = [_narrow(own).tobytes() for own in blocks[first : first + ORDER_ROWS]]
+            block = np.arange(first, first + len(raw), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(raw, pa.binary())], ["block", "counts"])
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                own = np.frombuffer(counts, dtype=np.uint16).astype(np.int32)
-                sums[block] = sums[block] + own if block in sums else own
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
-            ["block", "counts"],
-        )
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                own = np.frombuffer(raw, dtype=NARROW[len(raw) // ORDER_BLOCK])
+                if block in sums:
+                    sums[block] += own
+                else:
+                    sums[block] = own.astype(np.int64)
+        raw = [s.astype(np.float32).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(raw, pa.binary())], ["block", "counts"])
 
     counted = texts.mapInArrow(count, "block int, counts binary").repartition("block")
-    rows = counted.mapInArrow(add, "block int, counts binary").collect()  # ORDER_SIZE numbers, whatever the input
+    with session_settings(texts.sparkSession, SLICED_BATCHES):
+        rows = counted.mapInArrow(add, "block int, counts binary").collect()  # ORDER_SIZE numbers, whatever the input
     totals = np.zeros(ORDER_SIZE, dtype=np.float32)
     for row in rows:
-        totals[row.block * ORDER_BLOCK : (row.block + 1) * ORDER_BLOCK] = np.frombuffer(row.counts, dtype=np.int32)
+        totals[row.block * ORDER_BLOCK : (row.block + 1) * ORDER_BLOCK] = np.frombuffer(row.counts, dtype=np.float32)
     usual = totals.mean(dtype=np.float64)
     excess = (totals - usual) / (2 * np.sqrt(usual) + 2)
     return np.floor(np.log2(np.maximum(2 * excess, 1))).astype(np.uint8).tobytes()
@@ -147,7 +169,7 @@ def signatures(rows: DataFrame, order) -> DataFrame:
 
     def sign(batches):
         classes = np.frombuffer(order.value, dtype=np.uint8)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sizes, groups, ids, prefixes = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingle_set(text)
@@ -180,7 +202,8 @@ def signatures(rows: DataFrame, order) -> DataFrame:
                 ["doc_id", "file", "row", "n", "grp", "cls", "prefix"],
             )
 
-    return written(rows.select("doc_id", "file", "row", "text").mapInArrow(sign, SIGNATURES), "jaccard-signatures")
+    with session_settings(rows.sparkSession, SLICED_BATCHES):
+        return written(rows.select("doc_id", "file", "row", "text").mapInArrow(sign, SIGNATURES), "jaccard-signatures")
 
 
 def _sizes_fit(n: str, m: str) -> Column:
@@ -236,7 +259,7 @@ def shared_postings(signed: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def class_table(signed: DataFrame) -> DataFrame:
-    """One row per set: ``cls, grp, n, doc_id`` (the smallest), and the place of one document."""
+    """One row per set: ``cls, grp, n, doc_id`` (the smallest), number of documents, and the place of one."""
     return written(
         signed.where("n > 0")
         .groupBy("cls")
@@ -244,29 +267,33 @@ def class_table(signed: DataFrame) -> DataFrame:
             F.min("grp").alias("grp"),
             F.min("n").alias("n"),
             F.min("doc_id").alias("doc_id"),
+            F.count(F.lit(1)).alias("size"),
             F.min(F.struct("file", "row")).alias("at"),
         )
-        .select("cls", "grp", "n", "doc_id", "at.file", "at.row"),
+        .select("cls", "grp", "n", "doc_id", "size", "at.file", "at.row"),
         "jaccard-classes",
     )
 
 
-def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """The ``pairs`` (``a, b`` of classes) that are linked, by the whole texts of one document each.
+def with_texts(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+    """``wanted`` (``file, row`` and others) with the ``text`` stored there.
 
-    Texts of other documents are not moved: a filter of fixed size over the places holds them back.
+    Other texts are not moved: a filter of fixed size over the places holds them back.
     """
+    members = membership_filter(wanted.select(place("file", "row")), "place")
+    flagged = flag_members(rows.withColumn("place", place("file", "row")), "place", members)
+    return flagged.where("_maybe").select("file", "row", "text").join(wanted, ["file", "row"])
+
+
+def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """The ``pairs`` (``a, b`` of classes) that are linked, by the whole texts of one document each."""
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = written(classes.join(asked, "cls", "left_semi").select("cls", "file", "row", place("file", "row")), "jaccard-asked")
-    flagged = flag_members(rows.withColumn("place", place("file", "row")), "place", membership_filter(wanted, "place"))
-    texts = written(
-        flagged.where("_maybe").select("file", "row", "text").join(wanted.drop("place"), ["file", "row"]).select("cls", "text"),
-        "jaccard-texts",
-    )
+    wanted = written(classes.join(asked, "cls", "left_semi").select("cls", "file", "row"), "jaccard-asked")
+    texts = written(with_texts(wanted, rows).select("cls", "text"), "jaccard-texts")
 
     def verify(batches):
         last, last_set = None, None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text_a", "text_b")):
             keep = []
             columns = (batch.column(c).to_pylist() for c in ("b", "text_a", "text_b"))
             for i, (b, text_a, text_b) in enumerate(zip(*columns, strict=True)):
@@ -281,7 +308,8 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
 
     with_a = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     with_both = with_a.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(with_both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary"), "jaccard-links")
+    with session_settings(rows.sparkSession, SLICED_BATCHES):
+        return written(with_both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary"), "jaccard-links")
 
 
 def _pivot_pairs(postings: DataFrame, classes: DataFrame) -> DataFrame:
@@ -378,6 +406,152 @@ def _open_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame) -> D
     return written(across.union(within).distinct(), "jaccard-pairs")
 
 
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many shingles every set of ``a`` shares with every one of ``b``.
+
+    Shingles that many of both have are columns of two matrices whose product counts them; of all
+    others the few pairs of sets that have them are counted one by one, some at a time.
+    """
+    size = len(a) * len(b)
+    _, token = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    in_a = np.repeat(np.arange(len(a)), [len(own) for own in a])
+    in_b = np.repeat(np.arange(len(b)), [len(own) for own in b])
+    of_a, of_b = token[: len(in_a)], token[len(in_a) :]
+    kinds = int(token.max(initial=-1)) + 1
+    df_a, df_b = np.bincount(of_a, minlength=kinds), np.bincount(of_b, minlength=kinds)
+    counts = np.zeros((len(a), len(b)), dtype=np.int64)
+
+    frequent = df_a * df_b * DENSE > size
+    columns = np.flatnonzero(frequent)
+    rank = np.cumsum(frequent) - 1
+    for first in range(0, len(columns), MATRIX_COLUMNS):
+        width = min(MATRIX_COLUMNS, len(columns) - first)
+        factors = []
+        for tokens, owner, sets in ((of_a, in_a, a), (of_b, in_b, b)):
+            own = frequent[tokens] & (rank[tokens] >= first) & (rank[tokens] < first + width)
+            factor = np.zeros((len(sets), width), dtype=np.float32)
+            factor[owner[own], rank[tokens[own]] - first] = 1
+            factors.append(factor)
+        counts += (factors[0] @ factors[1].T).astype(np.int64)
+
+    by_token = np.argsort(of_b, kind="stable")
+    owners, begin = in_b[by_token], np.cumsum(df_b) - df_b
+    rare = np.flatnonzero(~frequent[of_a] & (df_b[of_a] > 0))
+    repeats = df_b[of_a[rare]]
+    done = np.cumsum(repeats)
+    first = 0
+    while first < len(rare):
+        last = max(first + 1, int(np.searchsorted(done, done[first] - repeats[first] + PAIRS_AT_ONCE, side="right")))
+        own, many = rare[first:last], repeats[first:last]
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        met = np.repeat(in_a[own], many) * len(b) + owners[np.repeat(begin[of_a[own]], many) + nth]
+        counts += np.bincount(met, minlength=size).reshape(counts.shape)
+        first = last
+    return counts
+
+
+def _blocks_met(table: pa.Table):
+    """Per component in a unit: its rows on one side and on the other, and which of them are linked.
+
+    A unit of one block meets itself, so each of its pairs is there twice.
+    """
+    label = np.array(table.column("label").to_pylist(), dtype=object)
+    block, i, j = (table.column(c).to_numpy() for c in ("block", "i", "j"))
+    sets = [np.frombuffer(raw, dtype=np.uint64) for raw in table.column("hashes").to_pylist()]
+    _, component = np.unique(label, return_inverse=True)
+    order = np.argsort(component, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
+        twice = i[rows[0]] == j[rows[0]]
+        a, b = (rows, rows) if twice else (rows[block[rows] == i[rows]], rows[block[rows] == j[rows]])
+        if len(a) and len(b):
+            shared = shared_counts([sets[r] for r in a], [sets[r] for r in b])
+            sizes = [np.array([len(sets[r]) for r in side], dtype=np.int64) for side in (a, b)]
+            linked_sets = 100 * shared >= PERCENT * (sizes[0][:, None] + sizes[1] - shared)
+            if twice:
+                np.fill_diagonal(linked_sets, False)
+            yield a, b, twice, linked_sets, shared
+
+
+def component_units(classes: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
+    """The sets of all classes in components of several, dealt to units of bounded size in which they meet.
+
+    ``grp, i, j`` is a unit, ``block`` the row's own, ``label`` its component. Small components go
+    together by a hash. A large one has k blocks by a hash of its classes, and each block meets
+    each once: its sets are sent k times, and no task has more than two blocks.
+    """
+    linked_classes = classes.join(labels.withColumnRenamed("node", "cls"), "cls")
+    sizes = linked_classes.groupBy("label").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    sizes = written(
+        sizes.where("members > 1").select(
+            "label",
+            "shingles",
+            F.ceil(F.greatest(F.col("shingles") / UNIT_SHINGLES, F.col("members") / UNIT_CLASSES)).alias("k"),
+        ),
+        "jaccard-sizes",
+    )
+    small = sizes.where("k = 1").agg(F.sum("shingles")).first()[0] or 0
+    units = 1 + int(small) // UNIT_SHINGLES
+    wanted = written(
+        linked_classes.join(sizes, "label").select(
+            "file",
+            "row",
+            "cls",
+            "size",
+            "label",
+            "k",
+            F.when(F.col("k") == 1, F.pmod(F.xxhash64("label"), F.lit(units))).otherwise(F.xxhash64("label")).alias("grp"),
+            F.pmod(F.xxhash64("cls"), F.col("k")).alias("block"),
+        ),
+        "jaccard-members",
+    )
+
+    def as_sets(batches):
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            raw = [shingle_set(text).tobytes() for text in batch.column("text").to_pylist()]
+            kept = [batch.column(c) for c in UNIT_COLUMNS]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(raw, pa.binary())], [*UNIT_COLUMNS, "hashes"])
+
+    texts = with_texts(wanted, rows).select(*UNIT_COLUMNS, "text")
+    sets = texts.mapInArrow(as_sets, "grp bigint, k bigint, block bigint, label binary, cls binary, size bigint, hashes binary")
+    partner = F.explode(F.expr("sequence(0L, k - 1)")).alias("partner")
+    # a unit of small components and one of a large one are told apart by i
+    i = F.when(F.col("k") == 1, F.lit(-1)).otherwise(F.least("block", "partner")).cast("bigint")
+    j = F.when(F.col("k") == 1, F.lit(-1)).otherwise(F.greatest("block", "partner")).cast("bigint")
+    return sets.select("*", partner).select("grp", i.alias("i"), j.alias("j"), "block", "label", "cls", "size", "hashes")
+
+
+def links_of_classes(units: DataFrame) -> DataFrame:
+    """How many classes and documents of other classes every class in ``units`` is linked with: ``cls, classes, documents``."""
+
+    def count(table: pa.Table) -> pa.Table:
+        size = table.column("size").to_numpy()
+        classes, documents = np.zeros(len(size), dtype=np.int64), np.zeros(len(size), dtype=np.int64)
+        for a, b, twice, is_linked, _ in _blocks_met(table):
+            classes[a] += is_linked.sum(axis=1)
+            documents[a] += is_linked @ size[b]
+            if not twice:
+                classes[b] += is_linked.sum(axis=0)
+                documents[b] += size[a] @ is_linked
+        return pa.table([table.column("cls"), pa.array(classes), pa.array(documents)], ["cls", "classes", "documents"])
+
+    parts = units.groupBy("grp", "i", "j").applyInArrow(count, "cls binary, classes bigint, documents bigint")
+    return parts.groupBy("cls").agg(F.sum("classes").alias("classes"), F.sum("documents").alias("documents"))
+
+
+def linked_pairs(units: DataFrame) -> DataFrame:
+    """Every pair of linked classes once: ``a, b, shared``, the number of shingles that both have."""
+
+    def pairs(table: pa.Table) -> pa.Table:
+        cls, found = table.column("cls"), [[np.zeros(0, dtype=np.int64)] * 3]
+        for a, b, twice, is_linked, shared in _blocks_met(table):
+            x, y = np.nonzero(np.triu(is_linked) if twice else is_linked)
+            found.append([a[x], b[y], shared[x, y]])
+        a, b, both = (np.concatenate(column) for column in zip(*found, strict=True))
+        return pa.table([cls.take(pa.array(a)), cls.take(pa.array(b)), pa.array(both)], ["a", "b", "shared"])
+
+    return units.groupBy("grp", "i", "j").applyInArrow(pairs, "a binary, b binary, shared bigint")
+
+
 def located_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, file, row, text`` of ``docs``."""
     return located(docs).select(
@@ -385,13 +559,8 @@ def located_texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def linked_documents(rows: DataFrame) -> DataFrame:
-    """Component of every row (see ``located_texts``): ``doc_id, file, row, n, component, component_id``.
-
-    ``component`` is a name of the component; ``component_id`` its smallest doc_id, null if none has
-    an id. Rows with the same set are linked. A text that is null or has no words has an
-    empty set and is linked with nothing: its component is null and its id its own.
-    """
+def signed_components(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows (see ``located_texts``), their classes, and ``node, label`` of every linked class."""
     spark = rows.sparkSession
     order = spark.sparkContext.broadcast(frequency_order(rows.select("text")))
     signed = signatures(rows, order)
@@ -400,17 +569,51 @@ def linked_documents(rows: DataFrame) -> DataFrame:
 
     links = verified(_pivot_pairs(postings, classes), classes, rows)
     more = verified(_open_pairs(postings, classes, smallest_labels(links)), classes, rows)
-    labels = smallest_labels(links.union(more)).withColumnRenamed("node", "cls")
-
-    named = classes.join(labels, "cls", "left").select("cls", "doc_id", F.coalesce("label", "cls").alias("component"))
-    ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = written(named.join(ids, "component").select("cls", "component", "component_id"), "jaccard-components")
-    slim = signed.select("doc_id", "file", "row", "n", "cls")
-    filled = slim.where("n > 0").join(of_class, "cls")
-    empty = slim.where("n = 0").select("*", F.lit(None).cast("binary").alias("component"), F.col("doc_id").alias("component_id"))
-    return filled.select("doc_id", "file", "row", "n", "component", "component_id").unionByName(
-        empty.select("doc_id", "file", "row", "n", "component", "component_id")
+    return signed, classes, smallest_labels(links.union(more))
+
+
+def _of_rows(signed: DataFrame, of_class: DataFrame) -> DataFrame:
+    """Rows with what is known of their class; rows without shingles have nulls there."""
+    filled = signed.where("n > 0").select("doc_id", "file", "row", "n", "cls").join(of_class, "cls").drop("cls")
+    names = filled.columns[4:]
+    none = [F.lit(None).cast(filled.schema[c].dataType).alias(c) for c in names]
+    return filled.unionByName(signed.where("n = 0").select("doc_id", "file", "row", "n", *none))
+
+
+def _named_components(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``cls, class_id, size, component, component_id`` of every class."""
+    named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "cls", F.col("doc_id").alias("class_id"), "size", F.coalesce("label", "cls").alias("component")
     )
+    ids = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    return named.join(ids, "component")
+
+
+def linked_documents(rows: DataFrame) -> DataFrame:
+    """Component of every row (see ``located_texts``): ``doc_id, file, row, n, component, component_id``.
+
+    ``component`` is a name of the component; ``component_id`` its smallest doc_id, null if none has
+    an id. Rows with the same set are linked. A text that is null or has no words has an
+    empty set and is linked with nothing: its component is null and its id its own.
+    """
+    signed, classes, labels = signed_components(rows)
+    of_class = written(
+        _named_components(classes, labels).select("cls", "component", "component_id"), "jaccard-components"
+    )
+    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return _of_rows(signed, of_class).select("doc_id", "file", "row", "n", "component", own)
+
+
+def similar_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The whole join: all links between classes, and which document is in which class.
+
+    The first has ``a, b, shared``, names of classes of equal sets that are linked, every pair once,
+    and the number of shingles that both have. The second has ``doc_id, cls, n`` of every row, ``n``
+    being the size of its set; ``cls`` is null without words. Rows of one class are linked too.
+    """
+    rows = located_texts(docs)
+    signed, classes, labels = signed_components(rows)
+    return linked_pairs(component_units(classes, labels, rows)), signed.select("doc_id", "cls", "n")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -428,5 +631,33 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def component_report(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
-    return linked_documents(located_texts(docs)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    """One row per document: ``doc_id, n_shingles, component_id, class_id, n_links``.
+
+    ``class_id`` is the smallest id among documents of the same set, and ``n_links`` the number of other
+    documents that this one is linked with. ``docs`` has at least ``doc_id`` and ``text``; other
+    columns may have any names. Null and empty texts and those without words are linked with
+    nothing. Rows that repeat an id are rows of their own, and ids are null where a class or
+    component has none. No rows give no rows.
+    """
+    rows = located_texts(docs)
+    signed, classes, labels = signed_components(rows)
+    links = written(links_of_classes(component_units(classes, labels, rows)), "jaccard-counts")
+    of_class = written(
+        _named_components(classes, labels)
+        .join(links, "cls", "left")
+        .select(
+            "cls",
+            "component_id",
+            "class_id",
+            (F.col("size") - 1 + F.coalesce("documents", F.lit(0))).alias("n_links"),
+        ),
+        "jaccard-components",
+    )
+    empty = F.col("n") == 0
+    return _of_rows(signed, of_class).select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+    )

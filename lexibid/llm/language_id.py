@@ -12,7 +12,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexibid.llm.lockstep import groups
@@ -49,10 +49,11 @@ BUCKETS = 1 << BUCKET_BITS
 SCRIPT_SHARE = 0.01
 #: What a change of language costs, as a log-likelihood.
 SWITCH = 10.0
-#: Characters scored at once.
-PIECE = 1 << 20
+#: Characters scored at once, and characters of texts labelled together.
+PIECE = 1 << 18
+PORTION = 1 << 20
 #: Words labelled side by side.
-VITERBI_WORDS = 1 << 20
+VITERBI_WORDS = 1 << 18
 
 LAST = 0x323AF
 BLANK = 32
@@ -74,21 +75,22 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Letters:
-    """Of a text: trigram bucket and script of every letter, and the words: where each starts
-    among the letters and in the text."""
+    """Of a piece of text: trigram bucket and script of every letter, and the words: where each starts
+    among the letters and in the piece. The first may go on from before the piece."""
 
     bucket: np.ndarray
     script: np.ndarray
     first: np.ndarray
     start: np.ndarray
+    goes_on: bool
 
 
-def letters(text: str) -> Letters:
+def letters(piece: str, before: str = "", after: str = "") -> Letters:
+    """``before`` and ``after`` are the characters next to the piece, if any."""
     folded, script = _tables()
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    points = np.frombuffer(f"{before or ' '}{piece}{after or ' '}".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     points = np.minimum(points, LAST + 1)
-    padded = np.full(len(points) + 2, BLANK, dtype=np.uint32)
-    padded[1:-1] = folded[points]
+    padded = folded[points]
     is_letter = padded[1:-1] != BLANK
     hashed = padded[:-2] * np.uint32(0x9E3779B1)
     hashed ^= padded[1:-1] * np.uint32(0x85EBCA77)
@@ -100,23 +102,18 @@ def letters(text: str) -> Letters:
     starts[1:] &= ~is_letter[:-1]
     return Letters(
         hashed[is_letter].astype(np.int32),
-        script[points[is_letter]],
+        script[points[1:-1][is_letter]],
         np.flatnonzero(starts[is_letter]),
         np.flatnonzero(starts),
+        bool(padded[0] != BLANK and is_letter[:1].any()),
     )
 
 
 def pieces(text: str):
-    """(offset, piece): parts of at most PIECE characters that end where no word is cut, if possible."""
-    start = 0
-    while len(text) - start > PIECE:
+    """(offset, letters) of parts of PIECE characters. A part may end within a word; its trigrams do not."""
+    for start in range(0, len(text), PIECE):
         end = start + PIECE
-        while end > start and text[end - 1].isalpha():
-            end -= 1
-        end = end if end > start else start + PIECE
-        yield start, text[start:end]
-        start = end
-    yield start, text[start:]
+        yield start, letters(text[start:end], text[start - 1 : start] if start else "", text[end : end + 1])
 
 
 @dataclass(frozen=True)
@@ -145,8 +142,7 @@ def train(docs: DataFrame) -> Model:
             texts = pd.DataFrame({"text": batch.column("text"), "lang": batch.column("lang")})
             for lang, own in texts.groupby("lang")["text"]:
                 table = counts.setdefault(lang, np.zeros(BUCKETS + len(SCRIPT_NAMES), dtype=np.int64))
-                for _, piece in pieces("\n".join(own)):
-                    found = letters(piece)
+                for _, found in pieces("\n".join(own)):
                     table[:BUCKETS] += np.bincount(found.bucket, minlength=BUCKETS)
                     table[BUCKETS:] += np.bincount(found.script, minlength=len(SCRIPT_NAMES))
         for lang, table in counts.items():
@@ -184,21 +180,30 @@ class Words:
 
 
 def scored_words(text: str, model: Model) -> Words:
-    parts = []
-    for offset, piece in pieces(text):
-        found = letters(piece)
+    """A word that lies in several pieces is put together again: its letters and scores add up."""
+    starts, sizes, scripts, scores = [], [], [], []
+    for offset, found in pieces(text):
         if not len(found.first):
             continue
-        scores = np.empty((len(model.langs), len(found.first)), dtype=np.float32)
-        for row, weights in zip(scores, model.weights, strict=True):
+        own = np.empty((len(model.langs), len(found.first)), dtype=np.float32)
+        for row, weights in zip(own, model.weights, strict=True):
             np.add.reduceat(weights[found.bucket], found.first, out=row)
-        scores[~model.candidate[:, found.script[found.first]]] -= 1e6
-        parts.append((found.start + offset, np.diff(found.first, append=len(found.bucket)), scores))
-    if not parts:
+        size = np.diff(found.first, append=len(found.bucket))
+        skip = int(found.goes_on)
+        if skip:
+            scores[-1][:, -1] += own[:, 0]
+            sizes[-1][-1] += size[0]
+        if len(size) > skip:
+            starts.append(found.start[skip:] + offset)
+            sizes.append(size[skip:])
+            scripts.append(found.script[found.first[skip:]])
+            scores.append(own[:, skip:])
+    if not starts:
         none = np.zeros(0, dtype=np.int64)
         return Words(none, none, np.zeros((len(model.langs), 0), dtype=np.float32))
-    start, size, scores = zip(*parts, strict=True)
-    return Words(np.concatenate(start), np.concatenate(size), np.concatenate(scores, axis=1))
+    whole = np.concatenate(scores, axis=1)
+    whole[~model.candidate[:, np.concatenate(scripts)]] -= 1e6
+    return Words(np.concatenate(starts), np.concatenate(sizes), whole)
 
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
@@ -248,12 +253,12 @@ def labelled_words(texts: list[str], model: Model) -> Labelled:
 
 
 def _portions(texts: list):
-    """Consecutive texts of about PIECE characters together."""
+    """Consecutive texts of about PORTION characters together."""
     held, size = [], 0
     for text in texts:
         held.append(text or "")
         size += len(held[-1])
-        if size >= 4 * PIECE:
+        if size >= PORTION:
             yield held
             held, size = [], 0
     if held:
@@ -291,18 +296,23 @@ def spans_of(found: Labelled, model: Model) -> list[list[dict]]:
     return spans
 
 
+def _shared(model: Model):
+    return SparkSession.active().sparkContext.broadcast(model)
+
+
 def language(text: Column, model: Model) -> Column:
     """``lang_pred, score`` of a text: the language of most letters and its share of them.
 
     A text that is null, empty or without letters is ``und`` with score 0, and so is every text
     if no language was learned. Of languages with as many letters the first by name counts.
     """
+    shared = _shared(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def identify(texts: pd.Series) -> pd.DataFrame:
         names, scores = [], [np.zeros(0)]
         for portion in _portions(texts.tolist()):
-            own_names, own_scores = documents_of(labelled_words(portion, model), model)
+            own_names, own_scores = documents_of(labelled_words(portion, shared.value), shared.value)
             names += own_names
             scores.append(own_scores)
         return pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": np.concatenate(scores)})
@@ -312,12 +322,13 @@ def language(text: Column, model: Model) -> Column:
 
 def language_spans(text: Column, model: Model) -> Column:
     """The spans of a text as an array of ``start, end, lang``; empty where ``language`` says ``und``."""
+    shared = _shared(model)
 
     @F.pandas_udf("array<struct<start: bigint, end: bigint, lang: string>>")
     def spans(texts: pd.Series) -> pd.Series:
         found = []
         for portion in _portions(texts.tolist()):
-            found += spans_of(labelled_words(portion, model), model)
+            found += spans_of(labelled_words(portion, shared.value), shared.value)
         return pd.Series(found, dtype=object)
 
     return spans(text)
@@ -335,7 +346,10 @@ def train_on_folds(docs: DataFrame) -> Model:
 def language_report(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``.
 
-    ``docs`` has at least ``doc_id``, ``text`` and ``lang``; others are ignored.
+    ``docs`` has at least ``doc_id``, ``text`` and ``lang``; others are ignored. Rows without id are
+    neither held out nor learned from, rows with a null lang are not learned from. Rows that repeat an
+    id count by their own texts. Texts without letters, null and empty ones are ``und``; words
+    and texts of any length are looked at whole. No rows give no rows.
     """
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
     found = slim.select(

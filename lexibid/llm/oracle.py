@@ -12,6 +12,39 @@ EXACT_DEDUP = f"""
     FROM normal WINDOW same AS (PARTITION BY text)
 """
 
+# Sets that are the same are compared once; components are all that can be reached by links.
+JACCARD = f"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all({NORMAL}, '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+            END AS shingles
+        FROM worded
+    ), classes AS MATERIALIZED (
+        SELECT min(doc_id) AS class_id, count(*) AS size, shingles, len(shingles) AS n
+        FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+    ), tokens AS (
+        SELECT class_id, size, n, unnest(shingles) AS token FROM classes
+    ), pairs AS MATERIALIZED (
+        SELECT a.class_id AS x, b.class_id AS y, b.size
+        FROM tokens a JOIN tokens b ON a.token = b.token AND a.class_id <> b.class_id
+        GROUP BY a.class_id, b.class_id, a.n, b.n, b.size
+        HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+    ), reach AS (
+        SELECT x, y FROM pairs
+        UNION
+        SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x
+    ), of_class AS (
+        SELECT class_id, shingles, size - 1 + coalesce((SELECT sum(p.size) FROM pairs p WHERE p.x = class_id), 0) AS n_links,
+            least(class_id, (SELECT min(y) FROM reach WHERE x = class_id)) AS component_id
+        FROM classes
+    )
+    SELECT doc_id, len(sets.shingles)::bigint AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+        coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0)::bigint AS n_links
+    FROM sets LEFT JOIN of_class ON sets.shingles = of_class.shingles AND len(sets.shingles) > 0
+"""
+
 # Four characters of base32 from every five hexadecimal digits.
 BASE32 = """list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     ((('0x' || substr(sha1(html), 5 * (i // 4)::int + 1, 5))::int >> (15 - 5 * (i % 4))::int) & 31) + 1, 1)),
@@ -168,6 +201,7 @@ VECTOR_CODES = f"""
 def all_oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
+        "op4_jaccard_join": JACCARD,
         "op5_warc": WARC,
         "op9_mixing": MIXING,
         "op11_vector_codes": VECTOR_CODES,

@@ -7,16 +7,14 @@ chunk says, and the largest, mean and smallest of its chunks are what a text say
 makes one probability of them.
 """
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexibid.llm.common import read_documents, text_or_empty
+from lexibid.llm.common import read_documents, slices, text_or_empty
 
 # The fold that is never learned from (remainder and modulus), and where label 1 begins.
 FOLD, FOLDS = 0, 5
@@ -35,8 +33,7 @@ PASSES = 8
 STEP_ROWS = 64
 RATE = 0.01
 
-#: Bytes of text scored at once, and chunks within it.
-PORTION = 1 << 20
+#: Chunks that filters are put to at once.
 BLOCK = 256
 #: Fills the last window of a text. A text's own null characters look the same.
 PAD = b"\0" * (WIDTH - 1)
@@ -193,7 +190,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Network:
 
     def cut(batches):
         for batch in batches:
-            for part in _portions(batch):
+            for part in slices(batch, "text"):
                 raw = [sample_chunks(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
                 columns = [part.column("doc_id"), part.column("quality"), pa.array(raw, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "chunks"])
@@ -208,23 +205,13 @@ def trained(docs: DataFrame, labels: DataFrame) -> Network:
     return fit([(raw, int(q == 1)) for raw, q in zip(*(sample.column(c).to_pylist() for c in ("chunks", "quality")), strict=True)])
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about PORTION bytes of text, or one row that is longer."""
-    sizes = np.asarray(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
-    part = (np.cumsum(sizes) - sizes) // PORTION
-    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
-    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
-        if end > begin:
-            yield batch.slice(begin, end - begin)
-
-
 def scored(docs: DataFrame, network: Network) -> DataFrame:
     """``doc_id, held_out, score`` of every row of ``docs`` (``doc_id, held_out, text``)."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches):
         for batch in batches:
-            for part in _portions(batch):
+            for part in slices(batch, "text"):
                 found = scores(shared.value, part.column("text").cast(pa.binary()).to_pylist())
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(found, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score"])

@@ -46,10 +46,10 @@ ALLOWED = (
     "(?i)example|sample|dummy|placeholder|changeme",
     "^(?:[A-Za-z0-9_-]+=)?sha(?:256|384|512)-",
     "^(?=.*[_-])[A-Za-z_-]+$",
-    "^[a-z]*+(?:[A-Z]{1,4}[a-z]{2,}+){1,200}[A-Z]{0,4}$",
+    "^[a-z]*+(?:[A-Z]{1,4}[a-z]{2,}+)++[A-Z]{0,4}$",
     "(?i)abcdefgh|zyxwvuts|qwertyui",
     "^[0-9_-]+$",
-    f"^/?{PATH_PART}(?:/{PATH_PART}){{2,200}}/?$",
+    f"^/?{PATH_PART}(?:/{PATH_PART}){{2,}}+/?$",
 )
 
 #: Parts of a candidate that are looked at by themselves, since names and values may be glued: what stands behind
@@ -65,24 +65,29 @@ PARTS = tuple(
         ("(?<![A-Za-z0-9])", "A-Za-z0-9", ""),
     )
 )
-#: What follows names of letters only.
-NAMED = rf"^(?:[A-Za-z]+[+/_=-]+){{1,20}}(.{{{WINDOW},}})$"
+#: What follows names of letters only, as many as leave enough.
+NAMED = rf"^(?:[A-Za-z]++[+/_=-]+(?=.{{{WINDOW}}}))++(.{{{WINDOW},}})$"
 
 
 def _c_log_c(count: Column) -> Column:
     return F.when(count > 0, count * F.log2(count)).otherwise(F.lit(0.0))
 
 
-def _count(window: Column, character: Column) -> Column:
-    """How often a character is in a window."""
-    return (F.length(window) - F.length(F.replace(window, character, F.lit("")))).cast("double")
+def _counts(window: Column) -> Column:
+    """Every character of a window and how often it is there, as a map."""
+
+    def entry(c):
+        return F.struct(c, F.length(window) - F.length(F.replace(window, c, F.lit(""))))
+
+    characters = F.filter(F.array_distinct(F.split(window, "")), lambda c: c != "")
+    return F.map_from_entries(F.transform(characters, entry))
 
 
 def max_entropy(string: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy of any ``window`` characters in a row, in bits a character.
 
-    Zero for strings shorter than the window. Long strings are cut into pieces that overlap by a
-    window less one character, since finding a character takes as long as its place is far.
+    Zero for strings shorter than the window and for null. Long strings are cut into pieces that overlap
+    by a window less one character, since finding a character takes as long as its place is far.
     """
     starts = F.sequence(F.lit(1), F.greatest(F.length(string) - (window - 1), F.lit(1)), F.lit(PIECE))
     pieces = F.transform(starts, lambda i: F.substring(string, i, F.lit(PIECE + window - 1)))
@@ -92,28 +97,32 @@ def max_entropy(string: Column, window: int = WINDOW) -> Column:
 
 def _max_entropy(string: Column, window: int) -> Column:
     """The same for a short string. With c of each character in a window of w, the entropy is
-    log w minus the sum of c log c over w; a step takes the character that leaves and the one
-    that enters out of the sum and puts them back with their new counts.
+    log w minus the sum of c log c over w. The counts go along from window to window: a step takes
+    the character that leaves and the one that enters out of the sum, and puts them back with
+    their new counts.
     """
-    first = F.substring(string, 1, window)
-    at_first = F.aggregate(
-        F.array_distinct(F.split(first, "")),
-        F.lit(0.0),
-        lambda total, c: total + F.when(c != "", _c_log_c(_count(first, c))).otherwise(F.lit(0.0)),
-    )
+    at_first = _counts(F.substring(string, 1, window))
+    total = F.aggregate(F.map_values(at_first), F.lit(0.0), lambda sum_so_far, n: sum_so_far + _c_log_c(n))
     steps = F.when(
         F.length(string) > window, F.sequence(F.lit(1), F.length(string) - window)
     ).otherwise(F.array().cast("array<int>"))
 
     def step(done, i):
-        before = F.substring(string, i, F.lit(window))
         leaving, entering = F.substring(string, i, F.lit(1)), F.substring(string, i + window, F.lit(1))
-        out, into = _count(before, leaving), _count(before, entering)
+        out = F.try_element_at(done["counts"], leaving)
+        into = F.coalesce(F.try_element_at(done["counts"], entering), F.lit(0))
+        others = F.map_filter(done["counts"], lambda c, n: (n > 0) & (c != leaving) & (c != entering))
+        counts = F.map_concat(others, F.create_map(leaving, out - 1, entering, into + 1))
         change = _c_log_c(out - 1) - _c_log_c(out) + _c_log_c(into + 1) - _c_log_c(into)
-        total = done["total"] + F.when(leaving == entering, F.lit(0.0)).otherwise(change)
-        return F.struct(total.alias("total"), F.least(done["least"], total).alias("least"))
-
-    start = F.struct(at_first.alias("total"), at_first.alias("least"))
+        same = leaving == entering
+        total = F.when(same, done["total"]).otherwise(done["total"] + change)
+        return F.struct(
+            F.when(same, done["counts"]).otherwise(counts).alias("counts"),
+            total.alias("total"),
+            F.least(done["least"], total).alias("least"),
+        )
+
+    start = F.struct(at_first.alias("counts"), total.alias("total"), total.alias("least"))
     least = F.aggregate(steps, start, step, lambda done: done["least"])
     return F.lit(math.log2(window)) - least / window
 
@@ -171,7 +180,9 @@ def secrets(docs: DataFrame) -> DataFrame:
 
     Both are arrays of ``start, end, rank, kind, found`` sorted by start, then kind. ``base`` are the
     known formats, leftmost and without overlap within a kind; ``spans`` has in addition random
-    strings, or random parts of them, in runs that overlap none of those. A null text is empty and has no spans.
+    strings, or random parts of them, in runs that overlap none of those. A null text is empty and has
+    no spans. Rows stand for themselves, repeated ones and those without id too; no rows give none. Whole texts
+    are scanned, and neither runs nor allowed forms have a largest length.
     """
     text = F.col("text")
     scanned = docs.select(

@@ -15,7 +15,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexibid.llm.common import located, rows_without, text_or_empty, written
@@ -28,6 +28,8 @@ ARCHIVE_BYTES = 1 << 30
 #: Ranges of a file closer than the gap are fetched at once, up to the most bytes of one read.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Archive bytes that a task reads at most, but for the record that it begins last; on few bytes, less.
+TASK_BYTES = 128 << 20
 #: Rows handed to Spark at once.
 BATCH_ROWS = 500
 
@@ -242,11 +244,36 @@ def coalesced(ranges: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = R
     return reads
 
 
+def dealt(index: DataFrame, task_bytes: int | None = None) -> DataFrame:
+    """``file, offset, length`` of ``index``, sorted, in partitions of ``task_bytes`` of archive each.
+
+    Archives are taken one after another by name, and a record goes by the place of its first byte
+    among all their bytes. Without ``task_bytes`` every core gets some, between READ_BYTES and
+    TASK_BYTES. The window runs over one row per archive.
+    """
+    spark = index.sparkSession
+    ends = index.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("bytes"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(
+        ends.select(F.col("file").alias("of"), "bytes", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start")),
+        "warc-starts",
+    )
+    total = starts.agg(F.sum("bytes")).first()[0] or 0
+    if task_bytes is None:
+        task_bytes = min(max(total // spark.sparkContext.defaultParallelism + 1, READ_BYTES), TASK_BYTES)
+    task = F.floor((F.col("start") + F.col("offset")) / task_bytes).cast("int")
+    rows = index.join(starts, F.col("file") == F.col("of")).select("file", "offset", "length", task.alias("task"))
+    parts = rows.repartitionById(-(-total // task_bytes) or 1, "task")
+    return parts.sortWithinPartitions("file", "offset").select("file", "offset", "length")
+
+
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records that ``index`` selects: ``page_id, url, payload_bytes, payload_digest,
     record_type, refers_to, payload``. ``index`` is the one of ``write_archives`` or any part of it.
 
-    Ranges are sorted by file and offset across the cluster, so neighbours meet in one read.
+    Ranges are sorted by file and offset across the cluster, so neighbours meet in one read, and
+    dealt by archive bytes. Rows that repeat a range give its record again; an empty index gives no
+    records. A null page_id, url and refers_to come back as null, empty and null.
     """
 
     def read(batches):
@@ -271,13 +298,14 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
 
         yield from _in_batches(rows(), RECORDS_ARROW)
 
-    ranges = index.select("file", "offset", "length")
-    sorted_ranges = ranges.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
-    return sorted_ranges.mapInArrow(read, RECORDS)
+    return dealt(index).mapInArrow(read, RECORDS)
 
 
 def round_trip_report(pages: DataFrame) -> DataFrame:
-    """All pages archived and read back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
+    """All pages archived and read back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
+
+    See ``record_plan`` for nulls, repeated rows and ties.
+    """
     folder = fresh_output_path(pages.sparkSession, "warc")
     index = write_archives(record_plan(pages), folder)
     return read_records(index, folder).select(

@@ -26,9 +26,19 @@ def shingles(text):
     return frozenset(tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4)))
 
 
+def links(texts):
+    """Pairs (a, b) of linked ids, a before b, for {id: text}, by comparing all pairs."""
+    sets = {k: shingles(t) for k, t in texts.items()}
+    found = set()
+    for a, b in itertools.combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        if shared and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared):
+            found.add((a, b))
+    return found
+
+
 def components(texts):
     """Smallest id in reach for {id: text}, by comparing all pairs."""
-    sets = {k: shingles(t) for k, t in texts.items()}
     smallest = {k: k for k in texts}
 
     def root(k):
@@ -36,11 +46,9 @@ def components(texts):
             k = smallest[k]
         return k
 
-    for a, b in itertools.combinations(sets, 2):
-        shared = len(sets[a] & sets[b])
-        if shared and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared):
-            x, y = sorted((root(a), root(b)))
-            smallest[y] = x
+    for a, b in links(texts):
+        x, y = sorted((root(a), root(b)))
+        smallest[y] = x
     return {k: root(k) for k in texts}
 
 

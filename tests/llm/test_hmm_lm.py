@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexibid.llm import hmm_lm as H
 from tests.llm.brute import normal, words
@@ -95,36 +96,117 @@ def test_counts_and_base_scores_by_brute_force(stored, by_id):
 
 
 def test_training_makes_texts_more_likely(stored):
-    texts, counted = H.encoded(stored(corpus(120)))
-    learn = texts.where("learn")
+    table = H.blocks(stored(corpus(120)))
+    words, counted = H.counted(table)
+    learn = H.training_codes(table, words)
+    raw = [np.frombuffer(r.codes, dtype=np.uint16).astype(np.int64) for r in learn.collect()]
     totals = []
     for rounds in range(4):
         model = H.baum_welch(learn, counted, rounds=rounds)
-        totals.append(H.scored(learn, model).agg({"score": "sum"}).first()[0])
+        totals.append(H.log10_likelihoods(model, np.concatenate(raw), np.array([len(r) for r in raw])).sum())
     assert totals == sorted(totals) and totals[-1] > totals[0]
     assert model.emit.sum(axis=0) == pytest.approx(1) and (model.emit[: 1 + len(counted.frequent)] > 0).all()
 
 
-def test_blocks_do_not_change_counts(stored, monkeypatch, by_id):
-    docs = stored(corpus(60))
-    whole = {k: r.base_score for k, r in by_id(H.encoded(docs)[0]).items()}
-    monkeypatch.setattr(H, "BLOCK_CHARS", 200)
-    parts = {k: r.base_score for k, r in by_id(H.encoded(docs)[0]).items()}
-    assert parts == pytest.approx(whole)
+def test_blocks_do_not_change_counts(stored):
+    docs = stored(corpus(60), files=2)
+    found = []
+    for block_chars in (200, 1 << 25):
+        table = H.blocks(docs, block_chars)
+        words, counted = H.counted(table)
+        known = words.groupBy("key").agg({"c": "max", "code": "max"}).collect()
+        found.append((counted.tokens, counted.distinct, counted.texts, counted.frequent, sorted(map(tuple, known))))
+        assert counted.class_weight.sum() == 0
+        assert table.select("block").distinct().count() == (2 if block_chars > 200 else pytest.approx(20, abs=18))
+    assert found[0] == found[1]
 
 
-def test_rare_words_have_a_class_and_a_share(stored, monkeypatch, by_id):
-    """With codes for two words only, all others score as their class times their share within it."""
+def test_classes_of_rare_words(stored, monkeypatch):
+    """With codes for two words only, all others begin with those of classes by their endings."""
     monkeypatch.setattr(H, "FREQUENT", 2)
     monkeypatch.setattr(H, "CODES", 1 + 2 + H.CLASSES)
     learned = [k for k in range(20) if zlib.crc32(str(k).encode()) % 5 != 1][:2]
     rows = [(learned[0], "aa ab ba xba yba unba"), (learned[1], "aa aa ab")]
-    texts, counted = H.encoded(stored(rows))
+    words, counted = H.counted(H.blocks(stored(rows)))
     assert counted.frequent == [3, 2] and counted.class_weight.sum() == 4 * 1.5
     assert counted.code_weights().sum() == 2 + 0.5 + 5 + 2 * 0.5 + 6 + 0.5 * H.CLASSES
-    found = by_id(texts)
-    shares = 4 * math.log10(1.5 / (6 + 0.5))  # ba, xba, yba and unba share their ending
-    assert found[learned[0]].rare_score == pytest.approx(shares) and found[learned[1]].rare_score == 0
+    code = {r.key: r.code for r in words.collect()}
+    assert code[H._key("aa")] == 1 and code[H._key("ab")] == 2
+    assert len({code[H._key(w)] for w in ("ba", "xba", "yba", "unba")}) == 1
+
+
+def test_keys_are_those_of_spark(spark):
+    words = ["", "a", "some longer word of more than 32 bytes", "é\U0001f600"]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("key")).collect()
+    assert all(r.key == H._key(r.w) for r in rows)
+
+
+def plain_forward(first, after, emitted):
+    """log10 likelihood and the states' chances at every token, by the textbook."""
+    n, k = emitted.shape
+    ahead = np.zeros((n, k))
+    scales = np.zeros(n)
+    for t in range(n):
+        own = (first if t == 0 else ahead[t - 1] @ after) * emitted[t]
+        scales[t] = own.sum()
+        ahead[t] = own / scales[t]
+    back = np.ones(k)
+    chances = ahead.copy()
+    for t in range(n - 2, -1, -1):
+        back = after @ (emitted[t + 1] * back) / scales[t + 1]
+        chances[t] = ahead[t] * back
+    return np.log10(scales).sum(), chances
+
+
+def test_scores_by_brute_force(stored, by_id, monkeypatch):
+    """The whole report: the last round word by word, every word's own emissions, and the likelihoods."""
+    monkeypatch.setattr(H, "FREQUENT", 20)
+    monkeypatch.setattr(H, "CODES", 1 + 20 + H.CLASSES)
+    rows = [r for r in corpus(80) if r[0] != 4] + [(4, "unseen-x once")]
+    docs = stored(rows, files=1)
+    table = H.blocks(docs)
+    words_of, counted = H.counted(table)
+    model = H.baum_welch(H.training_codes(table, words_of), counted)
+    code = {r.key: r.code for r in words_of.collect()}
+
+    held = {k: k is not None and zlib.crc32(str(k).encode()) % 5 == 1 for k, _ in rows}
+    tokens = {k: [*words(normal(t)), ""] for k, t in rows}
+    learn = [own for k, own in tokens.items() if k is not None and not held[k]]
+    count, share = Counter(w for own in learn for w in own), {}
+    for own in learn:
+        codes = np.array([code[H._key(w)] if w else H.END for w in own])
+        for w, chance in zip(own, plain_forward(model.first, model.after, model.emit[codes])[1], strict=True):
+            share[w] = share.get(w, 0) + chance
+    expected = {}
+    for w, total in share.items():
+        rounded = np.rint(total / count[w] * 255)
+        expected[w] = count[w] * rounded / rounded.sum()
+    chance = sum(expected.values()) + 1e-3
+    chance /= chance.sum()
+    lean = {}
+    for w, own in expected.items():
+        ratio = (own + H.EVEN * chance) / ((count[w] + H.EVEN) * chance)
+        lean[w] = 2.0 ** (np.clip(np.floor((np.log2(ratio) + 8) * 16 + 0.5), 0, 255) / 16 - 8)
+    weight = {w: (count[w] + 0.5) * lean[w] * chance for w in lean}
+    total = sum(weight.values()) + 0.5 * chance
+    for w in set().union(*tokens.values()) - set(weight):
+        weight[w] = 0.5 * chance
+    found = by_id(H.score_report(docs))
+    for k, own in tokens.items():
+        emitted = np.array([weight[w] / total for w in own])
+        assert found[k].score == pytest.approx(plain_forward(model.first, model.after, emitted)[0], rel=1e-5), k
+    # what a state emits adds up to one, with one word that was never seen
+    assert (sum(weight[w] for w in lean) + 0.5 * chance) / total == pytest.approx(1)
+    # words of one class by their ending have emissions of their own
+    assert len({tuple(lean[w].round(6)) for w in lean if w.endswith("1")}) > 4
+
+
+def test_repeated_rows(stored):
+    """Equal rows count as often as they are there, and score alike."""
+    k = next(k for k in range(9) if zlib.crc32(str(k).encode()) % 5 != 1)
+    found = H.score_report(stored([(k, "a b a"), (k, "a b a"), (None, "a b a")])).collect()
+    assert {(r.n_tokens, r.n_known, r.train_tokens, r.held_out) for r in found} == {(4, 4, 8, False)}
+    assert len({r.score for r in found}) == 1 and len(found) == 3
 
 
 def test_empty_tables(stored):

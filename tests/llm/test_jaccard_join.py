@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -6,14 +7,34 @@ from pyspark.sql import functions as F
 
 from lexibid.llm import jaccard_join as J
 from lexibid.llm.components import smallest_labels
-from tests.llm.brute import components, shingles
+from tests.llm.brute import components, links, shingles
 
 
 def check(found, rows):
     texts = dict(rows)
-    smallest = components(texts)
+    smallest, degree = components(texts), Counter(i for pair in links(texts) for i in pair)
+    first = {}
+    for doc_id in sorted(texts):
+        first.setdefault(shingles(texts[doc_id]) or doc_id, doc_id)
     for doc_id, text in rows:
-        assert tuple(found[doc_id]) == (doc_id, len(shingles(text)), smallest[doc_id]), doc_id
+        own = first[shingles(text) or doc_id]
+        assert tuple(found[doc_id]) == (doc_id, len(shingles(text)), smallest[doc_id], own, degree[doc_id]), doc_id
+
+
+def check_pairs(docs, rows):
+    """All pairs of classes, expanded to documents, are the links."""
+    pairs, members = J.similar_documents(docs)
+    of_class = {}
+    for r in members.collect():
+        if r.cls is not None:
+            of_class.setdefault(bytes(r.cls), []).append(r.doc_id)
+    found = [(a, b) for own in of_class.values() for a in own for b in own if a < b]
+    texts = dict(rows)
+    for r in pairs.collect():
+        own = [(a, b) for a in of_class[bytes(r.a)] for b in of_class[bytes(r.b)]]
+        assert len(shingles(texts[own[0][0]]) & shingles(texts[own[0][1]])) == r.shared
+        found += [tuple(sorted(pair)) for pair in own]
+    assert len(found) == len(set(found)) and set(found) == links(texts)
 
 
 def near_copies(seed, documents=150):
@@ -42,7 +63,34 @@ def near_copies(seed, documents=150):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_components_by_brute_force(stored, by_id, seed):
     rows = near_copies(seed)
-    check(by_id(J.component_report(stored(rows, files=3))), rows)
+    docs = stored(rows, files=3)
+    check(by_id(J.component_report(docs)), rows)
+    check_pairs(docs, rows)
+
+
+@pytest.mark.parametrize("classes", [2, 5])
+def test_links_of_large_components(stored, by_id, monkeypatch, classes):
+    """Blocks of few classes: every two of a component meet in one unit."""
+    monkeypatch.setattr(J, "UNIT_CLASSES", classes)
+    monkeypatch.setattr(J, "UNIT_SHINGLES", 500)
+    rows = near_copies(7, documents=120)
+    docs = stored(rows, files=3)
+    check(by_id(J.component_report(docs)), rows)
+    check_pairs(docs, rows)
+    texts = J.located_texts(docs)
+    _, known, labels = J.signed_components(texts)
+    units = J.component_units(known, labels, texts).groupBy("grp", "i", "j").count().collect()
+    assert len(units) > 10 and max(r["count"] for r in units if r.i >= 0) <= 6 * classes
+
+
+@pytest.mark.parametrize("dense", [1, 4, 1 << 40])
+def test_shared_counts_by_brute_force(monkeypatch, dense):
+    monkeypatch.setattr(J, "DENSE", dense)
+    monkeypatch.setattr(J, "MATRIX_COLUMNS", 3)
+    monkeypatch.setattr(J, "PAIRS_AT_ONCE", 5)
+    rng = random.Random(2)
+    a, b = ([np.array(sorted(rng.sample(range(30), rng.randrange(20))), dtype=np.uint64) for _ in range(n)] for n in (12, 9))
+    assert J.shared_counts(a, b).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in b] for x in a]
 
 
 def test_edges(stored, by_id):
@@ -92,7 +140,12 @@ def test_missing_and_repeated_ids(stored):
     text = "a b c d e f g h"
     rows = [(None, text), (3, text), (3, text), (7, text.upper()), (None, "x y"), (None, None), (3, "another text of five words")]
     found = J.component_report(stored(rows)).collect()
-    assert sorted((r.n_shingles, r.component_id or 0) for r in found) == [(0, 0), (1, 0), (1, 3), *[(4, 3)] * 4]
+    assert sorted((r.n_shingles, r.component_id or 0, r.n_links) for r in found) == [
+        (0, 0, 0),
+        (1, 0, 0),
+        (1, 3, 0),
+        *[(4, 3, 3)] * 4,
+    ]
 
 
 def test_many_near_copies(stored, by_id):
@@ -106,7 +159,7 @@ def test_many_near_copies(stored, by_id):
         rows.append((i, " ".join(copy)))
     docs = stored(rows)
     found = by_id(J.component_report(docs))
-    assert {r.component_id for r in found.values()} == {0}
+    assert {r.component_id for r in found.values()} == {0} and {r.n_links for r in found.values()} == {399}
     texts = J.located_texts(docs)
     signed = J.signatures(texts, docs.sparkSession.sparkContext.broadcast(J.frequency_order(texts.select("text"))))
     classes = J.class_table(signed)
@@ -128,7 +181,7 @@ def test_one_of_each(stored):
 
 def test_empty_table(stored):
     assert J.component_report(stored([])).collect() == []
-    assert J.component_report(stored([(1, None)])).collect() == [(1, 0, 1)]
+    assert J.component_report(stored([(1, None)])).collect() == [(1, 0, 1, 1, 0)]
 
 
 def test_prefix_sizes():
@@ -159,3 +212,4 @@ def test_a_third_of_all_rows_is_one_text(spark):
     found = J.component_report(docs)
     assert found.where("component_id <> doc_id").count() == 1999
     assert found.where("component_id = 0").count() == 2000
+    assert found.where("n_links = 1999").count() == 2000

@@ -1,6 +1,8 @@
 import itertools
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -117,6 +119,104 @@ def test_pieces_cut_no_words(monkeypatch, model):
     assert parts.scores == pytest.approx(whole.scores, abs=1e-3)
 
 
+def test_a_word_of_many_pieces_is_one(monkeypatch, model):
+    text = "ing " + "thening" * 40 + "и" * 200 + " " + "qu" * 100 + "\n" + "ж" * 64 + " a"
+    whole = L.scored_words(text, model)
+    for size in (1, 7, 64):
+        monkeypatch.setattr(L, "PIECE", size)
+        parts = L.scored_words(text, model)
+        assert parts.start.tolist() == whole.start.tolist() and parts.letters.tolist() == whole.letters.tolist()
+        assert parts.scores == pytest.approx(whole.scores, rel=1e-4, abs=1e-2)
+    assert whole.letters.tolist() == [3, 480, 200, 64, 1]
+
+
+def words_of(text):
+    """Runs of letters, each letter as a trigram of lower-case letters or blanks."""
+    folded = [c.lower()[0] if c.isalpha() and ord(c) <= L.LAST else " " for c in text or ""]
+    padded, found = [" ", *folded, " "], []
+    for i, c in enumerate(folded):
+        if c != " ":
+            if padded[i] == " ":
+                found.append([])
+            script = next((n for n, a, b in L.SCRIPTS if a <= ord(text[i]) <= b), "other")
+            found[-1].append(("".join(padded[i : i + 3]), script))
+    return found
+
+
+def bucket(trigram):
+    mixed = 0
+    for c, factor in zip(trigram, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D), strict=True):
+        mixed ^= ord(c) * factor % 2**32
+    mixed ^= mixed >> 15
+    return mixed * 0x2C1B3C6D % 2**32 >> 32 - L.BUCKET_BITS
+
+
+def brute_force(table):
+    """Trigram counts, scores, best labels and votes, one word at a time."""
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in table}
+    learned = [(t, lang) for i, t, lang in table if i is not None and not held[i] and t is not None and lang is not None]
+    langs = sorted({lang for _, lang in learned})
+    counts = {lang: Counter() for lang in langs}
+    scripts = {lang: Counter() for lang in langs}
+    for text, lang in learned:
+        for word in words_of(text):
+            counts[lang].update(bucket(t) for t, _ in word)
+            scripts[lang].update(s for _, s in word)
+
+    def candidates(script):
+        own = [k for k in langs if scripts[k][script] >= 0.01 * max(scripts[k].total(), 1)]
+        return own or langs
+
+    found = {}
+    for i, text, _ in table:
+        words = words_of(text)
+        paths = {k: (0.0, []) for k in langs}
+        for word in words:
+            score = {}
+            for k in langs:
+                total = counts[k].total() + 0.5 * L.BUCKETS
+                score[k] = sum(math.log((counts[k][bucket(t)] + 0.5) / total) for t, _ in word)
+                score[k] -= 0 if k in candidates(word[0][1]) else 1e6
+            best = max(langs, key=lambda k: (paths[k][0], -langs.index(k)))
+            following = {}
+            for k in langs:
+                stays = paths[k][0] >= paths[best][0] - L.SWITCH
+                value, path = (paths[k][0], paths[k][1]) if stays else (paths[best][0] - L.SWITCH, paths[best][1])
+                following[k] = (value + score[k], [*path, k])
+            paths = following
+        if not words or not langs:
+            found[i] = (i, held[i], "und", 0.0)
+            continue
+        path = max(paths.values(), key=lambda p: p[0])[1]
+        votes = Counter()
+        for k, word in zip(path, words, strict=True):
+            votes[k] += len(word)
+        winner = max(langs, key=lambda k: (votes[k], -langs.index(k)))
+        found[i] = (i, held[i], winner, votes[winner] / votes.total())
+    return found
+
+
+def test_report_by_brute_force(stored, by_id):
+    rng = random.Random(8)
+    table = rows(90, seed=6)
+    for i in range(1000, 1060):
+        parts = [sentence(rng, rng.choice(list(SYLLABLES)), rng.randrange(1, 9)) for _ in range(4)]
+        table.append((i, "; ".join(parts).upper() if i % 3 else "\n1 ".join(parts), rng.choice([None, *SYLLABLES])))
+    table += [(2000, None, "aa"), (2001, "", None), (2002, "4 $", "bb"), (2003, "漢字 κόσμε", None), (None, "eau then", "cc")]
+    found, expected = by_id(L.language_report(stored(table, SCHEMA))), brute_force(table)
+    assert {i: tuple(r)[:3] for i, r in found.items()} == {i: e[:3] for i, e in expected.items()}
+    assert [found[i].score for i in expected] == pytest.approx([e[3] for e in expected.values()])
+    assert len({e[3] for e in expected.values()}) > 20
+
+
+def test_repeated_rows(stored):
+    table = [(1, "then ing", "aa"), (1, "then ing", "aa"), (1, "eauois", None), (2, "eau qu", "bb")]
+    found = L.language_report(stored(table, SCHEMA)).collect()
+    assert sorted(r.doc_id for r in found) == [1, 1, 1, 2]
+    by_rule = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in (1, 2)}
+    assert all(r.held_out == by_rule[r.doc_id] for r in found)
+
+
 def test_rejected_documents_go(stored):
     table = rows(40) + [(1000, None, None), (1001, "12", "aa")]
     docs = stored(table, SCHEMA)

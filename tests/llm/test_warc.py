@@ -64,6 +64,25 @@ def test_selected_records_are_read(spark, stored):
     assert {r.page_id: r.url for r in found}[2] == "http://b.example/%C3%A4%20b"
 
 
+def test_reads_are_dealt_by_bytes(spark):
+    """Every byte of archive belongs to one task, and tasks have as many, whatever the sizes of records and files."""
+    rows, sizes = [], {"b": [10] * 500, "a": [4000, 1, 7, 3000], "c": [100] * 30, "d": [1]}
+    for file, lengths in sizes.items():
+        offset = 0
+        for length in lengths:
+            rows.append((file, offset, length))
+            offset += length
+    index = spark.createDataFrame(rows, "file string, offset bigint, length bigint").repartition(5)
+    parts = [p for p in W.dealt(index, task_bytes=1000).rdd.glom().collect()]
+    assert len(parts) == -(-sum(map(sum, sizes.values())) // 1000)
+    assert sorted(tuple(r) for p in parts for r in p) == sorted(rows)
+    for part in parts:
+        assert sum(r.length for r in part[:-1]) <= 1000
+        assert part == sorted(part, key=lambda r: (r.file, r.offset))
+    assert W.dealt(index.where("false")).collect() == []
+    assert W.dealt(index).rdd.getNumPartitions() == 1  # too few bytes for more
+
+
 def test_small_payloads_need_not_be_revisits(stored):
     plan = W.record_plan(stored(PAGES, SCHEMA), min_revisit_bytes=11)
     assert {r.page_id for r in plan.where("revisit").collect()} == {7}
