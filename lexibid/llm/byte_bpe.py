@@ -17,6 +17,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +28,9 @@ PATTERN = public_tokenizers.PATTERN
 PORTION = 1 << 22
 #: A recursive query returns all its rounds: a word has a round per token at most, and words of one
 #: query stay below this sum of squared lengths.
-QUERY_SQUARES = 1_000_000
-#: Words a worker remembers at most.
-KNOWN_WORDS = 300_000
+QUERY_SQUARES = 4_000_000
+#: Words a worker remembers, in about 30 bytes each, besides those of the portion at hand.
+KNOWN_WORDS = 1_500_000
 #: Words longer than this are contracted in many places at once, so many rows per query.
 LONG_BYTES = 512
 LONG_ROWS = 4_000_000
@@ -37,37 +38,38 @@ LONG_ROWS = 4_000_000
 #: A token never holds a blank after something else, so every such place parts words. What lies
 #: between two of them is split by PATTERN alone, whatever surrounds it.
 STRETCH = re.compile(r"\s*\S+|\s+")
+#: Signs that PATTERN parts from the letters before them, and scripts whose letters are long settled.
+SIGNS = frozenset(".,;:!?")
+UNSETTLED = re.compile("[\u0530-\U0010ffff]")
 
 # Rows know the place and the token after them. The key of a pair is its rank and position in one
 # number, so a word's least key is its leftmost pair of minimum rank. Contracting it changes that
-# row and the one before and drops the one after; only changed rows look for a rank again.
+# row and the one before and drops the one after; only changed rows look for a rank again. Words
+# without a pair left come out in round -1.
 ENCODE = """
     WITH RECURSIVE bpe(round, word, pos, tok, next_pos, after, key) AS (
         SELECT 0, word, pos, tok, next_pos, after, (m.rank::bigint << 32) + pos
         FROM words LEFT JOIN merges m ON m.pair = tok::bigint * 65536 + after
         UNION ALL (
         WITH first AS (
-            SELECT word, min(key) AS key, arg_min(pos, key) AS pos, arg_min(next_pos, key) AS gone
-            FROM bpe GROUP BY word HAVING min(key) IS NOT NULL
+            SELECT word, min(key) AS key, arg_min(next_pos, key) AS gone
+            FROM bpe WHERE round >= 0 GROUP BY word HAVING min(key) IS NOT NULL
         ), contracted AS (
-            SELECT first.word, first.pos, gone, (first.key >> 32)::int AS tok, bpe.next_pos, bpe.after
+            SELECT first.word, (first.key & 4294967295)::int AS pos, gone, (first.key >> 32)::int AS tok, bpe.next_pos, bpe.after
             FROM first JOIN bpe ON bpe.word = first.word AND bpe.pos = gone
         ), changed AS (
-            SELECT round + 1 AS round, word, bpe.pos,
+            SELECT CASE WHEN gone IS NULL THEN -1 ELSE round + 1 END AS round, word, bpe.pos,
                 CASE WHEN bpe.pos = c.pos THEN c.tok ELSE bpe.tok END AS tok,
                 CASE WHEN bpe.pos = c.pos THEN c.next_pos ELSE bpe.next_pos END AS next_pos,
                 CASE WHEN bpe.pos = c.pos THEN c.after WHEN bpe.next_pos = c.pos THEN c.tok ELSE bpe.after END AS after,
                 key, bpe.pos = c.pos OR bpe.next_pos = c.pos AS is_new
-            FROM bpe JOIN contracted c USING (word) WHERE bpe.pos <> gone
+            FROM bpe LEFT JOIN contracted c USING (word) WHERE round >= 0 AND bpe.pos IS DISTINCT FROM gone
         )
         SELECT round, word, pos, tok, next_pos, after,
             CASE WHEN is_new THEN (m.rank::bigint << 32) + pos ELSE key END
         FROM changed LEFT JOIN merges m ON m.pair = CASE WHEN is_new THEN tok::bigint * 65536 + after END)
-    ), last AS (
-        SELECT word, max(round) AS round FROM bpe GROUP BY word
     )
-    SELECT array_to_string(list(tok ORDER BY pos), ',') AS ids
-    FROM bpe JOIN last USING (word, round) GROUP BY word ORDER BY word
+    SELECT array_to_string(list(tok ORDER BY pos), ',') AS ids FROM bpe WHERE round = -1 GROUP BY word ORDER BY word
 """
 
 # No token of the word's bytes is longer than {reach}. What could touch a pair before it is contracted
@@ -119,13 +121,69 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+def word_keys(words: list[str]) -> np.ndarray:
+    """128 bits of hash per word, as two numbers."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), dtype=np.uint64).reshape(-1, 2)
+
+
+class Store:
+    """Ids of words by their keys, in a few arrays and one buffer; beyond ``most`` the half used last stays."""
+
+    def __init__(self, most: int = KNOWN_WORDS):
+        self.most = most
+        self.clock = 0
+        self.keys = np.zeros((0, 2), dtype=np.uint64)  # by the first number
+        self.used = np.zeros(0, dtype=np.int32)
+        self.start = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int32)
+        self.buffer = b""
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is, -1 for unknown ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys[:, 0], keys[:, 0]), len(self.keys) - 1)
+        found = np.where((self.keys[at] == keys).all(axis=1), at, -1)
+        self.clock += 1
+        self.used[found[found >= 0]] = self.clock
+        return found
+
+    def ids(self, found: np.ndarray) -> list[str]:
+        """Ids of each word that was found, empty for the others."""
+        known = found >= 0
+        start = np.where(known, self.start[found] if len(self.start) else 0, 0)
+        end = start + np.where(known, self.size[found] if len(self.size) else 0, 0)
+        buffer = self.buffer
+        return [buffer[a:b].decode("ascii") for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+
+    def add(self, keys: np.ndarray, ids: list[str]) -> None:
+        if len(self.keys) + len(ids) > self.most:
+            self._keep(np.argsort(-self.used, kind="stable")[: self.most // 2])
+        size = np.array([len(own) for own in ids], dtype=np.int32)
+        start = len(self.buffer) + np.cumsum(size, dtype=np.int64) - size
+        order = np.argsort(keys[:, 0], kind="stable")
+        at = np.searchsorted(self.keys[:, 0], keys[order, 0])
+        self.keys = np.insert(self.keys, at, keys[order], axis=0)
+        self.used = np.insert(self.used, at, self.clock)
+        self.start = np.insert(self.start, at, start[order])
+        self.size = np.insert(self.size, at, size[order])
+        self.buffer += "".join(ids).encode("ascii")
+
+    def _keep(self, rows: np.ndarray) -> None:
+        rows = np.sort(rows)
+        kept = "".join(self.ids(rows)).encode("ascii")
+        self.keys, self.used, self.size = self.keys[rows], self.used[rows], self.size[rows]
+        self.start = np.cumsum(self.size, dtype=np.int64) - self.size
+        self.buffer = kept
+
+
 class Codec:
     """The tables of one vocabulary, and the words encoded so far, for one Python worker."""
 
     def __init__(self, ranks: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, str] = {}
+        self.known = Store()
         self.reach = max(map(len, self.ranks))
         self.byte_tokens = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
@@ -210,19 +268,34 @@ class Codec:
             settle()
         return encoded
 
+    def _words(self, stretch: str) -> list[str]:
+        """The matches of the pattern. Letters behind at most a blank, and a sign behind them, need not ask it."""
+        body = stretch[1:] if stretch[0] == " " else stretch
+        if stretch.isascii() or not UNSETTLED.search(stretch):
+            if body.isalpha():
+                return [stretch]
+            if body[-1:] in SIGNS and body[:-1].isalpha():
+                return [stretch[:-1], stretch[-1]]
+        return self.pattern.findall(stretch)
+
+    def _ids_of(self, words: list[str]) -> dict[str, str]:
+        """Ids of each word, those of new words by a query and all others from the store."""
+        keys = word_keys(words)
+        found = self.known.find(keys)
+        missing = np.flatnonzero(found < 0)
+        ids = self.known.ids(found)
+        new = self.encode_words([words[i] for i in missing])
+        for i, own in zip(missing.tolist(), new, strict=True):
+            ids[i] = own
+        self.known.add(keys[missing], new)
+        return dict(zip(words, ids, strict=True))
+
     def encode(self, texts: list[str]) -> list[str]:
         """Ids of each text, joined by commas; empty for an empty text."""
         stretches = [STRETCH.findall(text) for text in texts]
         distinct = list(set().union(*stretches))
-        # a blank and ASCII letters are one match of the pattern, which need not be asked
-        split = self.pattern.findall
-        parts = [[s] if s.isascii() and s[0] == " " and s[1:].isalpha() else split(s) for s in distinct]
-        new = list(set().union(*parts).difference(self.known))
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list(set().union(*parts))
-        self.known.update(zip(new, self.encode_words(new), strict=True))
-        known = self.known
+        parts = list(map(self._words, distinct))
+        known = self._ids_of(list(set().union(*parts)))
         ids = {
             s: known[words[0]] if len(words) == 1 else ",".join([known[w] for w in words])
             for s, words in zip(distinct, parts, strict=True)

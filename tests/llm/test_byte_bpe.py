@@ -93,3 +93,29 @@ def test_unknown_ids_are_an_error(codec):
 
 def test_empty_table(stored):
     assert B.round_trip_report(stored([])).collect() == [] and B.encode(stored([])).collect() == []
+
+
+def test_store_keeps_what_was_used_last():
+    store = B.Store(most=100)
+    words = [f"w{i}" for i in range(250)]
+    keys = B.word_keys(words)
+    ids = [",".join(str(i) for _ in range(i % 4 + 1)) for i in range(250)]
+    for first in range(0, 250, 10):
+        found = store.find(keys[first : first + 10])
+        assert (found == -1).all()
+        store.add(keys[first : first + 10], ids[first : first + 10])
+        assert (store.find(keys[:10]) >= 0).all() and len(store.keys) <= 100
+        assert store.ids(store.find(keys[first : first + 10])) == ids[first : first + 10]
+    known = store.find(keys)
+    assert [own for own in store.ids(known) if own] == [ids[i] for i in range(250) if known[i] >= 0]
+    assert B.Store().find(keys[:0]).tolist() == [] and B.Store().ids(B.Store().find(keys[:2])) == ["", ""]
+
+
+def test_words_are_those_of_the_pattern():
+    codec = B.Codec(B.read_ranks(B.VOCABULARY), B.PATTERN)
+    signs = ["", ",", ".", "?!", "'s", "'", "1", "²", "_", "é", "\u0301", "\u0531", "漢", "\n", " "]
+    for start in ("", " ", "  ", "\n", "\u00a0"):
+        for body in ("word", "Été", "жук", "ª", "x'll", "\u0250"):
+            for end in signs:
+                for stretch in B.STRETCH.findall(start + body + end):
+                    assert codec._words(stretch) == codec.pattern.findall(stretch), repr(stretch)
