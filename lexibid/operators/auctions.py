@@ -2,8 +2,8 @@
 
 Bids have at least ``auctionid``, ``item``, ``bid`` and ``price``. ``price`` is the closing
 price of the auction, not the amount of the bid. "Bids per item" for min, max and avg means
-bids per auction of that item. Averages of bids are rounded, so that they do not depend on
-how rows are spread over tasks.
+bids per auction of that item. Averages of bids are sums of doubles, whose last digits depend on
+how rows are spread over tasks; rounding hides that but for sums next to a rounding edge.
 """
 
 from pyspark.sql import Column, DataFrame

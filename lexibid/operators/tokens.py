@@ -31,6 +31,11 @@ def clean_words(texts: DataFrame, text: str = "text") -> DataFrame:
     return cleaned.where(F.col("word") != "")
 
 
+def token_count(line: str = "line") -> Column:
+    """How many tokens a line has; null for a null line."""
+    return _size(X.token_array(F.col(line)))
+
+
 def token_total(lines: DataFrame, name: str, line: str = "line") -> DataFrame:
     """One row, one column ``name``: how many rows ``tokens`` has, without making them."""
     return _total(lines, X.token_array(F.col(line)), name)
@@ -41,8 +46,12 @@ def word_total(texts: DataFrame, name: str, text: str = "text") -> DataFrame:
     return _total(texts, X.matching_token_array(F.col(text), fixed.WORD_TOKEN), name)
 
 
+def _size(array: Column) -> Column:
+    return F.when(array.isNotNull(), F.size(array)).cast("bigint")
+
+
 def _total(df: DataFrame, arrays: Column, name: str) -> DataFrame:
-    sizes = df.select(F.when(arrays.isNotNull(), F.size(arrays)).cast("bigint").alias("n"))
+    sizes = df.select(_size(arrays).alias("n"))
     return sizes.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias(name))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexibid import fixed
 from lexibid.functions import text as X
-from lexibid.operators.tokens import tokens
+from lexibid.operators.tokens import token_count
 
 
 def _membership(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
@@ -34,13 +34,25 @@ def corpus_summary(lines_a: DataFrame, lines_b: DataFrame, line: str = "line") -
     """All counts of a two-corpus comparison from one pass over each corpus.
 
     One row: tokens, words and distinct words of each corpus, words only in the first and
-    words in both. Tokens that are no words meet in the NULL group, one row per task.
+    words in both. Only words become rows; the first of a line brings the number of its tokens
+    along, and lines without words meet in the NULL group, one row per task.
     """
-    tok = F.col("tok")
-    word = F.when(X.matches_fully(tok, fixed.WORD_TOKEN), X.word_form(tok)).alias("word")
-    a = tokens(lines_a, line).select(word, F.lit(1).alias("a"), F.lit(0).alias("b"))
-    b = tokens(lines_b, line).select(word, F.lit(0).alias("a"), F.lit(1).alias("b"))
-    per_word = a.union(b).groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+    def counted(lines: DataFrame, own: str, other: str) -> DataFrame:
+        found = X.matching_token_array(F.col(line), fixed.WORD_TOKEN)
+        rows = lines.select(token_count(line).alias("n"), F.posexplode_outer(found).alias("i", "tok"))
+        is_first = F.coalesce("i", F.lit(0)) == 0
+        return rows.select(
+            X.word_form(F.col("tok")).alias("word"),
+            F.when(F.col("tok").isNotNull(), 1).otherwise(0).alias(own),
+            F.lit(0).alias(other),
+            F.when(is_first, F.col("n")).otherwise(0).alias(f"tokens_{own}"),
+            F.lit(0).cast("bigint").alias(f"tokens_{other}"),
+        )
+
+    counts = ["a", "b", "tokens_a", "tokens_b"]
+    both = counted(lines_a, "a", "b").unionByName(counted(lines_b, "b", "a"))
+    per_word = both.groupBy("word").agg(*(F.sum(c).alias(c) for c in counts))
 
     is_word, in_a, in_b = F.col("word").isNotNull(), F.col("a") > 0, F.col("b") > 0
 
@@ -48,8 +60,8 @@ def corpus_summary(lines_a: DataFrame, lines_b: DataFrame, line: str = "line") -
         return F.coalesce(F.sum(F.when(condition, column)), F.lit(0).cast("bigint"))
 
     return per_word.agg(
-        total(F.col("a")).alias("tokens_a"),
-        total(F.col("b")).alias("tokens_b"),
+        total(F.col("tokens_a")).alias("tokens_a"),
+        total(F.col("tokens_b")).alias("tokens_b"),
         total(F.col("a"), is_word).alias("words_a"),
         total(F.col("b"), is_word).alias("words_b"),
         F.count_if(is_word & in_a).alias("unique_words_a"),
