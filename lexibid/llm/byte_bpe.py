@@ -21,11 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexibid.llm.common import release_memory
+
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 #: Characters of text handled at once.
-PORTION = 1 << 22
+PORTION = 1 << 21
 #: A recursive query returns all its rounds: a word has a round per token at most, and words of one
 #: query stay below this sum of squared lengths.
 QUERY_SQUARES = 4_000_000
@@ -187,13 +189,7 @@ class Codec:
         self.reach = max(map(len, self.ranks))
         self.byte_tokens = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        splits = [
-            (self.ranks[t[:i]], self.ranks[t[i:]], rank)
-            for t, rank in self.ranks.items()
-            for i in range(1, len(t))
-            if t[:i] in self.ranks and t[i:] in self.ranks
-        ]
-        left, right, rank = np.array(splits, dtype=np.int64).reshape(-1, 3).T
+        left, right, rank = self._splits()
         restless = np.concatenate([part[part >= rank] for part in (left, right)])
         self._table(
             "merges",
@@ -202,6 +198,17 @@ class Codec:
         tokens = np.array(list(self.ranks.values()), dtype=np.int32)
         self._table("vocabulary", {"tok": tokens, "characters": [t.decode("latin-1") for t in self.ranks]})
 
+    def _splits(self) -> np.ndarray:
+        """All pairs of tokens that make another one: left, right and what they make."""
+        found = (
+            (self.ranks[t[:i]] << 40) + (self.ranks[t[i:]] << 20) + rank
+            for t, rank in self.ranks.items()
+            for i in range(1, len(t))
+            if t[:i] in self.ranks and t[i:] in self.ranks
+        )
+        packed = np.fromiter(found, dtype=np.int64)
+        return np.stack([packed >> 40, packed >> 20 & 0xFFFFF, packed & 0xFFFFF])
+
     def _table(self, name: str, columns: dict) -> None:
         self.duck.register("given", pa.table(columns))
         self.duck.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -402,7 +409,10 @@ REPORT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 def round_trip_report(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """Every text encoded and decoded again: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
-    Both ways in one pass: ids go from the encoder to the decoder within the task.
+    Both ways in one pass: ids go from the encoder to the decoder within the task. ``docs`` has at
+    least ``doc_id`` and ``text``; others are ignored. A null text is empty: no tokens, and digests
+    of nothing. Rows stand for themselves, repeated ones and those without id too; no rows give
+    none. Texts are encoded whole, however long; of pairs of one rank the leftmost goes first.
     """
     ranks = _shared_ranks(docs.sparkSession, vocabulary)
 
@@ -419,5 +429,6 @@ def round_trip_report(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: st
                     pa.array([hashlib.sha256(raw).hexdigest() for raw in codec.decode(arrays)], pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        release_memory()
 
     return _slim(docs, "text").mapInArrow(run, REPORT)

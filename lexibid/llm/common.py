@@ -1,5 +1,6 @@
 """Columns, tables and filters that several operators share."""
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -77,10 +78,18 @@ def intermediate_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/intermediate-{spark.sparkContext.applicationId}"
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new path among the intermediate ones."""
+    return f"{intermediate_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors.
+
+    The table stays until ``discard`` or ``remove_intermediate``.
+    """
     spark = df.sparkSession
-    path = f"{intermediate_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, name)
     with session_settings(spark, CLEAN_SHUFFLES):
         df.write.parquet(path)
     return spark.read.parquet(path)
@@ -143,6 +152,14 @@ def slices(batch: pa.RecordBatch, *columns: str, most: int = SLICE_BYTES) -> Ite
             yield batch.slice(begin, end - begin)
 
 
+def release_memory() -> None:
+    """Give memory that is free back to the system: workers live on, and others need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 @contextmanager
 def session_settings(spark: SparkSession, settings: dict[str, str]):
     """Settings for the jobs started inside; what was there before comes back."""

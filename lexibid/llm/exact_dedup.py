@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexibid.llm.common import (
     flag_members,
+    fresh_folder,
     located,
     lower_ascii,
     membership_filter,
@@ -23,7 +24,6 @@ from lexibid.llm.common import (
     text_or_empty,
     written,
 )
-from lexibid.sources.shared import fresh_output_path
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -34,6 +34,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     # Stores of many partitions are small each: no disk is set aside before it is needed.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # A store's memory is given back when its batch is done; what it holds is on disk.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     # Replays read two versions at most.
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
@@ -164,7 +166,7 @@ def exact_groups(
     exactly one row of a group stays. No rows give no groups.
     """
     rows = located(docs)
-    folder = fresh_output_path(docs.sparkSession, "dedup")
+    folder = fresh_folder(docs.sparkSession, "dedup")
     add_documents(rows, folder, digest, files_per_batch)
     return rows, groups(rows, folder, digest)
 

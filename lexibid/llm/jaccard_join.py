@@ -25,6 +25,7 @@ from lexibid.llm.common import (
     located,
     membership_filter,
     place,
+    release_memory,
     rows_without,
     session_settings,
     slices,
@@ -137,6 +138,8 @@ def frequency_order(texts: DataFrame) -> bytes:
             raw = [_narrow(own).tobytes() for own in blocks[first : first + ORDER_ROWS]]
             block = np.arange(first, first + len(raw), dtype=np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(raw, pa.binary())], ["block", "counts"])
+        del counts, blocks
+        release_memory()
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -201,6 +204,7 @@ def signatures(rows: DataFrame, order) -> DataFrame:
                 ],
                 ["doc_id", "file", "row", "n", "grp", "cls", "prefix"],
             )
+        release_memory()
 
     with session_settings(rows.sparkSession, SLICED_BATCHES):
         return written(rows.select("doc_id", "file", "row", "text").mapInArrow(sign, SIGNATURES), "jaccard-signatures")

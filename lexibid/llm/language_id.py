@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexibid.llm.common import release_memory
 from lexibid.llm.lockstep import groups
 
 UNDETERMINED = "und"
@@ -51,9 +52,9 @@ SCRIPT_SHARE = 0.01
 SWITCH = 10.0
 #: Characters scored at once, and characters of texts labelled together.
 PIECE = 1 << 18
-PORTION = 1 << 20
+PORTION = 1 << 22
 #: Words labelled side by side.
-VITERBI_WORDS = 1 << 18
+VITERBI_WORDS = 1 << 20
 
 LAST = 0x323AF
 BLANK = 32
@@ -315,6 +316,7 @@ def language(text: Column, model: Model) -> Column:
             own_names, own_scores = documents_of(labelled_words(portion, shared.value), shared.value)
             names += own_names
             scores.append(own_scores)
+        release_memory()
         return pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": np.concatenate(scores)})
 
     return identify(text)

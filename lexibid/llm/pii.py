@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexibid.llm import spans as S
-from lexibid.llm.common import located, text_or_empty, written
+from lexibid.llm.common import discard, located, text_or_empty, written
 
 # What is looked for, in this order. A match begins where a run of its characters
 # does or where the last match ended: elsewhere no attempt could succeed that failed before.
@@ -207,10 +207,12 @@ def score_identifiers(edges: DataFrame, rounds: int | None = None, forms: dict[s
             for kind in KINDS
         ]
         raised = scores.join(best, "identifier", "left").select("identifier", "seed_kind", *raised, *map(_given, KINDS))
-        scores = written(raised.select("identifier", "seed_kind", *map(_score, KINDS), *accepted), "pii-scores")
+        earlier, scores = scores, written(raised.select("identifier", "seed_kind", *map(_score, KINDS), *accepted), "pii-scores")
+        discard(earlier, patterns)
         before, discovered = discovered, scores.select(F.sum(sum(F.when(F.col(_given(k)) > 0, 1).otherwise(0) for k in KINDS))).first()[0]
         if discovered == before:
             break
+    discard(edges)
     return scores.drop(*map(_given, KINDS))
 
 
@@ -237,7 +239,11 @@ def personal_data(docs: DataFrame, rounds: int | None = None) -> DataFrame:
 
     Both are arrays of ``start, end, rank, kind, found`` sorted by kind, then start. ``base`` are the
     known formats, ``spans`` has in addition the candidates found by their context, which
-    overlap none of those. A null text is empty and has no spans. Texts are read once.
+    overlap none of those. Of kinds that explain a candidate equally well the first counts. An address
+    of a machine has no looser form, so none is ever discovered. A null text is empty and has no
+    spans. Rows stand for themselves, repeated ones and those without id too, but an identifier
+    counts once per pattern however often it is repeated. No rows give none. Whole texts are read,
+    once; only CONTEXT characters around a mention become patterns.
     """
     rows = located(docs)
     text = F.col("text")
@@ -279,10 +285,11 @@ def personal_data(docs: DataFrame, rounds: int | None = None) -> DataFrame:
 
 
 def personal_data_report(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans``."""
+    """One row per document: ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans``."""
     return personal_data(docs).select(
         "doc_id",
         *(S.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS),
         F.sha2(S.joined(F.col("base")), 256).alias("base_sha256"),
         S.joined(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )

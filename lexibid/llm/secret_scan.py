@@ -198,10 +198,11 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans``."""
+    """One row per document: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_spans``."""
     return secrets(docs).select(
         "doc_id",
         *(S.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS[:3]),
         F.sha2(S.joined(F.col("base")), 256).alias("base_sha256"),
         S.joined(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )

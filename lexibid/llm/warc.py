@@ -18,8 +18,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexibid.llm.common import located, rows_without, text_or_empty, written
-from lexibid.sources.shared import fresh_output_path
+from lexibid.llm.common import fresh_folder, located, rows_without, text_or_empty, written
 
 ID = "urn:x-page:"
 DATE = "1970-01-01T00:00:00Z"
@@ -306,7 +305,7 @@ def round_trip_report(pages: DataFrame) -> DataFrame:
 
     See ``record_plan`` for nulls, repeated rows and ties.
     """
-    folder = fresh_output_path(pages.sparkSession, "warc")
+    folder = fresh_folder(pages.sparkSession, "warc")
     index = write_archives(record_plan(pages), folder)
     return read_records(index, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import duckdb
@@ -47,3 +48,50 @@ def test_stages(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs.limit(20), SF_DIR)
         assert out.schema == docs.schema
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def some_rows(n=60):
+    rng = random.Random(4)
+    vocabulary = [f"w{c}{d}" for c in "abcdefgh" for d in "ijklmnop"]
+    rows = [(1000, None, "en", "s1", None), (1001, "", None, "s1", 0), (1002, "12 34", "en", None, 5)]
+    for i in range(n):
+        words = rng.choices(vocabulary, k=rng.choice([1, 3, 5, 20, 60]))
+        source = rng.choice([None, "", "s1", "hot", "hot"])
+        rows.append((3 * i, " ".join(words), rng.choice([None, "en", "de"]), source, 7))
+        if i % 4 == 0:
+            rows.append((3 * i + 1, " ".join(words).upper(), "en", source, 7))
+        if i % 5 == 0:
+            rows.append((3 * i + 2, " ".join([*words, "more"]), "en", source, 7))
+    return [*rows, (2000, "long " * 30_000, "en", "s1", 1)]
+
+
+def result(spark, folder):
+    return Counter(map(tuple, corpus_pipeline.run(spark, str(folder)).collect()))
+
+
+def test_nulls_long_texts_and_clashing_names(spark, stored, tmp_path):
+    rows = some_rows()
+    stored(rows, SCHEMA)
+    assert result(spark, tmp_path) == brute_force({k: (t, s) for k, t, _, s, _ in rows})
+
+
+def test_repeated_rows_change_nothing(spark, stored, tmp_path):
+    rows = some_rows(12)
+    stored([*rows, *rows[::2], *rows[::3]], SCHEMA)
+    assert result(spark, tmp_path) == brute_force({k: (t, s) for k, t, _, s, _ in rows})
+
+
+def test_rows_without_id_stay(spark, stored, tmp_path):
+    rows = [(None, "alpha beta gamma delta epsilon zeta", "en", "s", 1), (None, None, "en", "s", 1), *some_rows(12)]
+    stored(rows, SCHEMA)
+    found = result(spark, tmp_path)
+    assert sum(n for row, n in found.items() if row[0] is None) >= 1
+    assert {row[0] for row in found} <= {r[0] for r in rows}
+
+
+def test_empty_table(spark, stored, tmp_path):
+    stored([], SCHEMA)
+    assert result(spark, tmp_path) == {}

@@ -153,3 +153,31 @@ def test_missing_ids_and_empty_table(stored):
     found = X.secret_report(stored(rows)).collect()
     assert sorted((r.doc_id or 0, r.n_assign) for r in found) == [(0, 1), (1, 0), (1, 0)]
     assert X.secret_report(stored([], name="none")).collect() == []
+
+
+def test_allowed_forms_have_no_largest_length(spark):
+    """Hundreds of words in camel case, hundreds of parts of a path, and a value behind many names."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(3, 9))) for _ in range(900)]
+    camel, path = "".join(w.capitalize() for w in words), "/".join(words)
+    named = "=".join(words[:60]) + "=" + MIXED
+    df = spark.createDataFrame([("x " + s,) for s in (camel, path, named)], "text string").selectExpr("1L AS doc_id", "text")
+    found = [r.spans for r in X.secret_report(df).collect()]
+    assert found[:2] == ["", ""] and found[2].endswith(f":{2 + len(named)}")
+
+
+@pytest.mark.parametrize(
+    ("alphabet", "length", "least"),
+    [
+        ("0123456789abcdef", 24, 0.95),
+        ("abcdefghijklmnopqrstuvwxyz0123456789", 32, 0.95),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32, 0.9),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40, 0.95),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 32, 0.55),
+    ],
+)
+def test_recall_of_random_strings(spark, alphabet, length, least):
+    rng = random.Random(length)
+    rows = [(i, "see " + "".join(rng.choices(alphabet, k=length)) + " there") for i in range(200)]
+    found = X.secret_report(spark.createDataFrame(rows, "doc_id bigint, text string")).where("n_spans > 0").count()
+    assert found >= least * len(rows)
