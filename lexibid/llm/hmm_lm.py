@@ -158,13 +158,14 @@ def _by_block(batches, rows, block_chars: int):
 @dataclass(frozen=True)
 class Corpus:
     """What was counted: training tokens, distinct ones, texts, the frequent words' counts by code,
-    and per class the weight of its known words."""
+    per class the weight of its known words, and blocks."""
 
     tokens: int
     distinct: int
     texts: int
     frequent: list[int]
     class_weight: np.ndarray
+    blocks: int
 
     @property
     def whole(self) -> float:
@@ -212,7 +213,7 @@ def counted(table: DataFrame) -> tuple[DataFrame, Corpus]:
     spark = table.sparkSession
     words = table.where("word is not null")
     known = written(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
-    texts = table.where("learn").count()
+    texts, n_blocks = table.where("ids is not null").agg(F.count_if("learn"), F.count_distinct("block")).first()
     frequent = most_frequent(known)
     codes = spark.createDataFrame([(row.word, 1 + i) for i, row in enumerate(frequent)], "word string, code int")
     coded = known.join(F.broadcast(codes), "word", "left")  # FREQUENT rows
@@ -221,7 +222,9 @@ def counted(table: DataFrame) -> tuple[DataFrame, Corpus]:
     rare = coded.where("code is null").groupBy(_word_class().alias("class"))
     for row in rare.agg(F.sum(F.col("c") + F.lit(UNSEEN)).alias("weight")).collect():  # CLASSES rows
         class_weight[row["class"]] = row.weight
-    corpus = Corpus((sums[0] or 0) + texts, sums[1] + (texts > 0), texts, [row.c for row in frequent], class_weight)
+    corpus = Corpus(
+        (sums[0] or 0) + texts, sums[1] + (texts > 0), texts, [row.c for row in frequent], class_weight, n_blocks
+    )
     rows = written(
         words.select("block", "idx", "word")
         .join(coded, "word", "left")
@@ -249,7 +252,13 @@ def _texts_of(table: DataFrame) -> DataFrame:
     return table.where("ids is not null").select("block", "doc_id", "held_out", "learn", "ids")
 
 
-def training_codes(table: DataFrame, words: DataFrame) -> DataFrame:
+def _by_blocks(texts: DataFrame, words: DataFrame, corpus: Corpus):
+    """Texts and words of each block together: as many partitions as blocks, so a task has a few, whatever the input."""
+    sides = (side.repartition(max(1, corpus.blocks), "block").groupBy("block") for side in (texts, words))
+    return next(sides).cogroup(next(sides))
+
+
+def training_codes(table: DataFrame, words: DataFrame, corpus: Corpus) -> DataFrame:
     """``codes`` of every text to learn from, its end included."""
 
     def encode(texts_of: pa.Table, words_of: pa.Table) -> pa.Table:
@@ -257,8 +266,8 @@ def training_codes(table: DataFrame, words: DataFrame) -> DataFrame:
         found = [np.append(code[np.frombuffer(raw, dtype=np.int32)], np.uint16(END)) for raw in texts_of.column("ids").to_pylist()]
         return pa.table([pa.array([own.tobytes() for own in found], pa.binary())], ["codes"])
 
-    texts = _texts_of(table).where("learn").groupBy("block")
-    joined = texts.cogroup(words.select("block", "idx", "code").groupBy("block")).applyInArrow(encode, "codes binary")
+    texts = _texts_of(table).where("learn")
+    joined = _by_blocks(texts, words.select("block", "idx", "code"), corpus).applyInArrow(encode, "codes binary")
     return written(joined, "lm-codes")
 
 
@@ -427,7 +436,7 @@ def _with_ends(ids: list[np.ndarray], end: int) -> np.ndarray:
     return np.concatenate([part for own in ids for part in (own, [end])]).astype(np.int64)
 
 
-def word_shares(table: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+def word_shares(table: DataFrame, words: DataFrame, model: Model, corpus: Corpus) -> DataFrame:
     """The last round: in which states every learned word is, over all training texts.
 
     ``key, c, e0, e1`` and so on: the word's hash, its count, and its expected count in each state. A block sends
@@ -450,9 +459,9 @@ def word_shares(table: DataFrame, words: DataFrame, model: Model) -> DataFrame:
         packed = np.ascontiguousarray(share).view(np.int64)[:, 0]
         return pa.table([pa.array(key[used]), pa.array(count[used]), pa.array(packed)], ["key", "n", "packed"])
 
-    texts = _texts_of(table).where("learn").groupBy("block")
-    known = words.select("block", "idx", "code", "key").groupBy("block")
-    rows = texts.cogroup(known).applyInArrow(expect, "key bigint, n bigint, packed bigint")
+    texts = _texts_of(table).where("learn")
+    together = _by_blocks(texts, words.select("block", "idx", "code", "key"), corpus)
+    rows = together.applyInArrow(expect, "key bigint, n bigint, packed bigint")
     states = [F.expr(f"sum(n * (shiftright(packed, {8 * k}) & 255))").alias(f"e{k}") for k in range(STATES)]
     sums = rows.groupBy("key").agg(F.sum("n").alias("c"), *states)
     total = F.expr(" + ".join(f"e{k}" for k in range(STATES)))
@@ -553,7 +562,7 @@ def scored(table: DataFrame, words: DataFrame, leanings: DataFrame, known: Emiss
     kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     own = words.select("block", "idx", "c", "key").join(leanings, "key", "left")
     known_words = own.select("block", "idx", "c", F.coalesce("packed", F.lit(0).cast("bigint")).alias("packed"))
-    return _texts_of(table).groupBy("block").cogroup(known_words.groupBy("block")).applyInArrow(run, kinds)
+    return _by_blocks(_texts_of(table), known_words, corpus).applyInArrow(run, kinds)
 
 
 def score_report(docs: DataFrame) -> DataFrame:
@@ -567,10 +576,10 @@ def score_report(docs: DataFrame) -> DataFrame:
     """
     table = blocks(docs)
     words, corpus = counted(table)
-    codes = training_codes(table, words)
+    codes = training_codes(table, words, corpus)
     model = baum_welch(codes, corpus)
     discard(codes)
-    leanings, known = emissions(word_shares(table, words, model), model)
+    leanings, known = emissions(word_shares(table, words, model, corpus), model)
     return scored(table, words, leanings, known, corpus).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(corpus.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )

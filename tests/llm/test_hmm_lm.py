@@ -98,7 +98,7 @@ def test_counts_and_base_scores_by_brute_force(stored, by_id):
 def test_training_makes_texts_more_likely(stored):
     table = H.blocks(stored(corpus(120)))
     words, counted = H.counted(table)
-    learn = H.training_codes(table, words)
+    learn = H.training_codes(table, words, counted)
     raw = [np.frombuffer(r.codes, dtype=np.uint16).astype(np.int64) for r in learn.collect()]
     totals = []
     for rounds in range(4):
@@ -117,7 +117,8 @@ def test_blocks_do_not_change_counts(stored):
         known = words.groupBy("key").agg({"c": "max", "code": "max"}).collect()
         found.append((counted.tokens, counted.distinct, counted.texts, counted.frequent, sorted(map(tuple, known))))
         assert counted.class_weight.sum() == 0
-        assert table.select("block").distinct().count() == (2 if block_chars > 200 else pytest.approx(20, abs=18))
+        assert counted.blocks == table.select("block").distinct().count()
+        assert counted.blocks == (2 if block_chars > 200 else pytest.approx(20, abs=18))
     assert found[0] == found[1]
 
 
@@ -166,7 +167,7 @@ def test_scores_by_brute_force(stored, by_id, monkeypatch):
     docs = stored(rows, files=1)
     table = H.blocks(docs)
     words_of, counted = H.counted(table)
-    model = H.baum_welch(H.training_codes(table, words_of), counted)
+    model = H.baum_welch(H.training_codes(table, words_of, counted), counted)
     code = {r.key: r.code for r in words_of.collect()}
 
     held = {k: k is not None and zlib.crc32(str(k).encode()) % 5 == 1 for k, _ in rows}
