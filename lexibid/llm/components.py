@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexibid.llm.common import written
+from lexibid.llm.common import discard, written
 
 
 def smallest_labels(links: DataFrame) -> DataFrame:
@@ -32,6 +32,8 @@ def smallest_labels(links: DataFrame) -> DataFrame:
             ),
             "labels",
         )
-        if moved.where("changed").isEmpty():
-            return moved.select("node", "label")
+        discard(labels)
         labels = moved.select("node", "label")
+        if moved.where("changed").isEmpty():
+            discard(both)
+            return labels

@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 
 from lexibid.llm.common import (
     SLICED_BATCHES,
+    discard,
     flag_members,
     located,
     membership_filter,
@@ -259,7 +260,9 @@ def shared_postings(signed: DataFrame, classes: DataFrame) -> DataFrame:
     maybe = flag_members(postings, "token", membership_filter(pivots, "token")).where("_maybe").drop("_maybe")
     frequent_first = Window.partitionBy("grp").orderBy(F.desc("df"), F.desc("token"))
     rows = maybe.join(pivots, "token").withColumn("left", F.row_number().over(frequent_first))
-    return written(rows.select("token", "grp", "n", "pivot", "left"), "jaccard-postings")
+    found = written(rows.select("token", "grp", "n", "pivot", "left"), "jaccard-postings")
+    discard(pivots)
+    return found
 
 
 def class_table(signed: DataFrame) -> DataFrame:
@@ -313,7 +316,9 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     with_a = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     with_both = with_a.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
     with session_settings(rows.sparkSession, SLICED_BATCHES):
-        return written(with_both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary"), "jaccard-links")
+        found = written(with_both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary"), "jaccard-links")
+    discard(wanted, texts)
+    return found
 
 
 def _pivot_pairs(postings: DataFrame, classes: DataFrame) -> DataFrame:
@@ -407,7 +412,9 @@ def _open_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame) -> D
     members = placed.join(split, "grp", "left_semi")
     c, d = (members.select("grp", F.col("label").alias(f"label_{x}"), F.col("cls").alias(x)) for x in "ab")
     within = c.join(d, "grp").where("label_a < label_b").select("a", "b")
-    return written(across.union(within).distinct(), "jaccard-pairs")
+    pairs = written(across.union(within).distinct(), "jaccard-pairs")
+    discard(rows)
+    return pairs
 
 
 def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -571,9 +578,15 @@ def signed_components(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     classes = class_table(signed)
     postings = shared_postings(signed, classes)
 
-    links = verified(_pivot_pairs(postings, classes), classes, rows)
-    more = verified(_open_pairs(postings, classes, smallest_labels(links)), classes, rows)
-    return signed, classes, smallest_labels(links.union(more))
+    pairs = _pivot_pairs(postings, classes)
+    links = verified(pairs, classes, rows)
+    so_far = smallest_labels(links)
+    open_pairs = _open_pairs(postings, classes, so_far)
+    discard(pairs, postings, so_far)
+    more = verified(open_pairs, classes, rows)
+    labels = smallest_labels(links.union(more))
+    discard(open_pairs, links, more)
+    return signed, classes, labels
 
 
 def _of_rows(signed: DataFrame, of_class: DataFrame) -> DataFrame:
