@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexibid.llm.common import SLICED_BATCHES, discard, session_settings, slices, text_or_empty, written
+from lexibid.llm.common import SLICED_BATCHES, discard, release_memory, session_settings, slices, text_or_empty, written
 from lexibid.llm.lockstep import groups
 
 # The held-out fold (remainder and modulus) and the weight of what was never seen.
@@ -121,6 +121,7 @@ def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
                 )
 
         yield from _by_block(batches, rows, block_chars)
+        release_memory()
 
     NAMES = [field.split()[0] for field in BLOCKS.split(", ")]
     slim = docs.select(
@@ -390,6 +391,7 @@ def baum_welch(texts: DataFrame, corpus: Corpus, rounds: int = ROUNDS) -> Model:
                 [pa.array(rows.astype(np.int32)), *(pa.array(whole[rows, k]) for k in range(STATES))],
                 ["slot", *STATE_COLUMNS],
             )
+            release_memory()
 
         kinds = ", ".join(f"{c} bigint" for c in STATE_COLUMNS)
         sums = (
