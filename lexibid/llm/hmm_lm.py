@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,10 @@ HISTOGRAM_STEPS = 16
 #: Characters in a block, and tokens worked through side by side.
 BLOCK_CHARS = 1 << 25
 LOCKSTEP_TOKENS = 1 << 18
+#: Chances are scaled at every so many tokens: in between they stay far above the least double.
+SCALE_STEPS = 8
+#: Tokens that are met with those before them at once.
+PAIRS_AT_ONCE = 1 << 14
 
 END = 0
 CODES = 1 + FREQUENT + CLASSES
@@ -56,7 +61,15 @@ END_WORD = ""
 SHARES = 255
 LEAN_STEPS, LEAN_LEAST = 16, -8
 
-BLOCKS = "block string, doc_id bigint, held_out boolean, learn boolean, ids binary, idx int, word string, n bigint"
+BLOCKS = "block bigint, doc_id bigint, held_out boolean, learn boolean, ids binary, idx int, word string, n bigint"
+
+
+class _Numbers(dict):
+    """Words by when they were first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 def _no(count: int, kind: pa.DataType) -> pa.Array:
@@ -73,16 +86,14 @@ def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
 
     def encode(batches):
         def rows(held):
-            block = uuid.uuid4().hex
-            vocabulary: dict[bytes, int] = {}
+            block = uuid.uuid4().int >> 65
+            vocabulary = _Numbers()
             counts = np.zeros(0, dtype=np.int64)
             for batch in held:
                 learn, encoded = batch.column("learn").to_pylist(), []
                 for text, own in zip(batch.column("text").to_pylist(), learn, strict=True):
                     words = text.encode().lower().split()
-                    ids = np.fromiter(
-                        (vocabulary.setdefault(w, len(vocabulary)) for w in words), dtype=np.int32, count=len(words)
-                    )
+                    ids = np.fromiter(map(vocabulary.__getitem__, words), dtype=np.int32, count=len(words))
                     encoded.append(ids.tobytes())
                     if len(vocabulary) > len(counts):
                         counts = np.append(counts, np.zeros(len(vocabulary) - len(counts) + (1 << 16), dtype=np.int64))
@@ -91,7 +102,7 @@ def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([block] * n),
+                        pa.array(np.full(n, block)),
                         batch.column("doc_id"),
                         batch.column("held_out"),
                         batch.column("learn"),
@@ -108,13 +119,13 @@ def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
                 m = len(part)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([block] * m),
+                        pa.array(np.full(m, block)),
                         _no(m, pa.int64()),
                         _no(m, pa.bool_()),
                         _no(m, pa.bool_()),
                         _no(m, pa.binary()),
                         pa.array(np.arange(start, start + m, dtype=np.int32)),
-                        pa.array([w.decode() for w in part], pa.string()),
+                        pa.array(part, pa.binary()).cast(pa.string()),
                         pa.array(counts[start : start + m]),
                     ],
                     NAMES,
@@ -149,7 +160,7 @@ def _by_block(batches, rows, block_chars: int):
             size = 0
             while following is not None and size < block_chars:
                 batch = following
-                size += sum(map(len, batch.column("text").to_pylist()))
+                size += pc.sum(pc.utf8_length(batch.column("text"))).as_py()
                 following = next(source, None)
                 yield batch
 
@@ -283,23 +294,28 @@ def starting_model(weights: np.ndarray) -> Model:
 
 
 def forward(model: Model, codes: np.ndarray, counts: np.ndarray):
-    """Per group of texts: the group, scaled state chances and scales of every token, log likelihoods."""
+    """Per group of texts: the group, scaled state chances and scales of every token, log likelihoods.
+
+    Chances are scaled to one in all at every SCALE_STEPS-th token and at a text's last one; elsewhere the scale is 1.
+    """
     total = np.ones((STATES, 1))
     for group in groups(counts, LOCKSTEP_TOKENS):
         emitted = model.emit[codes[group.items]]
         chances = np.empty_like(emitted)
-        scales = np.empty((len(emitted), 1))
+        scales = np.ones((len(emitted), 1))
         bounds = group.slices.tolist()
+        going_on = [*group.active.tolist()[1:], 0]
         before = chances[:0]
-        for t, (begin, end) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        for t, (begin, end, n) in enumerate(zip(bounds[:-1], bounds[1:], going_on, strict=True)):
             own = chances[begin:end]
             if t:
-                np.matmul(before[: end - begin], model.after, out=own)
+                np.dot(before[: end - begin], model.after, out=own)
                 own *= emitted[begin:end]
             else:
                 np.multiply(model.first, emitted[begin:end], out=own)
-            scale = np.matmul(own, total, out=scales[begin:end])
-            own /= scale
+            first = begin if t % SCALE_STEPS == 0 else begin + n
+            if first < end:
+                chances[first:end] /= np.dot(chances[first:end], total, out=scales[first:end])
             before = own
         yield group, emitted, chances, scales[:, 0]
 
@@ -322,28 +338,30 @@ def expected_counts(
     """
     first, after = np.zeros(STATES), np.zeros((STATES, STATES))
     slots, size = (codes, len(model.emit)) if slots is None else (slots, size)
-    emit = np.zeros((size, STATES))
+    emit = np.zeros((STATES, size))
+    back = model.after.T.copy()
     for group, emitted, chances, scales in forward(model, codes, counts):
         # From the back: what emits and follows, over what was seen, then the chances given the whole text.
         ahead = emitted
         ahead /= scales[:, None]
-        back = model.after.T.copy()
+        later = np.ones_like(chances)
         bounds = group.slices.tolist()
-        later = ahead[:0]
         for t in range(group.steps - 1, 0, -1):
             begin, end = bounds[t], bounds[t + 1]
-            ahead[begin : begin + len(later)] *= later
-            chances[begin : begin + len(later)] *= later
-            own, before = ahead[begin:end], chances[bounds[t - 1] : bounds[t - 1] + end - begin]
-            after += before.T @ own
-            later = own @ back
-        chances[: len(later)] *= later
-        share = chances
-        first += share[group.at(0)].sum(axis=0)
+            own = ahead[begin:end]
+            own *= later[begin:end]
+            np.dot(own, back, out=later[bounds[t - 1] : bounds[t - 1] + end - begin])
+        # a token's place in its text, one before, is as far behind as that place has texts
+        for begin in range(bounds[1], len(ahead), PAIRS_AT_ONCE):
+            rows = np.arange(begin, min(begin + PAIRS_AT_ONCE, len(ahead)))
+            place = np.searchsorted(group.slices, rows, side="right") - 1
+            after += chances[rows - group.active[place - 1]].T @ ahead[rows]
+        share = np.multiply(chances.T, later.T, out=np.empty((STATES, len(chances))))
+        first += share[:, group.at(0)].sum(axis=1)
         own = slots[group.items]
         for k in range(STATES):
-            emit[:, k] += np.bincount(own, weights=share[:, k], minlength=size)
-    return first, after * model.after, emit
+            emit[k] += np.bincount(own, weights=share[k], minlength=size)
+    return first, after * model.after, emit.T
 
 
 def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -442,7 +460,7 @@ def word_shares(table: DataFrame, words: DataFrame, model: Model) -> DataFrame:
         code, key = _column(words_of, "code", np.int64), _column(words_of, "key", np.int64)
         code, key = np.append(code, END), np.append(key, end_key)
         size = len(key)
-        emit, count = np.zeros((size, STATES)), np.zeros(size, dtype=np.int64)
+        emit, count = np.zeros((STATES, size)).T, np.zeros(size, dtype=np.int64)
         for _, ids, counts in _parts(texts_of):
             slots = _with_ends(ids, size - 1)
             emit += expected_counts(shared.value, code[slots], counts, slots, size)[2]

@@ -67,6 +67,37 @@ def test_expected_counts_by_brute_force():
         np.testing.assert_allclose(ours, theirs, atol=1e-12)
 
 
+@pytest.mark.parametrize("steps", [1, 3, 8])
+def test_chances_scaled_now_and_then(monkeypatch, steps):
+    """Texts of all lengths together: as the textbook has it, with slots of their own and wherever chances are scaled."""
+    monkeypatch.setattr(H, "SCALE_STEPS", steps)
+    monkeypatch.setattr(H, "PAIRS_AT_ONCE", 5)
+    monkeypatch.setattr(H, "LOCKSTEP_TOKENS", 60)
+    model = random_model()
+    model.emit[:] *= 1e-12  # words as rare as in a very large corpus
+    rng = np.random.default_rng(4)
+    counts = np.array([1, 2, 9, 8, 40, 17, 1, 25])
+    codes = rng.integers(0, H.CODES, counts.sum())
+    slots = rng.integers(0, 11, counts.sum())
+    emit, scores = np.zeros((11, H.STATES)), []
+    for own, slot in zip(*(np.split(x, np.cumsum(counts)[:-1]) for x in (codes, slots)), strict=True):
+        score, chances = plain_forward(model.first, model.after, model.emit[own])
+        scores.append(score)
+        np.add.at(emit, slot, chances)
+    first, after, found = H.expected_counts(model, codes, counts, slots, 11)
+    np.testing.assert_allclose(found, emit, atol=1e-10)
+    assert first.sum() == pytest.approx(len(counts)) and after.sum() == pytest.approx(counts.sum() - len(counts))
+    assert H.log10_likelihoods(model, codes, counts) == pytest.approx(scores, rel=1e-12)
+    scaled = sum(int((scales != 1).sum()) for *_, scales in H.forward(model, codes, counts))
+    assert scaled == sum(t % steps == 0 or t == n - 1 for n in counts for t in range(n))
+
+
+def test_blocks_are_named_by_numbers(stored):
+    """A row of a word is sorted and sent with its block's name, thrice."""
+    table = H.blocks(stored(corpus(30)))
+    assert dict(table.dtypes)["block"] == "bigint" and table.where("block is null").isEmpty()
+
+
 def corpus(n=200, seed=1):
     """Two made-up languages, and some texts that mix them."""
     rng = random.Random(seed)
