@@ -14,6 +14,7 @@ and every two blocks meet in a task of their own.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ UNIT_COLUMNS = ["grp", "k", "block", "label", "cls", "size"]
 DENSE = 256
 MATRIX_COLUMNS = 1 << 10
 PAIRS_AT_ONCE = 1 << 20
-#: Words whose hashes a worker remembers at most.
-KNOWN_WORDS = 1 << 16
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 #: A group's number has its usualness in the upper bits and a hash below.
 HASH_BITS = 52
 MOST_USUAL = (1 << (63 - HASH_BITS)) - 1
@@ -66,17 +67,8 @@ def _odd_numbers() -> np.ndarray:
 
 
 MULTIPLIERS = _odd_numbers()
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
+SEED = MULTIPLIERS[0]
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -86,23 +78,70 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text; empty without words.
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one text after another, and how many words each has.
 
-    A-Z is lower case and words end at ASCII blanks, as bytes have it.
+    A-Z is lower case and words end at ASCII blanks. A word is hashed by eight bytes at a time,
+    the same step for many words at once, and a long one by itself.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
-    if len(words) < WORDS:
-        whole = (hashes * MULTIPLIERS[: len(words)]).sum(dtype=np.uint64) + np.uint64(len(words))
-        return _mixed(np.array([whole], dtype=np.uint64))
-    last = len(words) - WORDS + 1
-    sums = hashes[:last] * MULTIPLIERS[0]
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words = lists.flatten()
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    start, size = ends[:-1], np.diff(ends)
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    whole = size > 0  # blanks at either end of a text leave an empty string there
+    start, size, owner = start[whole], size[whole], owner[whole]
+    raw = words.buffers()[2]
+    raw = np.append(np.frombuffer(raw, dtype=np.uint8) if raw else np.zeros(0, dtype=np.uint8), np.zeros(8, dtype=np.uint8))
+    eight = np.ndarray((len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,))
+    hashes = size.astype(np.uint64)
+    live, at = np.arange(len(size)), start
+    left = np.where(size <= LONG_WORD, size, 0)
+    while len(live):
+        more = left > 0
+        live, at, left = live[more], at[more], left[more]
+        hashes[live] = _mixed((hashes[live] + SEED) ^ (eight[at] & FIRST_BYTES[np.minimum(left, 8)]))
+        at, left = at + 8, left - 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(raw[start[i] : start[i] + size[i]])
+    return hashes, np.bincount(owner, minlength=len(lists))
+
+
+def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the distinct shingles of all texts, sorted within each, and how many each text has."""
+    hashes, words = word_hashes(texts)
+    begin = np.cumsum(words) - words
+    padded = np.append(hashes, np.zeros(WORDS - 1, dtype=np.uint64))
+    sums = hashes * MULTIPLIERS[0]
     for i in range(1, WORDS):
-        sums += hashes[i : last + i] * MULTIPLIERS[i]
-    return np.unique(_mixed(sums))
+        sums += padded[i : len(hashes) + i] * MULTIPLIERS[i]
+    short = np.flatnonzero((words > 0) & (words < WORDS))
+    whole = words[short].astype(np.uint64)
+    for i in range(WORDS - 1):
+        has = words[short] > i
+        whole[has] += hashes[begin[short[has]] + i] * MULTIPLIERS[i]
+    sums[begin[short]] = whole
+
+    sizes = np.where(words < WORDS, np.minimum(words, 1), words - WORDS + 1)
+    ends = np.cumsum(sizes)
+    found = _mixed(sums[np.repeat(begin - (ends - sizes), sizes) + np.arange(sizes.sum())])
+    for first, last in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        found[first:last].sort()
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = found[1:] != found[:-1]
+    new[(ends - sizes)[sizes > 0]] = True
+    return found[new], np.bincount(np.repeat(np.arange(len(sizes)), sizes)[new], minlength=len(sizes))
+
+
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Of every text the sorted distinct 64-bit hashes of its shingles; empty without words."""
+    found, sizes = shingles(texts)
+    ends = np.cumsum(sizes)
+    return [found[first:last] for first, last in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    return shingle_sets(pa.array([text], pa.string()))[0]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -129,11 +168,14 @@ def frequency_order(texts: DataFrame) -> bytes:
     """
 
     def count(batches):
-        counts = np.zeros(ORDER_SIZE, dtype=np.int64)
+        counts, seen = np.zeros(ORDER_SIZE, dtype=np.uint32), 0
         for batch in batches:
             for part in slices(batch, "text"):
-                for text in part.column("text").to_pylist():
-                    np.add.at(counts, (shingle_set(text) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
+                found = shingles(part.column("text"))[0]
+                seen += len(found)
+                if seen > np.iinfo(counts.dtype).max:
+                    counts = counts.astype(np.int64)
+                np.add.at(counts, (found >> np.uint64(64 - ORDER_BITS)).astype(np.int64), counts.dtype.type(1))
         blocks = counts.reshape(-1, ORDER_BLOCK)
         for first in range(0, len(blocks), ORDER_ROWS):
             raw = [_narrow(own).tobytes() for own in blocks[first : first + ORDER_ROWS]]
@@ -175,8 +217,7 @@ def signatures(rows: DataFrame, order) -> DataFrame:
         classes = np.frombuffer(order.value, dtype=np.uint8)
         for batch in (part for whole in batches for part in slices(whole, "text")):
             sizes, groups, ids, prefixes = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                found = shingle_set(text)
+            for found in shingle_sets(batch.column("text")):
                 n = len(found)
                 sizes.append(n)
                 if not n:
@@ -299,19 +340,18 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     texts = written(with_texts(wanted, rows).select("cls", "text"), "jaccard-texts")
 
     def verify(batches):
-        last, last_set = None, None
         for batch in (part for whole in batches for part in slices(whole, "text_a", "text_b")):
-            keep = []
-            columns = (batch.column(c).to_pylist() for c in ("b", "text_a", "text_b"))
-            for i, (b, text_a, text_b) in enumerate(zip(*columns, strict=True)):
-                if b != last:
-                    last, last_set = b, shingle_set(text_b)
-                if linked(shingle_set(text_a), last_set):
-                    keep.append(i)
+            # rows come in order of b
+            b = batch.column("b").to_pylist()
+            new = [i for i in range(len(b)) if not i or b[i] != b[i - 1]]
+            of_b = np.repeat(np.arange(len(new)), np.diff([*new, len(b)]))
+            sets_a, sets_b = shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b").take(pa.array(new)))
+            keep = [i for i, (own, k) in enumerate(zip(sets_a, of_b.tolist(), strict=True)) if linked(own, sets_b[k])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").take(pa.array(keep, pa.int64())), batch.column("b").take(pa.array(keep, pa.int64()))],
                 ["a", "b"],
             )
+        release_memory()
 
     with_a = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     with_both = with_a.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
@@ -518,9 +558,10 @@ def component_units(classes: DataFrame, labels: DataFrame, rows: DataFrame) -> D
 
     def as_sets(batches):
         for batch in (part for whole in batches for part in slices(whole, "text")):
-            raw = [shingle_set(text).tobytes() for text in batch.column("text").to_pylist()]
+            raw = [own.tobytes() for own in shingle_sets(batch.column("text"))]
             kept = [batch.column(c) for c in UNIT_COLUMNS]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(raw, pa.binary())], [*UNIT_COLUMNS, "hashes"])
+        release_memory()
 
     texts = with_texts(wanted, rows).select(*UNIT_COLUMNS, "text")
     sets = texts.mapInArrow(as_sets, "grp bigint, k bigint, block bigint, label binary, cls binary, size bigint, hashes binary")

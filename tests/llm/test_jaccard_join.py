@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +180,22 @@ def test_one_of_each(stored):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(smallest.values()))
 
 
+def test_shingles_of_many_texts_at_once():
+    """Sets share as many hashes as texts share shingles, in whatever batch they are, and no words are remembered."""
+    rng = random.Random(3)
+    odd = ["a", "B", "b", "é", "É", "\x1c", "\u2003", "x" * 8, "x" * 9, "y" * 64, "y" * 65, "z" * 300]
+    texts = [None, "", " \t\n\x0b\x0c\r", " a  b\t", *(" ".join(rng.choices(odd, k=rng.randrange(12))) for _ in range(150))]
+    sets = J.shingle_sets(pa.array(texts, pa.string()))
+    assert [len(own) for own in sets] == [len(shingles(t)) for t in texts]
+    for i, own in enumerate(sets):
+        assert (own[1:] > own[:-1]).all() and own.tolist() == J.shingle_set(texts[i]).tolist()
+        for j in range(i):
+            assert len(np.intersect1d(own, sets[j])) == len(shingles(texts[i]) & shingles(texts[j])), (texts[i], texts[j])
+    part = pa.array(texts, pa.string()).slice(5, 40)
+    assert [own.tolist() for own in J.shingle_sets(part)] == [own.tolist() for own in sets[5:45]]
+    assert J.shingle_sets(part.slice(0, 0)) == []
+
+
 def test_empty_table(stored):
     assert J.component_report(stored([])).collect() == []
     assert J.component_report(stored([(1, None)])).collect() == [(1, 0, 1, 1, 0)]
