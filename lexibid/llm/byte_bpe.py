@@ -27,7 +27,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 #: Characters of text handled at once.
-PORTION = 1 << 21
+PORTION = 1 << 20
 #: A recursive query returns all its rounds: a word has a round per token at most, and words of one
 #: query stay below this sum of squared lengths.
 QUERY_SQUARES = 4_000_000
@@ -429,6 +429,6 @@ def round_trip_report(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: st
                     pa.array([hashlib.sha256(raw).hexdigest() for raw in codec.decode(arrays)], pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        release_memory()
+            release_memory()
 
     return _slim(docs, "text").mapInArrow(run, REPORT)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from lexibid.llm import byte_bpe as B
@@ -119,3 +120,9 @@ def test_words_are_those_of_the_pattern():
             for end in signs:
                 for stretch in B.STRETCH.findall(start + body + end):
                     assert codec._words(stretch) == codec.pattern.findall(stretch), repr(stretch)
+
+
+def test_about_a_megabyte_of_text_at_once():
+    """Whatever the batch: what a worker holds in objects decides its memory."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(["x" * 600_000] * 5)], ["doc_id", "text"])
+    assert [p.num_rows for p in B._text_portions(batch)] == [2, 2, 1]
