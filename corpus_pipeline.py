@@ -12,7 +12,7 @@ from lexibid.llm.common import SLICED_BATCHES, discard, read_documents, ship_pac
 
 
 def prepare(spark: SparkSession) -> None:
-    """Code on the executors, and batches of texts of a few megabytes for the session's Python workers."""
+    """Code on the executors, and batches of texts of about a megabyte for the session's Python workers."""
     ship_package(spark)
     for key, value in SLICED_BATCHES.items():
         spark.conf.set(key, value)

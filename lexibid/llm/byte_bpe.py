@@ -26,13 +26,14 @@ from lexibid.llm.common import release_memory
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
-#: Characters of text handled at once.
+#: Characters of text handled at once, and where encoder and decoder hold them at the same time.
 PORTION = 1 << 20
+ROUND_TRIP_PORTION = PORTION // 4
 #: A recursive query returns all its rounds: a word has a round per token at most, and words of one
 #: query stay below this sum of squared lengths.
-QUERY_SQUARES = 4_000_000
-#: Words a worker remembers, in about 30 bytes each, besides those of the portion at hand.
-KNOWN_WORDS = 1_500_000
+QUERY_SQUARES = 1_000_000
+#: Words a worker remembers, in about 50 bytes each, besides those of the portion at hand.
+KNOWN_WORDS = 500_000
 #: Words longer than this are contracted in many places at once, so many rows per query.
 LONG_BYTES = 512
 LONG_ROWS = 4_000_000
@@ -355,8 +356,8 @@ def _portions(batch: pa.RecordBatch, lengths: pa.Array, most: int) -> Iterator[p
             yield batch.slice(begin, end - begin)
 
 
-def _text_portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    return _portions(batch, pc.utf8_length(batch.column("text")), PORTION)
+def _text_portions(batch: pa.RecordBatch, most: int = PORTION) -> Iterator[pa.RecordBatch]:
+    return _portions(batch, pc.utf8_length(batch.column("text")), most)
 
 
 def _slim(docs: DataFrame, column: str) -> DataFrame:
@@ -419,7 +420,7 @@ def round_trip_report(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: st
     def run(batches):
         codec = _codec(ranks.value, pattern)
         for batch in batches:
-            for part in _text_portions(batch):
+            for part in _text_portions(batch, ROUND_TRIP_PORTION):
                 ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
                 arrays = [as_array(own) for own in ids]
                 columns = [

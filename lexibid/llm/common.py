@@ -135,9 +135,10 @@ def flag_members(rows: DataFrame, key: str, members: DataFrame) -> DataFrame:
     return joined.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias("_maybe"))
 
 
-#: Bytes of text that a task turns into Python objects at once, and of a batch that Spark sends to it.
+#: Bytes of text that a task turns into Python objects at once, and of a batch that Spark sends to it: what
+#: buffers a batch on both sides is kept for the next one.
 SLICE_BYTES = 1 << 20
-SLICED_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+SLICED_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)}
 
 
 def slices(batch: pa.RecordBatch, *columns: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -126,3 +126,20 @@ def test_about_a_megabyte_of_text_at_once():
     """Whatever the batch: what a worker holds in objects decides its memory."""
     batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(["x" * 600_000] * 5)], ["doc_id", "text"])
     assert [p.num_rows for p in B._text_portions(batch)] == [2, 2, 1]
+
+
+def test_the_round_trip_holds_a_quarter_of_it():
+    """Texts, ids and decoded bytes of a whole megabyte took a worker up to 217 MB."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(["x" * 100_000] * 8)], ["doc_id", "text"])
+    assert [p.num_rows for p in B._text_portions(batch, B.ROUND_TRIP_PORTION)] == [3, 3, 2]
+
+
+def test_a_store_of_words_stays_small():
+    """Full, with ids of usual length: as an executor's two workers have it beside a full heap."""
+    store = B.Store()
+    ids = [f"{i % 50_000},{i * 7 % 50_000},{i * 11 % 50_000}" for i in range(100_000)]
+    most = 0
+    for first in range(0, 16):
+        store.add(B.word_keys([f"{first}-{i}" for i in range(100_000)]), ids)
+        most = max(most, sum(own.nbytes for own in (store.keys, store.used, store.start, store.size)) + len(store.buffer))
+    assert most < 32 << 20

@@ -65,3 +65,8 @@ def test_a_table_elsewhere_is_never_removed(spark):
     table = read_table(spark, "/root/testdata/sf0.001", "documents", "doc_id bigint")
     C.discard(table)
     assert table.count() > 0
+
+
+def test_a_batch_is_no_larger_than_a_slice():
+    """Buffers of batches are kept on both sides, in the JVM and in its workers."""
+    assert int(C.SLICED_BATCHES["spark.sql.execution.arrow.maxBytesPerBatch"]) <= C.SLICE_BYTES
