@@ -64,12 +64,22 @@ LEAN_STEPS, LEAN_LEAST = 16, -8
 BLOCKS = "block bigint, doc_id bigint, held_out boolean, learn boolean, ids binary, idx int, word string, n bigint"
 
 
-class _Numbers(dict):
-    """Words by when they were first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
+def words_of_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one text after another, A-Z in lower case, and how many each text has."""
+    texts = texts.cast(pa.string())
+    bounds = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[bounds[0] : bounds[-1]] if raw else np.zeros(0, dtype=np.uint8)
+    bounds = bounds - bounds[0]
+    inside = (data != 0x20) & (data - np.uint8(0x09) > 0x0D - 0x09)
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    heads = bounds[:-1][bounds[:-1] < len(data)]
+    begins[heads] = inside[heads]  # a word ends with its text
+    counts = np.diff(np.searchsorted(np.flatnonzero(begins), bounds))
+    offsets = np.append(np.flatnonzero(begins[inside]), np.count_nonzero(inside)).astype(np.int32)
+    lowered = data[inside].tobytes().lower()
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(lowered)), counts
 
 
 def _no(count: int, kind: pa.DataType) -> pa.Array:
@@ -87,25 +97,30 @@ def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     def encode(batches):
         def rows(held):
             block = uuid.uuid4().int >> 65
-            vocabulary = _Numbers()
-            counts = np.zeros(0, dtype=np.int64)
+            texts, words = [], []
             for batch in held:
-                learn, encoded = batch.column("learn").to_pylist(), []
-                for text, own in zip(batch.column("text").to_pylist(), learn, strict=True):
-                    words = text.encode().lower().split()
-                    ids = np.fromiter(map(vocabulary.__getitem__, words), dtype=np.int32, count=len(words))
-                    encoded.append(ids.tobytes())
-                    if len(vocabulary) > len(counts):
-                        counts = np.append(counts, np.zeros(len(vocabulary) - len(counts) + (1 << 16), dtype=np.int64))
-                    if own:
-                        np.add.at(counts, ids, 1)
-                n = batch.num_rows
+                found, sizes = words_of_texts(batch.column("text"))
+                words.append(found)
+                texts.append((*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "learn")), sizes))
+            numbered = pa.chunked_array(words, pa.string()).dictionary_encode().chunks
+            vocabulary = numbered[0].dictionary if numbered else pa.array([], pa.string())
+            ids = np.concatenate([np.zeros(0, dtype=np.int32), *(part.indices.to_numpy() for part in numbered)])
+            del words, numbered
+            counts = np.zeros(len(vocabulary), dtype=np.int64)
+            done = 0
+            for doc_id, held_out, learn, sizes in texts:
+                ends = done + np.cumsum(sizes)
+                own = ids[done : done + sizes.sum()]
+                counts += np.bincount(own[np.repeat(np.array(learn, dtype=bool), sizes)], minlength=len(counts))
+                done += len(own)
+                encoded = [ids[first:last].tobytes() for first, last in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+                n = len(doc_id)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(n, block)),
-                        batch.column("doc_id"),
-                        batch.column("held_out"),
-                        batch.column("learn"),
+                        pa.array(doc_id, pa.int64()),
+                        pa.array(held_out, pa.bool_()),
+                        pa.array(learn, pa.bool_()),
                         pa.array(encoded, pa.binary()),
                         _no(n, pa.int32()),
                         _no(n, pa.string()),
@@ -113,9 +128,8 @@ def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
                     ],
                     NAMES,
                 )
-            words, n = list(vocabulary), len(vocabulary)
-            for start in range(0, n, 50_000):
-                part = words[start : start + 50_000]
+            for start in range(0, len(vocabulary), 50_000):
+                part = vocabulary[start : start + 50_000]
                 m = len(part)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -125,7 +139,7 @@ def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
                         _no(m, pa.bool_()),
                         _no(m, pa.binary()),
                         pa.array(np.arange(start, start + m, dtype=np.int32)),
-                        pa.array(part, pa.binary()).cast(pa.string()),
+                        part,
                         pa.array(counts[start : start + m]),
                     ],
                     NAMES,
@@ -300,7 +314,7 @@ def forward(model: Model, codes: np.ndarray, counts: np.ndarray):
     """
     total = np.ones((STATES, 1))
     for group in groups(counts, LOCKSTEP_TOKENS):
-        emitted = model.emit[codes[group.items]]
+        emitted = np.take(model.emit, codes[group.items], axis=0)
         chances = np.empty_like(emitted)
         scales = np.ones((len(emitted), 1))
         bounds = group.slices.tolist()
@@ -325,7 +339,8 @@ def log10_likelihoods(model: Model, codes: np.ndarray, counts: np.ndarray) -> np
     scores = np.zeros(len(counts))
     owner = np.repeat(np.arange(len(counts)), counts)
     for group, _, _, scales in forward(model, codes, counts):
-        scores += np.bincount(owner[group.items], weights=np.log10(scales), minlength=len(counts))
+        scaled = np.flatnonzero(scales != 1)
+        scores += np.bincount(owner[group.items[scaled]], weights=np.log10(scales[scaled]), minlength=len(counts))
     return scores
 
 
@@ -343,7 +358,8 @@ def expected_counts(
     for group, emitted, chances, scales in forward(model, codes, counts):
         # From the back: what emits and follows, over what was seen, then the chances given the whole text.
         ahead = emitted
-        ahead /= scales[:, None]
+        scaled = np.flatnonzero(scales != 1)
+        ahead[scaled] /= scales[scaled, None]
         later = np.ones_like(chances)
         bounds = group.slices.tolist()
         for t in range(group.steps - 1, 0, -1):
@@ -352,11 +368,14 @@ def expected_counts(
             own *= later[begin:end]
             np.dot(own, back, out=later[bounds[t - 1] : bounds[t - 1] + end - begin])
         # a token's place in its text, one before, is as far behind as that place has texts
-        for begin in range(bounds[1], len(ahead), PAIRS_AT_ONCE):
-            rows = np.arange(begin, min(begin + PAIRS_AT_ONCE, len(ahead)))
-            place = np.searchsorted(group.slices, rows, side="right") - 1
-            after += chances[rows - group.active[place - 1]].T @ ahead[rows]
-        share = np.multiply(chances.T, later.T, out=np.empty((STATES, len(chances))))
+        came = np.arange(bounds[1], bounds[-1]) - np.repeat(group.active[:-1], group.active[1:])
+        for begin in range(0, len(came), PAIRS_AT_ONCE):
+            before = np.take(chances, came[begin : begin + PAIRS_AT_ONCE], axis=0)
+            after += before.T @ ahead[bounds[1] + begin : bounds[1] + begin + len(before)]
+        chances *= later
+        share = np.empty((STATES, len(chances)))
+        for begin in range(0, len(chances), PAIRS_AT_ONCE):
+            share[:, begin : begin + PAIRS_AT_ONCE] = chances[begin : begin + PAIRS_AT_ONCE].T
         first += share[:, group.at(0)].sum(axis=1)
         own = slots[group.items]
         for k in range(STATES):

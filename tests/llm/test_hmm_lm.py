@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,3 +245,25 @@ def test_empty_tables(stored):
     assert H.score_report(stored([])).collect() == []
     only_empty = H.score_report(stored([(2, None)])).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in only_empty] == [(1, 1, 1)]
+
+
+def test_words_are_found_without_an_object_each():
+    texts = ["", "A b", "c", " \x0b\x0c", "É\u00a0X\x85y \x1c Z\r\n", "", "end", "Next\ttext ", "x" * 300]
+    for part in (pa.array(texts), pa.array(texts)[1:7], pa.array(texts)[3:4], pa.array([""]), pa.array([], pa.string())):
+        found, counts = H.words_of_texts(part)
+        expected = [text.encode().lower().split() for text in part.to_pylist()]
+        assert [w.encode() for w in found.to_pylist()] == sum(expected, []) and counts.tolist() == list(map(len, expected))
+
+
+def test_blocks_number_words_as_they_first_come(stored):
+    rows = [r for r in corpus(60) if r[0] is not None]
+    table = H.blocks(stored(rows, files=1), 200).collect()
+    texts, counts = {}, {}
+    for block in {r.block for r in table}:
+        own = {r.idx: r for r in table if r.block == block and r.word is not None}
+        assert sorted(own) == list(range(len(own))) and len({r.word for r in own.values()}) == len(own)
+        for r in (r for r in table if r.block == block and r.ids is not None):
+            texts[r.doc_id] = [own[i].word for i in np.frombuffer(r.ids, dtype=np.int32)]
+        learned = [w for r in table if r.block == block and r.learn for w in texts[r.doc_id]]
+        assert {r.word: r.n for r in own.values() if r.n} == Counter(learned)
+    assert texts == {k: words(normal(t)) for k, t in rows}
