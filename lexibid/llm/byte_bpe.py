@@ -9,7 +9,9 @@ left. Decoding joins tokens with the vocabulary and aggregates their bytes in or
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Collection, Iterable, Iterator
+from itertools import filterfalse
 
 import duckdb
 import numpy as np
@@ -29,6 +31,8 @@ PATTERN = public_tokenizers.PATTERN
 #: Characters of text handled at once, and where encoder and decoder hold them at the same time.
 PORTION = 1 << 20
 ROUND_TRIP_PORTION = PORTION // 4
+#: Characters of text whose words are looked up together: more take fewer queries and more memory.
+LOOKUP = PORTION
 #: A recursive query returns all its rounds: a word has a round per token at most, and words of one
 #: query stay below this sum of squared lengths.
 QUERY_SQUARES = 1_000_000
@@ -38,38 +42,39 @@ KNOWN_WORDS = 500_000
 LONG_BYTES = 512
 LONG_ROWS = 4_000_000
 
+#: Letters of scripts that are long settled: a word of the pattern, with at most a blank before them.
+LETTERS = f"[{''.join(filter(str.isalpha, map(chr, range(0x530))))}]"
+WORD = re.compile(f" ?{LETTERS}++")
 #: A token never holds a blank after something else, so every such place parts words. What lies
-#: between two of them is split by PATTERN alone, whatever surrounds it.
-STRETCH = re.compile(r"\s*\S+|\s+")
-#: Signs that PATTERN parts from the letters before them, and scripts whose letters are long settled.
-SIGNS = frozenset(".,;:!?")
-UNSETTLED = re.compile("[\u0530-\U0010ffff]")
+#: between two of them is split by PATTERN alone, whatever surrounds it. Letters with one sign
+#: behind them, as most words before a sign are, are parted from it at once.
+STRETCH = re.compile(rf"{WORD.pattern}(?=[.,;:!?]?(?:\s|\Z))|\s*\S+|\s+")
 
 # Rows know the place and the token after them. The key of a pair is its rank and position in one
 # number, so a word's least key is its leftmost pair of minimum rank. Contracting it changes that
 # row and the one before and drops the one after; only changed rows look for a rank again. Words
-# without a pair left come out in round -1.
+# without a pair left come out in round -1. Rows of all rounds are kept to the end, so they are
+# narrow: a place is below 1024, as words up to LONG_BYTES have it.
 ENCODE = """
     WITH RECURSIVE bpe(round, word, pos, tok, next_pos, after, key) AS (
-        SELECT 0, word, pos, tok, next_pos, after, (m.rank::bigint << 32) + pos
+        SELECT 0::smallint, word, pos, tok, next_pos, after, m.rank * 1024 + pos
         FROM words LEFT JOIN merges m ON m.pair = tok::bigint * 65536 + after
         UNION ALL (
         WITH first AS (
             SELECT word, min(key) AS key, arg_min(next_pos, key) AS gone
             FROM bpe WHERE round >= 0 GROUP BY word HAVING min(key) IS NOT NULL
         ), contracted AS (
-            SELECT first.word, (first.key & 4294967295)::int AS pos, gone, (first.key >> 32)::int AS tok, bpe.next_pos, bpe.after
+            SELECT first.word, (first.key % 1024)::smallint AS pos, gone, first.key // 1024 AS tok, bpe.next_pos, bpe.after
             FROM first JOIN bpe ON bpe.word = first.word AND bpe.pos = gone
         ), changed AS (
-            SELECT CASE WHEN gone IS NULL THEN -1 ELSE round + 1 END AS round, word, bpe.pos,
+            SELECT (CASE WHEN gone IS NULL THEN -1 ELSE round + 1 END)::smallint AS round, word, bpe.pos,
                 CASE WHEN bpe.pos = c.pos THEN c.tok ELSE bpe.tok END AS tok,
                 CASE WHEN bpe.pos = c.pos THEN c.next_pos ELSE bpe.next_pos END AS next_pos,
                 CASE WHEN bpe.pos = c.pos THEN c.after WHEN bpe.next_pos = c.pos THEN c.tok ELSE bpe.after END AS after,
                 key, bpe.pos = c.pos OR bpe.next_pos = c.pos AS is_new
             FROM bpe LEFT JOIN contracted c USING (word) WHERE round >= 0 AND bpe.pos IS DISTINCT FROM gone
         )
-        SELECT round, word, pos, tok, next_pos, after,
-            CASE WHEN is_new THEN (m.rank::bigint << 32) + pos ELSE key END
+        SELECT round, word, pos, tok, next_pos, after, CASE WHEN is_new THEN m.rank * 1024 + pos ELSE key END
         FROM changed LEFT JOIN merges m ON m.pair = CASE WHEN is_new THEN tok::bigint * 65536 + after END)
     )
     SELECT array_to_string(list(tok ORDER BY pos), ',') AS ids FROM bpe WHERE round = -1 GROUP BY word ORDER BY word
@@ -139,7 +144,7 @@ class Store:
         self.used = np.zeros(0, dtype=np.int32)
         self.start = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int32)
-        self.buffer = b""
+        self.buffer = ""
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Where each key is, -1 for unknown ones."""
@@ -157,7 +162,7 @@ class Store:
         start = np.where(known, self.start[found] if len(self.start) else 0, 0)
         end = start + np.where(known, self.size[found] if len(self.size) else 0, 0)
         buffer = self.buffer
-        return [buffer[a:b].decode("ascii") for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        return [buffer[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
 
     def add(self, keys: np.ndarray, ids: list[str]) -> None:
         if len(self.keys) + len(ids) > self.most:
@@ -170,11 +175,11 @@ class Store:
         self.used = np.insert(self.used, at, self.clock)
         self.start = np.insert(self.start, at, start[order])
         self.size = np.insert(self.size, at, size[order])
-        self.buffer += "".join(ids).encode("ascii")
+        self.buffer += "".join(ids)
 
     def _keep(self, rows: np.ndarray) -> None:
         rows = np.sort(rows)
-        kept = "".join(self.ids(rows)).encode("ascii")
+        kept = "".join("".join(self.ids(some)) for some in np.array_split(rows, 16))
         self.keys, self.used, self.size = self.keys[rows], self.used[rows], self.size[rows]
         self.start = np.cumsum(self.size, dtype=np.int64) - self.size
         self.buffer = kept
@@ -196,8 +201,8 @@ class Codec:
             "merges",
             {"pair": left * 65536 + right, "rank": rank.astype(np.int32), "calm": ~np.isin(rank, restless)},
         )
-        tokens = np.array(list(self.ranks.values()), dtype=np.int32)
-        self._table("vocabulary", {"tok": tokens, "characters": [t.decode("latin-1") for t in self.ranks]})
+        self.tokens = np.array(list(self.ranks.values()), dtype=np.int32)
+        self._table("vocabulary", {"tok": self.tokens, "characters": [t.decode("latin-1") for t in self.ranks]})
 
     def _splits(self) -> np.ndarray:
         """All pairs of tokens that make another one: left, right and what they make."""
@@ -226,7 +231,7 @@ class Codec:
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         first = np.cumsum(lengths) - lengths
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
-        pos = (np.arange(len(data)) - np.repeat(first, lengths)).astype(np.int32)
+        pos = (np.arange(len(data)) - np.repeat(first, lengths)).astype(np.int16)
         tok = self.byte_tokens[data]
         after = np.append(tok[1:], 0).astype(np.int32)
         rows = {
@@ -276,16 +281,6 @@ class Codec:
             settle()
         return encoded
 
-    def _words(self, stretch: str) -> list[str]:
-        """The matches of the pattern. Letters behind at most a blank, and a sign behind them, need not ask it."""
-        body = stretch[1:] if stretch[0] == " " else stretch
-        if stretch.isascii() or not UNSETTLED.search(stretch):
-            if body.isalpha():
-                return [stretch]
-            if body[-1:] in SIGNS and body[:-1].isalpha():
-                return [stretch[:-1], stretch[-1]]
-        return self.pattern.findall(stretch)
-
     def _ids_of(self, words: list[str]) -> dict[str, str]:
         """Ids of each word, those of new words by a query and all others from the store."""
         keys = word_keys(words)
@@ -298,17 +293,37 @@ class Codec:
         self.known.add(keys[missing], new)
         return dict(zip(words, ids, strict=True))
 
+    def _words(self, stretch: str) -> list[str]:
+        """The matches of the pattern. A word of letters need not ask it."""
+        return [stretch] if WORD.fullmatch(stretch) else self.pattern.findall(stretch)
+
+    def _encode_stretches(self, stretches: Collection[str]) -> list[str]:
+        split = {s: self._words(s) for s in filterfalse(WORD.fullmatch, stretches)}
+        words = set(stretches).difference(split).union(*split.values())
+        ids = self._ids_of(list(words))
+        ids |= {s: ",".join([ids[w] for w in words]) for s, words in split.items()}
+        return list(map(ids.__getitem__, stretches))
+
+    def encode_parts(self, parts: Iterable[list[str]]) -> Iterator[list[str]]:
+        """For each list of texts the ids of each text, joined by commas; empty for an empty text.
+
+        What is equal in any of the lists is looked up once. Texts are kept as numbers of their
+        stretches, four bytes each, so that only one list's strings exist at a time.
+        """
+        number = defaultdict()
+        number.default_factory = number.__len__
+        numbered = [
+            [np.fromiter(map(number.__getitem__, STRETCH.findall(text)), dtype=np.int32) for text in texts]
+            for texts in parts
+        ]
+        ids = self._encode_stretches(number)
+        del number
+        for texts in numbered:
+            yield [",".join(map(ids.__getitem__, own.tolist())) for own in texts]
+
     def encode(self, texts: list[str]) -> list[str]:
         """Ids of each text, joined by commas; empty for an empty text."""
-        stretches = [STRETCH.findall(text) for text in texts]
-        distinct = list(set().union(*stretches))
-        parts = list(map(self._words, distinct))
-        known = self._ids_of(list(set().union(*parts)))
-        ids = {
-            s: known[words[0]] if len(words) == 1 else ",".join([known[w] for w in words])
-            for s, words in zip(distinct, parts, strict=True)
-        }
-        return [",".join([ids[s] for s in own]) for own in stretches]
+        return next(self.encode_parts([texts]))
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each sequence of ids."""
@@ -321,7 +336,7 @@ class Codec:
             "pos": np.arange(total, dtype=np.int32),
             "tok": np.concatenate([np.zeros(0, dtype=np.int32), *ids]).astype(np.int32),
         }
-        unknown = np.setdiff1d(np.unique(rows["tok"]), list(self.ranks.values()))
+        unknown = rows["tok"][~np.isin(rows["tok"], self.tokens, kind="table")]
         if len(unknown):
             raise ValueError(f"id {unknown[0]} is not in the vocabulary")
         found = self._ask(DECODE, "tokens", rows).column("characters").to_pylist()
@@ -360,6 +375,25 @@ def _text_portions(batch: pa.RecordBatch, most: int = PORTION) -> Iterator[pa.Re
     return _portions(batch, pc.utf8_length(batch.column("text")), most)
 
 
+def _lookups(batches: Iterator[pa.RecordBatch], portion: int, most: int = LOOKUP) -> Iterator[list[pa.RecordBatch]]:
+    """Portions of all batches, in lists of about ``most`` characters together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in _text_portions(batch, portion):
+            held.append(part)
+            size += pc.sum(pc.utf8_length(part.column("text"))).as_py() or 0
+            if size >= most:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _texts(part: pa.RecordBatch) -> list[str]:
+    return [t or "" for t in part.column("text").to_pylist()]
+
+
 def _slim(docs: DataFrame, column: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), column)
 
@@ -374,9 +408,8 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
 
     def run(batches):
         codec = _codec(ranks.value, pattern)
-        for batch in batches:
-            for part in _text_portions(batch):
-                ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
+        for parts in _lookups(batches, PORTION):
+            for part, ids in zip(parts, codec.encode_parts(map(_texts, parts)), strict=True):
                 arrays = pa.array([as_array(own) for own in ids], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), arrays], ["doc_id", "ids"])
 
@@ -419,9 +452,8 @@ def round_trip_report(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: st
 
     def run(batches):
         codec = _codec(ranks.value, pattern)
-        for batch in batches:
-            for part in _text_portions(batch, ROUND_TRIP_PORTION):
-                ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
+        for parts in _lookups(batches, ROUND_TRIP_PORTION):
+            for part, ids in zip(parts, codec.encode_parts(map(_texts, parts)), strict=True):
                 arrays = [as_array(own) for own in ids]
                 columns = [
                     part.column("doc_id"),

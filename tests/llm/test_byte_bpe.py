@@ -143,3 +143,43 @@ def test_a_store_of_words_stays_small():
         store.add(B.word_keys([f"{first}-{i}" for i in range(100_000)]), ids)
         most = max(most, sum(own.nbytes for own in (store.keys, store.used, store.start, store.size)) + len(store.buffer))
     assert most < 32 << 20
+
+
+def test_words_of_several_portions_are_encoded_once(codec, reference, monkeypatch):
+    """A query has a price of its own: quarters of a megabyte, each with queries for itself, were a third slower."""
+    queries = []
+    ask = codec._ask
+    monkeypatch.setattr(codec, "_ask", lambda query, *rest: queries.append(query) or ask(query, *rest))
+    texts = [f"nurhier{i % 7}mal neuxwort{chr(97 + i % 5)}, neuxwort{chr(97 + i % 3)}." + " und so" * 20_000 for i in range(8)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], ["doc_id", "text"])
+    (parts,) = B._lookups(iter([batch.slice(0, 5), batch.slice(5)]), B.ROUND_TRIP_PORTION)
+    assert len(parts) == 5
+    ids = [own for some in codec.encode_parts(map(B._texts, parts)) for own in some]
+    assert [B.as_array(own).tolist() for own in ids] == [reference.encode_ordinary(t) for t in texts]
+    assert queries.count(B.ENCODE) == 1
+
+
+def test_lookups_hold_every_row_once():
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts, pa.string())], ["doc_id", "text"])
+        for n, texts in ((4, ["x" * 600_000, None, "y" * 3_000_000, ""]), (0, []), (2, [None, "z"]))
+    ]
+    lists = list(B._lookups(iter(batches), B.PORTION))
+    assert [[row for part in parts for row in B._texts(part)] for parts in lists] == [
+        ["x" * 600_000, "", "y" * 3_000_000],
+        ["", "", "z"],
+    ]
+    assert list(B._lookups(iter([]), B.PORTION)) == [] and list(B._lookups(iter(batches[1:2]), B.PORTION)) == []
+
+
+def test_longest_words_of_the_short_way(codec, reference):
+    """Their places just fit beside the rank in a pair's key."""
+    for alphabet in ("ab", "etaoin", "éè"):
+        word = "".join(random.Random(7).choices(alphabet, k=B.LONG_BYTES // len(alphabet[0].encode())))
+        assert len(word.encode()) == B.LONG_BYTES
+        assert codec.encode_words([word]) == [",".join(map(str, reference.encode_ordinary(word)))]
+
+
+def test_a_sign_does_not_make_another_word():
+    stretches = B.STRETCH.findall("Wort, Wort. Wort Wort's Wort,Wort Wort.")
+    assert stretches == ["Wort", ",", " Wort", ".", " Wort", " Wort's", " Wort,Wort", " Wort", "."]
