@@ -47,8 +47,10 @@ LETTERS = f"[{''.join(filter(str.isalpha, map(chr, range(0x530))))}]"
 WORD = re.compile(f" ?{LETTERS}++")
 #: A token never holds a blank after something else, so every such place parts words. What lies
 #: between two of them is split by PATTERN alone, whatever surrounds it. Letters with one sign
-#: behind them, as most words before a sign are, are parted from it at once.
-STRETCH = re.compile(rf"{WORD.pattern}(?=[.,;:!?]?(?:\s|\Z))|\s*\S+|\s+")
+#: behind them, as most words before a sign are, are parted from it at once. Four control characters
+#: are blanks to Python's patterns, but none to PATTERN.
+BLANK, OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+STRETCH = re.compile(rf"{WORD.pattern}(?=[.,;:!?]?(?:{BLANK}|\Z))|{BLANK}*{OTHER}+|{BLANK}+")
 
 # Rows know the place and the token after them. The key of a pair is its rank and position in one
 # number, so a word's least key is its leftmost pair of minimum rank. Contracting it changes that

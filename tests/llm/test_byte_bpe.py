@@ -183,3 +183,12 @@ def test_longest_words_of_the_short_way(codec, reference):
 def test_a_sign_does_not_make_another_word():
     stretches = B.STRETCH.findall("Wort, Wort. Wort Wort's Wort,Wort Wort.")
     assert stretches == ["Wort", ",", " Wort", ".", " Wort", " Wort's", " Wort,Wort", " Wort", "."]
+
+
+def test_separators_that_only_python_takes_for_blanks(codec, reference):
+    rng = random.Random(8)
+    pieces = ["\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u2028", " ", "\n", ",", ".", "'s", "Wort", "é", "1", "漢"]
+    texts = ["Wort,\x1cx", "\x1f's", *("".join(rng.choices(pieces, k=rng.randrange(12))) for _ in range(3000))]
+    for text in texts:
+        assert [w for s in B.STRETCH.findall(text) for w in codec._words(s)] == codec.pattern.findall(text), repr(text)
+    assert [B.as_array(ids).tolist() for ids in codec.encode(texts)] == [reference.encode_ordinary(t) for t in texts]
